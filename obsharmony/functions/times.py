@@ -20,11 +20,7 @@ ZONE_NAMES = {"EST": "Etc/GMT+5", "EDT": "Etc/GMT+4", "CDT": "Etc/GMT+5"}
 
 SERIAL_EPOCH = "1899-12-30"
 
-_THREE_TOKENS = r"^\s*([0-9A-Za-z]+)[^0-9A-Za-z]+([0-9A-Za-z]+)[^0-9A-Za-z]+([0-9A-Za-z]+)"
-
-
-def _token(c: Column, i: int, tail: str) -> Column:
-    return F.regexp_extract(c, _THREE_TOKENS + tail, i)
+_TOKENS = {"y": r"(\d{4}|\d{2})", "m": r"(\d{1,2}|[A-Za-z]{3,9})", "d": r"(\d{1,2})"}
 
 
 def _month_number(token: Column) -> Column:
@@ -43,8 +39,9 @@ def _full_year(token: Column) -> Column:
 def parse_date(c: Column | str, order: str, time_may_follow: bool = False) -> Column:
     """Date from text in 'ymd', 'mdy' or 'dmy' order; month names and 2-digit years allowed."""
     c = as_col(c)
-    tail = "" if time_may_follow else r"\s*$"
-    tokens = {part: _token(c, i + 1, tail) for i, part in enumerate(order)}
+    pattern = r"^\s*" + r"[^0-9A-Za-z]+".join(_TOKENS[part] for part in order)
+    pattern += r"(?:\D|$)" if time_may_follow else r"\s*$"
+    tokens = {part: F.regexp_extract(c, pattern, i + 1) for i, part in enumerate(order)}
     iso = F.concat_ws(
         "-",
         F.lpad(_full_year(tokens["y"]), 4, "0"),

@@ -34,26 +34,37 @@ MONTHS = [
     "july", "august", "september", "october", "november", "december",
 ]
 
-# Fixed values: (path piece, pattern, order) tried in turn; D = day of year, M-D = month and day.
+# Fixed values: (path piece, pattern, order) tried in turn; doy = day of year and 2-digit year.
 DATE_PATTERNS = [
-    (1, r"([0-9]{3})-([0-9]{2})", "doy"),
-    (1, r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})", "mdy"),
-    (2, r"([0-9]{3})-([0-9]{2})", "doy"),
-    (2, r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})", "mdy"),
-    (2, r"([0-9]{1,2})_([0-9]{1,2})_([0-9]{2})", "mdy"),
-    (2, r"([0-9]{3})_([0-9]{2})", "doy"),
-    (3, r"([0-9]{3})-([0-9]{2})", "doy"),
-    (3, r"([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})", "mdy"),
-    (3, r"([0-9]{2,3})_([0-9]{2})", "doy"),
-    (4, r"([0-9]{2,3})-([0-9]{2})", "doy"),
-    (4, r"([0-9]{1,2})_([0-9]{1,2})_([0-9]{2})", "mdy"),
-    (4, r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$", "mdy"),
-    (4, r"([0-9]{2,3})_([0-9]{2})", "doy"),
+    (1, "[0-9]{3}-[0-9]{2}", "doy"),
+    (1, "[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}", "mdy"),
+    (2, "[0-9]{3}-[0-9]{2}", "doy"),
+    (2, "[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}", "mdy"),
+    (2, "[0-9]{1,2}_[0-9]{1,2}_[0-9]{2}", "mdy"),
+    (2, "[0-9]{3}_[0-9]{2}", "doy"),
+    (3, "[0-9]{3}-[0-9]{2}", "doy"),
+    (3, "[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}", "mdy"),
+    (3, "[0-9]{2,3}_[0-9]{2}", "doy"),
+    (4, "[0-9]{2,3}-[0-9]{2}", "doy"),
+    (4, "[0-9]{1,2}_[0-9]{1,2}_[0-9]{2}", "mdy"),
+    (4, "^[0-9]{1,2}-[0-9]{1,2}-[0-9]{2}$", "mdy"),
+    (4, "[0-9]{2,3}_[0-9]{2}", "doy"),
 ]
 
+# Fixed value: spelling of the fourth and third piece joined, tried last.
+LAST_RESORT = r"^[0-9]{1,2}[-_][0-9]{1,2}-[0-9]{2}$"
+
 _CHUNK = 4096
 
 
+def _frame_median(c: str, frame) -> Column:
+    """Median of the few values in a sliding frame; NULL values do not count."""
+    values = F.sort_array(F.collect_list(c).over(frame))
+    n = F.size(values)
+    low = F.get(values, F.floor((n - 1) / F.lit(2)).cast("int"))
+    return (low + F.get(values, F.floor(n / F.lit(2)).cast("int"))) / F.lit(2.0)
+
+
 def downcast(df: DataFrame, cast: Sequence[str], scan: str, depth: str) -> DataFrame:
     """Scans up to the first one at the greatest depth."""
     turn = df.groupBy(*cast).agg(
@@ -96,7 +107,7 @@ def despike(
     )
     medians = (
         placed.withColumn("__chunk", F.explode(touched))
-        .withColumns({f"__ref_{c}": F.median(c).over(frame) for c in columns})
+        .withColumns({f"__ref_{c}": _frame_median(c, frame) for c in columns})
         .filter(F.col("__chunk") == chunk)
         .drop("__chunk", "__pos")
     )
@@ -171,38 +182,40 @@ def _date_piece(piece: Column) -> Column:
     return text
 
 
-def _date_by(text: Column, pattern: str, order: str) -> Column:
-    hit = text.rlike(pattern)
-
-    def group(i: int) -> Column:
-        return F.when(hit, F.regexp_extract(text, pattern, i))
-
+def _date_of(hit: Column, order: str) -> Column:
     if order == "doy":
-        return day_of_year_date(group(1), group(2))
-    # Joined by one separator; a part out of range gives NULL and the next pattern is tried.
-    return parse_date(F.concat(group(1), F.lit("-"), group(2), F.lit("-"), group(3)), "mdy")
+        parts = F.split(hit, "[-_]")
+        return day_of_year_date(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))
+    return parse_date(hit, "mdy")
 
 
-def path_date(path: Column | str) -> Column:
-    """Date from the folders and name of a cast file, first pattern that gives a real date."""
-    path = as_col(path)
+def with_path_date(df: DataFrame, path: str, name: str = "sampleDate") -> DataFrame:
+    """Date from the folders and name of a cast file, first pattern that gives a real date.
+
+    Worked in steps (pieces, pattern hits, dates), so no long text expression
+    is evaluated more than once.
+    """
     pieces = {
-        1: _date_piece(split_part(path, "/", 2)),
-        2: _date_piece(strip_extension(split_part(path, "/", -1))),
-        3: _date_piece(split_part(path, "/", 3)),
-        4: _date_piece(split_part(path, "/", 4)),
+        "__p1": _date_piece(split_part(path, "/", 2)),
+        "__p2": _date_piece(strip_extension(split_part(path, "/", -1))),
+        "__p3": _date_piece(split_part(path, "/", 3)),
+        "__p4": _date_piece(split_part(path, "/", 4)),
     }
-    first = [_date_by(pieces[p], pattern, order) for p, pattern, order in DATE_PATTERNS]
 
-    def digits(p: int) -> Column:
-        return remove_all(remove_all(pieces[p], "[a-zA-Z]"), "-$")
+    def digits(piece: str) -> Column:
+        return remove_all(remove_all(piece, "[a-zA-Z]"), "-$")
 
-    joined = F.concat(digits(4), F.lit("-"), digits(3))
-    second = [
-        _date_by(joined, r"^([0-9]{1,2})_([0-9]{1,2})-([0-9]{2})$", "mdy"),
-        _date_by(joined, r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{2})$", "mdy"),
-    ]
-    return F.coalesce(*first, *second)
+    hits = {f"__h{i}": extract(f"__p{p}", pattern) for i, (p, pattern, _) in enumerate(DATE_PATTERNS)}
+    joined = F.concat(digits("__p4"), F.lit("-"), digits("__p3"))
+    hits["__joined"] = extract(joined, LAST_RESORT)
+    dates = [_date_of(F.col(f"__h{i}"), order) for i, (_, _, order) in enumerate(DATE_PATTERNS)]
+    dates.append(parse_date("__joined", "mdy"))
+    return (
+        df.withColumns(pieces)
+        .withColumns(hits)
+        .withColumn(name, F.coalesce(*dates))
+        .drop(*pieces, *hits)
+    )
 
 
 def prefer_instrument(df: DataFrame, suffix: str = "_ctd") -> DataFrame:
