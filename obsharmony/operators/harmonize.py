@@ -315,7 +315,7 @@ def resolve_alias(df: DataFrame, aliases: DataFrame, site: str = "SITE_ID") -> D
         F.col("`Other.names`").alias("__alias"), F.col("SITE_ID").alias("__site"),
         *[c for c in ("Latitude", "Longitude", "stationDepth") if c in aliases.columns],
     )
-    keep = [c for c in df.columns if c != site]
+    keep = [F.col(f"`{c}`") for c in df.columns if c != site]
     joined = null_safe_join(
         df.withColumn("__alias", F.when(name == "c1nobag", F.lit("c1")).otherwise(name)),
         sized(table),

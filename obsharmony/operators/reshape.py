@@ -19,7 +19,8 @@ def unpivot_long(
     drop_missing: bool = True,
 ) -> DataFrame:
     """One row per (row, value column)."""
-    out = df.unpivot(ids, values, name, value)
+    quoted = [[F.col(f"`{c}`") for c in columns] for columns in (ids, values)]
+    out = df.unpivot(*quoted, name, value)
     return out.filter(F.col(value).isNotNull()) if drop_missing else out
 
 
