@@ -11,7 +11,7 @@ from ..functions.nulls import matches
 from ..functions.numeric import round_half_even
 from ..functions.text import truncate_right
 from .groups import collapse_texts
-from .joins import null_safe_join, sized
+from .joins import null_safe_join
 
 
 def require(df: DataFrame, broken: Column, message: str) -> None:
@@ -71,7 +71,7 @@ def mapping_gaps(df: DataFrame) -> DataFrame:
 
 def unmapped_names(df: DataFrame, name_map: DataFrame, on: Sequence[str]) -> DataFrame:
     """Distinct source names the naming table does not know."""
-    return null_safe_join(df.select(*on).distinct(), sized(name_map.select(*on)), list(on), "left_anti")
+    return null_safe_join(df.select(*on).distinct(), name_map.select(*on), list(on), "left_anti")
 
 
 def duplicate_census(df: DataFrame, digits: int = 4, order: str = "Study") -> DataFrame:

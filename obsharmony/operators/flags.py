@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import blank_to_null, matches, paste
 from ..functions.text import remove_all, replace_first
+from ..session import durable
 from .joins import BROADCAST_ROWS, null_safe_join
 
 # Fixed value: stands for "no code" or "no comment" on both sides of the flag join.
@@ -113,30 +114,52 @@ def _without_na(c: str) -> Column:
     return remove_all(remove_all(known, "NA, "), ", NA")
 
 
-def unify_flags(df: DataFrame, flags: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Map every (Study, QAcode, QAcomment) to unified flags and drop rows marked for removal.
+def match_flags(df: DataFrame, flags: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Add the unified flag fields to every row and drop rows marked for removal.
 
     Flag codes and comments are regexes tested by containment. The regexes run
-    once per distinct text, not once per row; a text's matches are merged in
-    flag-table order. Rows without code and comment pass through untouched.
+    once per distinct text, in a first pass that reads only the text columns; a
+    text's matches are merged in flag-table order. While the distinct texts fit
+    a broadcast, the rows themselves are not shuffled; beyond that, only rows
+    that carry a text are.
     """
-    no_flag = F.col("QAcode").isNull() & F.col("QAcomment").isNull()
-    empty = {c: F.lit(None).cast("string") for c in FLAG_FIELDS}
-    plain = df.filter(no_flag).withColumns(empty)
-    flagged = _cleaned(df.filter(~no_flag))
-
     keys = ["Study", "QAcode", "QAcomment"]
-    matched = _match_vocabulary(flagged.select(*keys).distinct(), prepare_flag_table(flags), max_rows)
-    merged = (
+    df = _cleaned(df)
+    texts = df.filter(~no_flag()).select(*keys).distinct()
+    matched = _match_vocabulary(texts, prepare_flag_table(flags), max_rows)
+    merged = durable(
         matched.groupBy(*keys)
         .agg(*[_joined(f).alias(f) for f in FLAG_FIELDS])
         .withColumns({c: _without_na(c) for c in ("Unified_Flag", "Unified_Comment")})
         .withColumn("__drop", matches("Retain", "remove", ignore_case=True))
     )
-    kept = (
-        null_safe_join(flagged.distinct(), merged, keys).filter(~F.col("__drop")).drop("__drop")
+    if merged.limit(max_rows + 1).count() <= max_rows:
+        out = null_safe_join(df, F.broadcast(merged), keys)
+        return out.filter(~F.coalesce("__drop", F.lit(False))).drop("__drop")
+    empty = {c: F.lit(None).cast("string") for c in FLAG_FIELDS}
+    flagged = null_safe_join(df.filter(~no_flag()), merged, keys)
+    return (
+        flagged.filter(~F.col("__drop"))
+        .drop("__drop")
+        .unionByName(df.filter(no_flag()).withColumns(empty))
     )
-    return kept.unionByName(plain)
+
+
+def no_flag() -> Column:
+    return F.col("QAcode").isNull() & F.col("QAcomment").isNull()
+
+
+def unify_flags(df: DataFrame, flags: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Matched flags, with rows that carry a code or comment kept once.
+
+    Rows without either keep their number of repeats.
+    """
+    out = match_flags(df, flags, max_rows)
+    counted = out.groupBy(*out.columns).agg(F.count("*").alias("__n"))
+    repeats = F.when(no_flag(), F.col("__n")).otherwise(F.lit(1))
+    return counted.withColumn(
+        "__i", F.explode(F.sequence(F.lit(1).cast("bigint"), repeats))
+    ).drop("__n", "__i")
 
 
 def censor(result: Column | str = "RESULT", flag: Column | str = "Unified_Flag") -> Column:

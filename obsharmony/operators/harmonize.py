@@ -23,7 +23,7 @@ from ..functions.text import (
     unit_text,
 )
 from .groups import collapse_texts, fill_group_mean, fill_group_mode, mean_of_distinct, with_group_stats
-from .joins import null_safe_join, sized
+from .joins import null_safe_join
 from .reshape import unpivot_long
 
 # Fixed value: mass of silica per mass of silicon.
@@ -47,6 +47,9 @@ KEY_COLUMNS = ["CodeName", "TargetUnits", "LongName", "Category", "Explicit_Unit
 
 
 # --- lookup tables -----------------------------------------------------------
+#
+# Lookup tables reach these operators as their owner prepared them: marked for
+# broadcast after a size check (joins.sized), or unmarked and joined by shuffle.
 
 
 def prepare_key(key: DataFrame) -> DataFrame:
@@ -96,21 +99,21 @@ def map_names(
     """
     keys = [(k, k) if isinstance(k, str) else k for k in on]
     table = name_map.select(*[r for _, r in keys], "CodeName")
-    out = null_safe_join(df, sized(table), keys)
+    out = null_safe_join(df, table, keys)
     if strict:
         return out.filter(F.col("CodeName") != "Remove")
     return out.filter(~matches("CodeName", "remove", ignore_case=True))
 
 
 def add_key(df: DataFrame, key: DataFrame) -> DataFrame:
-    return null_safe_join(df, sized(key), ["CodeName"])
+    return null_safe_join(df, key, ["CodeName"])
 
 
 def convert_units(
     df: DataFrame, conversions: DataFrame, columns: Sequence[str] = ("RESULT",)
 ) -> DataFrame:
     """Multiply the given columns by the factor for (ReportedUnits, TargetUnits), if there is one."""
-    out = null_safe_join(df, sized(conversions), ["ReportedUnits", "TargetUnits"])
+    out = null_safe_join(df, conversions, ["ReportedUnits", "TargetUnits"])
     factor = F.col("ConversionFactor")
     return out.withColumns({c: F.coalesce(F.col(c) * factor, F.col(c)) for c in columns})
 
@@ -173,7 +176,7 @@ def less_than_limits(
     limits = below.select(*columns, "RESULT_REMARK").distinct()
     keys = [(k, k) if isinstance(k, str) else k for k in on]
     limits = null_safe_join(
-        limits, sized(name_map.select(*[r for _, r in keys], "CodeName")), keys
+        limits, name_map.select(*[r for _, r in keys], "CodeName"), keys
     )
     limits = limits.withColumns(
         {
@@ -220,7 +223,7 @@ def season_limits(
         F.when(mdl != 0, mdl).alias("mdl"),
         F.when(unit == "mgl", F.lit("mgl")).otherwise(F.lit("ugl")).alias("ReportedUnits"),
     )
-    long = null_safe_join(long, sized(limit_names.select("ANALYTE", "CodeName")), ["ANALYTE"])
+    long = null_safe_join(long, limit_names.select("ANALYTE", "CodeName"), ["ANALYTE"])
     long = add_key(long, key.select("CodeName", "TargetUnits"))
     long = convert_units(long, conversions, ["mdl"])
     silica = F.col("CodeName") == "Diss_SiO2"
@@ -246,7 +249,7 @@ def fill_coordinates(df: DataFrame, site: str, columns: Sequence[str], table: Da
     out = fill_group_mean(df, [site], list(columns))
     spare = [c for c in columns if c in table.columns]
     lookup = table.select(F.col(site), *[F.col(c).alias(f"__table_{c}") for c in spare])
-    out = null_safe_join(out, sized(lookup), [site])
+    out = null_safe_join(out, lookup, [site])
     out = out.withColumns({c: F.coalesce(F.col(c), F.col(f"__table_{c}")) for c in spare})
     return out.drop(*[f"__table_{c}" for c in spare])
 
@@ -318,7 +321,7 @@ def resolve_alias(df: DataFrame, aliases: DataFrame, site: str = "SITE_ID") -> D
     keep = [F.col(f"`{c}`") for c in df.columns if c != site]
     joined = null_safe_join(
         df.withColumn("__alias", F.when(name == "c1nobag", F.lit("c1")).otherwise(name)),
-        sized(table),
+        table,
         ["__alias"],
         "inner",
     )

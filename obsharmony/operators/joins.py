@@ -91,9 +91,10 @@ def values_sql(rows, schema: str) -> str:
 
 
 def inline_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """Small lookup table from literal rows; Spark knows its exact size."""
+    """Lookup table from literal rows, marked for broadcast when short enough."""
     raw = values_sql(rows, schema.replace("VARCHAR", "STRING"))
     # Regexes in the rows must reach the table unescaped.
-    return spark.sql(raw.replace("\\", "\\\\"))
+    df = spark.sql(raw.replace("\\", "\\\\"))
+    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
 
 

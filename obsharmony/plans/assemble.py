@@ -32,13 +32,17 @@ LAKES = ["Lake Michigan"]
 def finish(observations: DataFrame, flags: DataFrame) -> DataFrame:
     """Standard observations to the final table, unsorted.
 
-    Repeated rows go first, then limit labels, unified flags, censoring and the
-    local sample date.
+    Limit labels, unified flags, censoring and the local sample date. Repeated
+    source rows are kept once, and so are flagged rows that became equal by the
+    tidying of their texts; both rules share the only shuffle of whole rows:
+    unflagged rows are compared by what the source said, flagged rows by the
+    outcome.
     """
-    df = hz.drop_duplicates(observations.select(*st.OBSERVATION)).withColumnRenamed(
-        "sampleDateTime", "sampleDateTimeUTC"
-    )
-    df = fl.unify_flags(fl.limit_flags(df), flags)
+    df = observations.select(*st.OBSERVATION).withColumnRenamed("sampleDateTime", "sampleDateTimeUTC")
+    df = df.withColumn("__source", F.struct("RESULT", "QAcode", "QAcomment"))
+    df = fl.match_flags(fl.limit_flags(df), flags)
+    df = df.withColumn("__source", F.when(fl.no_flag(), F.col("__source")))
+    df = hz.drop_duplicates(df).drop("__source")
     df = df.withColumns(
         {
             "RESULT": fl.censor(),

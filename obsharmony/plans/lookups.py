@@ -56,6 +56,7 @@ FLAGS = (
         (10, "survey_2", "H", None, None, "H", "Holding time exceeded", "Keep", None),
         (11, "survey_0", "MDL", None, "below MDL", "N", "Below detection", "Keep", None),
         (12, "survey_1", "Estimated", None, "between limits", "E", "Estimated value", "Keep", None),
+        (14, "survey_1", "^D;", None, "depth from cast", "D", "Station depth estimated", "Keep", None),
         (13, "survey_2", "PAR", "surface PAR", "light", "P", "Corrected PAR exceeds 100%", "Keep", None),
     ],
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import casts, harmonisation, shaping, times_and_paths  # noqa: F401
+from . import casts, harmonisation, shaping, survey, times_and_paths  # noqa: F401
 from .catalog import BUILDERS, ORACLES, Builder
 
 

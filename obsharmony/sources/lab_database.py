@@ -98,7 +98,7 @@ def clean(
         text.to_number("Longitude").alias("LONGITUDE"),
     )
     if impute_coordinates:
-        df = hz.fill_coordinates(df, "STATION_ID", list(place), site_table)
+        df = hz.fill_coordinates(df, "STATION_ID", list(place), sized(site_table))
     else:
         spare = site_table.withColumnsRenamed({"LATITUDE": "__la", "LONGITUDE": "__lo"})
         df = null_safe_join(df, sized(spare), ["STATION_ID"]).withColumns(

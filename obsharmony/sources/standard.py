@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import harmonize as hz
+from ..operators.joins import sized
 from .readers import read_table
 
 # Study labels as the naming and flag tables spell them.
@@ -63,7 +64,10 @@ def number_text(c: Column | str) -> Column:
 
 @dataclass
 class Lookups:
-    """Naming maps per source family, key, conversions, limit names and flags; each read once."""
+    """Naming maps per source family, key, conversions, limit names and flags.
+
+    Each table is read once and its size checked once.
+    """
 
     key: DataFrame
     conversions: DataFrame
@@ -82,12 +86,20 @@ class Lookups:
     ) -> Lookups:
         """From raw sheets; coastal names fill missing codes, cooperative names lose their dots."""
         prepared = {
-            family: hz.prepare_name_map(
-                sheet, fill_codes=family == "coastal", drop_dots=family == "coop"
+            family: sized(
+                hz.prepare_name_map(
+                    sheet, fill_codes=family == "coastal", drop_dots=family == "coop"
+                )
             )
             for family, sheet in names.items()
         }
-        return cls(hz.prepare_key(key), hz.prepare_conversions(conversions), prepared, limit_names, flags)
+        return cls(
+            sized(hz.prepare_key(key)),
+            sized(hz.prepare_conversions(conversions)),
+            prepared,
+            None if limit_names is None else sized(limit_names),
+            flags,
+        )
 
     @classmethod
     def read(cls, spark: SparkSession, paths: dict[str, str]) -> Lookups:
