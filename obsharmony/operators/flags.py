@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import blank_to_null, matches, paste
+from ..functions.nulls import any_of, blank_to_null, matches, na_text
 from ..functions.text import remove_all, replace_first
 from ..session import durable
 from .joins import BROADCAST_ROWS, null_safe_join
@@ -19,36 +19,36 @@ FLAG_FIELDS = ["Definition", "Unified_Flag", "Unified_Comment", "Retain", "Actio
 _SALTS = 32
 
 
-def _append(condition: Column, column: str, label: str) -> Column:
-    return F.when(condition, paste(column, F.lit(label), sep="; ")).otherwise(F.col(column))
-
-
 def limit_flags(df: DataFrame) -> DataFrame:
     """Append limit labels to QAcode and QAcomment, clamp negative light, flag light over 100 %.
 
-    Unknown limits leave the texts alone. Labels: 'MDL' below the detection
-    limit, 'RL' below the reporting limit, 'Estimated' between them inclusive.
+    Labels, in this order: 'MDL' below the detection limit, 'RL' below the
+    reporting limit, 'Estimated' between them inclusive, then light over the
+    surface value. An unknown limit gives no label; without labels the texts
+    stay, except that the text 'NA' becomes NULL.
     """
     result, mdl, rl = F.col("RESULT"), F.col("MDL"), F.col("RL")
-    rules = [
+    light = F.col("CodeName") == "CPAR"
+    over = light & (result > 100)
+    limits = [
         (result < mdl, "MDL"),
         (result < rl, "RL"),
         ((result >= mdl) & (result <= rl), "Estimated"),
     ]
-    for condition, label in rules:
-        df = df.withColumns(
-            {c: _append(condition, c, label) for c in ("QAcode", "QAcomment")}
-        )
-    light = F.col("CodeName") == "CPAR"
-    df = df.withColumn("RESULT", F.when(light & (result < 0), F.lit(0.0)).otherwise(result))
-    over = light & (F.col("RESULT") > 100)
-    df = df.withColumns(
+
+    def labelled(column: str, light_label: str) -> Column:
+        labels = [*limits, (over, light_label)]
+        some = any_of([F.coalesce(c, F.lit(False)) for c, _ in labels])
+        text = F.concat_ws("; ", na_text(column), *[F.when(c, F.lit(x)) for c, x in labels])
+        return F.when(some, text).otherwise(F.nullif(F.col(column), F.lit("NA")))
+
+    return df.withColumns(
         {
-            "QAcode": _append(over, "QAcode", "PAR"),
-            "QAcomment": _append(over, "QAcomment", "Underwater PAR exceeds surface PAR"),
+            "QAcode": labelled("QAcode", "PAR"),
+            "QAcomment": labelled("QAcomment", "Underwater PAR exceeds surface PAR"),
+            "RESULT": F.when(light & (result < 0), F.lit(0.0)).otherwise(result),
         }
     )
-    return df.withColumns({c: F.nullif(F.col(c), F.lit("NA")) for c in ("QAcode", "QAcomment")})
 
 
 def _cleaned(df: DataFrame) -> DataFrame:

@@ -256,9 +256,12 @@ def fill_coordinates(df: DataFrame, site: str, columns: Sequence[str], table: Da
 
 def site_depths(lab: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Mean of distinct (depth, date) per site, and per site and year."""
+    # Both means start from the same distinct tuples, so rows are shuffled once, as tuples.
+    known = lab.filter(F.col("stationDepth").isNotNull())
+    tuples = known.select("SITE_ID", "YEAR", "sampleDate", "stationDepth").distinct()
     return (
-        mean_of_distinct(lab, ["SITE_ID"], "stationDepth", ["sampleDate"], "siteDepth"),
-        mean_of_distinct(lab, ["SITE_ID", "YEAR"], "stationDepth", ["sampleDate"], "siteDepthYear"),
+        mean_of_distinct(tuples, ["SITE_ID"], "stationDepth", ["sampleDate"], "siteDepth"),
+        mean_of_distinct(tuples, ["SITE_ID", "YEAR"], "stationDepth", ["sampleDate"], "siteDepthYear"),
     )
 
 

@@ -18,6 +18,7 @@ from .joins import null_safe_join
 RANGES = 64
 RANGE = "__range"
 _ACCURACY = 10_000
+_STEP = 8
 
 
 def with_ranges(df: DataFrame, by: list[str], order: str, ranges: int = RANGES) -> DataFrame:
@@ -31,12 +32,20 @@ def with_ranges(df: DataFrame, by: list[str], order: str, ranges: int = RANGES)
     points = durable(
         df.groupBy(*by).agg(F.percentile_approx(order, grid, _ACCURACY).alias("__points"))
     )
-    below = F.filter("__points", lambda p: p < F.col(order))
-    return (
-        null_safe_join(df, points, by)
-        .withColumn(RANGE, F.coalesce(F.size(below), F.lit(0)))
-        .drop("__points")
-    )
+    # Every _STEP-th point first, then only the points of that step.
+    steps = F.filter("__points", lambda p, i: i % _STEP == _STEP - 1)
+    points = points.withColumn("__steps", steps)
+
+    def below(some: Column | str) -> Column:
+        return F.size(F.filter(some, lambda p: p < F.col(order)))
+
+    out = null_safe_join(df, points, by).withColumn("__step", below("__steps"))
+    inside = F.slice("__points", F.col("__step") * _STEP + 1, F.lit(_STEP - 1))
+    rank = F.col("__step") * _STEP + below(inside)
+    # A row without an order value, or in a group without any, goes to the first range.
+    return out.withColumn(
+        RANGE, F.when(F.col("__step") >= 0, F.coalesce(rank, F.lit(0))).otherwise(F.lit(0))
+    ).drop("__points", "__steps", "__step")
 
 
 def _before(by: list[str]):

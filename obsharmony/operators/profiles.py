@@ -240,25 +240,17 @@ LAYERS = {
 def depth_words_to_numbers(code: Column | str) -> Column:
     """Depth code with a number word becomes the number, as text; first word listed wins."""
     code = as_col(code)
-    out = code
-    for word, number in reversed(DEPTH_WORDS):
-        out = F.when(matches(code, word, ignore_case=True), F.lit(number)).otherwise(out)
-    return out
+    words = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(n).alias("number")) for w, n in DEPTH_WORDS])
+    said = F.filter(words, lambda w: F.contains(F.lower(code), w["word"]))
+    return F.coalesce(F.get(said, F.lit(0))["number"], code)
 
 
 def named_layers(df: DataFrame, code: str) -> DataFrame:
     """Only depth codes that name a layer (no number, no bottom), plus the simpler layer."""
-    number = depth_words_to_numbers(code)
-    df = df.withColumn(code, number).filter(
-        F.col(code).try_cast("double").isNull()
-        & (F.col(code) != ".")
-        & (F.col(code) != "Not Applicable")
-        & ~matches(code, "bottom", ignore_case=True)
-    )
-    layer = F.col(code)
-    for name, codes in LAYERS.items():
-        layer = F.when(F.col(code).isin(codes), F.lit(name)).otherwise(layer)
-    return df.withColumn("layer", layer)
+    named = ~matches(code, r"^\s*\d+(\.\d*)?\s*$|^\.$|^Not Applicable$|(?i:bottom)")
+    df = df.withColumn(code, depth_words_to_numbers(code)).filter(F.col(code).isNotNull() & named)
+    simpler = F.create_map(*[F.lit(x) for name, codes in LAYERS.items() for c in codes for x in (c, name)])
+    return df.withColumn("layer", F.coalesce(simpler[F.col(code)], F.col(code)))
 
 
 def depth_bands(df: DataFrame, code: str, depth: str, probs: dict[str, float] | None = None) -> DataFrame:
