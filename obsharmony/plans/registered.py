@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from . import casts, harmonisation, shaping, survey, times_and_paths  # noqa: F401
+from . import (  # noqa: F401
+    casts,
+    harmonisation,
+    shaping,
+    source_tables,
+    survey,
+    times_and_paths,
+)
 from .catalog import BUILDERS, ORACLES, Builder
 
 
