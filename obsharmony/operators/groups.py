@@ -1,8 +1,7 @@
 """Group statistics beside rows, fills, text collapse and first row per key.
 
-Everything is a partial aggregate joined back to the rows. Nothing here
-gathers a whole group in one task, and the join is one that adaptive execution
-can split when a key is hot.
+Everything is a partial aggregate joined back to the rows (see
+joins.join_statistics). Nothing here gathers a whole group in one task.
 """
 
 from __future__ import annotations
@@ -11,13 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import na_text
-from .joins import null_safe_join
+from .joins import join_statistics
 
 
 def with_group_stats(df: DataFrame, by: list[str], **stats: Column) -> DataFrame:
     """Group aggregates beside every row."""
     table = df.groupBy(*by).agg(*[c.alias(name) for name, c in stats.items()])
-    return null_safe_join(df, table, by)
+    return join_statistics(df, table, by)
 
 
 def fill_group_mean(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
@@ -39,7 +38,7 @@ def group_mode(df: DataFrame, by: list[str], column: str, name: str) -> DataFram
 
 def fill_group_mode(df: DataFrame, by: list[str], column: str, unknown: str = "none") -> DataFrame:
     """Replace the placeholder text by the group's most frequent value; NULL stays NULL."""
-    out = null_safe_join(df, group_mode(df, by, column, "__mode"), by)
+    out = join_statistics(df, group_mode(df, by, column, "__mode"), by)
     return out.withColumn(
         column, F.when(F.col(column) == unknown, F.col("__mode")).otherwise(F.col(column))
     ).drop("__mode")

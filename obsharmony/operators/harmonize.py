@@ -23,7 +23,7 @@ from ..functions.text import (
     unit_text,
 )
 from .groups import collapse_texts, fill_group_mean, fill_group_mode, mean_of_distinct, with_group_stats
-from .joins import null_safe_join
+from .joins import join_statistics, null_safe_join
 from .reshape import unpivot_long
 
 # Fixed value: mass of silica per mass of silicon.
@@ -280,8 +280,8 @@ def depth_from_cast(df: DataFrame, depth: Column, deepest: Column) -> DataFrame:
 def station_depth_fallback(casts: DataFrame, lab: DataFrame) -> DataFrame:
     """Cast station depth from the lab table: site-year mean, site mean, deepest scan."""
     by_site, by_year = site_depths(lab)
-    out = null_safe_join(casts.drop("stationDepth"), by_site, ["SITE_ID"])
-    out = null_safe_join(out, by_year, ["SITE_ID", "YEAR"])
+    out = join_statistics(casts.drop("stationDepth"), by_site, ["SITE_ID"])
+    out = join_statistics(out, by_year, ["SITE_ID", "YEAR"])
     out = depth_from_cast(out, F.coalesce("siteDepthYear", "siteDepth"), F.col("maxCTDdepth"))
     return out.drop("siteDepth", "siteDepthYear", "maxCTDdepth")
 

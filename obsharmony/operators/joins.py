@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nulls import all_of
+from ..session import durable
 
 # A lookup table with more rows than this is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 100_000
@@ -50,6 +51,16 @@ def null_safe_join(
     return out.drop(*renamed.values())
 
 
+def join_statistics(df: DataFrame, table: DataFrame, by: Iterable[KeyPair]) -> DataFrame:
+    """Per-group statistics beside every row.
+
+    The statistics are computed once and kept; if there are few groups they are
+    broadcast, so rows stay where they are and a hot group is no one's burden.
+    With many groups the join shuffles, and adaptive execution splits hot keys.
+    """
+    return null_safe_join(df, sized(durable(table)), by)
+
+
 def natural_left_join(left: DataFrame, right: DataFrame, expected: Iterable[str]) -> DataFrame:
     """Left join on every shared column; the shared set must be the one the caller expects."""
     shared = [c for c in left.columns if c in right.columns]

@@ -13,12 +13,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .joins import null_safe_join
+from .joins import null_safe_join, sized
 
 RANGES = 64
 RANGE = "__range"
 _ACCURACY = 10_000
 _STEP = 8
+# Split points of more groups than this are joined by shuffle instead of broadcast.
+_POINT_ROWS = 20_000
 
 
 def with_ranges(df: DataFrame, by: list[str], order: str, ranges: int = RANGES) -> DataFrame:
@@ -39,7 +41,7 @@ def with_ranges(df: DataFrame, by: list[str], order: str, ranges: int = RANGES)
     def below(some: Column | str) -> Column:
         return F.size(F.filter(some, lambda p: p < F.col(order)))
 
-    out = null_safe_join(df, points, by).withColumn("__step", below("__steps"))
+    out = null_safe_join(df, sized(points, _POINT_ROWS), by).withColumn("__step", below("__steps"))
     inside = F.slice("__points", F.col("__step") * _STEP + 1, F.lit(_STEP - 1))
     rank = F.col("__step") * _STEP + below(inside)
     # A row without an order value, or in a group without any, goes to the first range.

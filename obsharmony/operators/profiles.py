@@ -12,7 +12,7 @@ from ..functions.nulls import as_col, matches
 from ..functions.numeric import round_half_even
 from ..functions.text import base_name, extract, remove_all, split_part, strip_extension
 from ..functions.times import day_of_year_date, parse_date
-from .joins import null_safe_join
+from .joins import join_statistics
 from .ordered import quantiles, with_position
 
 # Sensors kept from a cast, in output order.
@@ -71,7 +71,7 @@ def downcast(df: DataFrame, cast: Sequence[str], scan: str, depth: str) -> DataF
         F.min_by(scan, F.struct(-F.col(depth), F.col(scan))).alias("__turn")
     )
     return (
-        null_safe_join(df, turn, list(cast))
+        join_statistics(df, turn, list(cast))
         .filter(F.col(scan) <= F.col("__turn"))
         .drop("__turn")
     )
@@ -114,7 +114,7 @@ def despike(
     spreads = medians.groupBy(*by).agg(
         *[F.stddev_samp(F.col(c) - F.col(f"__ref_{c}")).alias(f"__sd_{c}") for c in columns]
     )
-    out = null_safe_join(medians, spreads, by)
+    out = join_statistics(medians, spreads, by)
     return out.select(
         *[
             (

@@ -392,17 +392,17 @@ def source_coastal_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- instrument text ----------------------------------------------------------------------
 
-_CAST_LINES = """SELECT 'casts/' || user_id || '.cnv' AS path, CAST(h.line_no AS BIGINT) AS line_no, h.line AS line
-FROM (SELECT DISTINCT user_id FROM {events}) u CROSS JOIN {header} h
-UNION ALL SELECT 'casts/' || user_id || '.cnv', 100 + event_id, '  ' || (CAST((event_id * 7) % 41 AS DOUBLE) / 2) || ' ' || value || ' '
-  || CASE WHEN event_id % 5 = 0 THEN '0.0' ELSE '100.0' END || '  50.0' FROM {events}"""
-_HEADER = (
-    "line_no INTEGER, line VARCHAR",
-    [
-        (1, "* NMEA Latitude = 43 30.00 N"), (2, "# name 0 = depSM: Depth [salt water, m]"), (3, "# name 1 = t090C: Temperature"),
-        (4, "# name 2 = spar: Surface light"), (5, "# name 3 = par: Light"), (6, "# start_time = Jul 19 2010 17:30:00"), (7, "*END*"),
-    ],
-)
+_SCAN_LINES = """SELECT 'casts/' || user_id || '.cnv' AS path, 100 + event_id AS line_no, '  ' || (CAST((event_id * 7) % 41 AS DOUBLE) / 2) || ' ' || value || ' '
+  || CASE WHEN event_id % 5 = 0 THEN '0.0' ELSE '100.0' END || '  50.0' AS line FROM {events}"""
+_HEADER = [
+    (1, "* NMEA Latitude = 43 30.00 N"),
+    (2, "# name 0 = depSM: Depth [salt water, m]"),
+    (3, "# name 1 = t090C: Temperature"),
+    (4, "# name 2 = spar: Surface light"),
+    (5, "# name 3 = par: Light"),
+    (6, "# start_time = Jul 19 2010 17:30:00"),
+    (7, "*END*"),
+]
 
 
 @query(
@@ -415,9 +415,9 @@ SELECT path AS STATION_ID, sampleDepth, 'temperature' AS ANALYTE, {steady_sql('t
 UNION ALL SELECT path, sampleDepth, 'cpar', {steady_sql('cpar')}, NULL, TIMESTAMP '2010-07-19 17:30:00', 435e-1 FROM b WHERE cpar IS NOT NULL"""
 )
 def source_cast_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spark.sql(
-        _CAST_LINES, events=table(spark, sf_dir, "events"), header=lookup(spark, _HEADER)
-    )
+    scans = spark.sql(_SCAN_LINES, events=table(spark, sf_dir, "events"))
+    head = [F.struct(F.lit(i).cast("bigint").alias("line_no"), F.lit(x).alias("line")) for i, x in _HEADER]
+    lines = scans.select("path").distinct().select("path", F.inline(F.array(*head))).unionByName(scans)
     # The spread is set so wide that no scan counts as a spike; despike has its own query.
     out = cast_files.cast_table(lines, despike_spread=1e6)
     return out.select(
