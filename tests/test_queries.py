@@ -35,6 +35,8 @@ def plain(v):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, str(DATA))
+    physical = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in physical and "NestedLoop" not in physical
     columns = sorted(df.columns)
     rows = sorted(tuple(plain(r[c]) for c in columns) for r in df.collect())
     if name not in SQL:
