@@ -10,13 +10,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import na_text
-from .joins import join_statistics
+from .joins import join_statistics, null_safe_join
 
 
 def with_group_stats(df: DataFrame, by: list[str], **stats: Column) -> DataFrame:
     """Group aggregates beside every row."""
-    table = df.groupBy(*by).agg(*[c.alias(name) for name, c in stats.items()])
-    return join_statistics(df, table, by)
+    return join_statistics(df, _stats(df, by, stats), by)
+
+
+def with_group_stats_shuffled(df: DataFrame, by: list[str], **stats: Column) -> DataFrame:
+    """The same inside one job, for rows that are costly to compute twice.
+
+    Rows and aggregates start from the same exchange; adaptive execution splits
+    hot keys of the join.
+    """
+    return null_safe_join(df, _stats(df, by, stats), by)
+
+
+def _stats(df: DataFrame, by: list[str], stats: dict[str, Column]) -> DataFrame:
+    return df.groupBy(*by).agg(*[c.alias(name) for name, c in stats.items()])
 
 
 def fill_group_mean(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:

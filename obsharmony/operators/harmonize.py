@@ -22,8 +22,9 @@ from ..functions.text import (
     to_number,
     unit_text,
 )
+from ..session import durable
 from .groups import collapse_texts, fill_group_mean, fill_group_mode, mean_of_distinct, with_group_stats
-from .joins import join_statistics, null_safe_join
+from .joins import null_safe_join, sized
 from .reshape import unpivot_long
 
 # Fixed value: mass of silica per mass of silicon.
@@ -256,9 +257,9 @@ def fill_coordinates(df: DataFrame, site: str, columns: Sequence[str], table: Da
 
 def site_depths(lab: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Mean of distinct (depth, date) per site, and per site and year."""
-    # Both means start from the same distinct tuples, so rows are shuffled once, as tuples.
+    # Both means start from the same distinct tuples, kept once.
     known = lab.filter(F.col("stationDepth").isNotNull())
-    tuples = known.select("SITE_ID", "YEAR", "sampleDate", "stationDepth").distinct()
+    tuples = durable(known.select("SITE_ID", "YEAR", "sampleDate", "stationDepth").distinct())
     return (
         mean_of_distinct(tuples, ["SITE_ID"], "stationDepth", ["sampleDate"], "siteDepth"),
         mean_of_distinct(tuples, ["SITE_ID", "YEAR"], "stationDepth", ["sampleDate"], "siteDepthYear"),
@@ -280,8 +281,8 @@ def depth_from_cast(df: DataFrame, depth: Column, deepest: Column) -> DataFrame:
 def station_depth_fallback(casts: DataFrame, lab: DataFrame) -> DataFrame:
     """Cast station depth from the lab table: site-year mean, site mean, deepest scan."""
     by_site, by_year = site_depths(lab)
-    out = join_statistics(casts.drop("stationDepth"), by_site, ["SITE_ID"])
-    out = join_statistics(out, by_year, ["SITE_ID", "YEAR"])
+    out = null_safe_join(casts.drop("stationDepth"), sized(by_site), ["SITE_ID"])
+    out = null_safe_join(out, sized(by_year), ["SITE_ID", "YEAR"])
     out = depth_from_cast(out, F.coalesce("siteDepthYear", "siteDepth"), F.col("maxCTDdepth"))
     return out.drop("siteDepth", "siteDepthYear", "maxCTDdepth")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import matches
 from ..functions.numeric import seeded_uniform
-from .groups import collapse_texts, with_group_stats
+from .groups import collapse_texts, with_group_stats, with_group_stats_shuffled
 from .joins import null_safe_join
 from .reshape import pivot_wide
 
@@ -49,7 +49,7 @@ def detection_limit_fill(
     merged = _merge_positions(df, order)
     merged = merged.drop(order).distinct().withColumn("Year", F.year("sampleDateTimeUTC"))
     group = ["Study", "Year", "CodeName"]
-    out = with_group_stats(
+    out = with_group_stats_shuffled(
         merged,
         group,
         __mdl=F.avg("MDL"),

@@ -1,9 +1,10 @@
 """Ordered work inside groups of any size.
 
-A window over a whole group puts that group into one task. Here a group is
-first cut into ordered ranges with split points from a bounded sketch; windows
-run inside (group, range), and a small per-range summary carries totals and
-last values from one range to the next. Results are exact.
+A window over a whole group puts that group into one task. Here group sizes are
+counted first, and a large group is cut into ordered ranges with split points
+from a bounded sketch; windows run inside (group, range), and a small per-range
+summary carries totals and last values from one range to the next. Results are
+exact.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from ..session import durable
 from .joins import null_safe_join, sized
 
 RANGES = 64
+# Groups up to this size are ordered in one task; larger ones are cut.
+GROUP_ROWS = 500_000
 RANGE = "__range"
 _ACCURACY = 10_000
 _STEP = 8
@@ -23,16 +26,25 @@ _STEP = 8
 _POINT_ROWS = 20_000
 
 
-def with_ranges(df: DataFrame, by: list[str], order: str, ranges: int = RANGES) -> DataFrame:
-    """Number ordered ranges of `order` inside each group; `order` must be numeric.
+def with_ranges(
+    df: DataFrame, by: list[str], order: str, ranges: int = RANGES, group_rows: int = GROUP_ROWS
+) -> DataFrame | None:
+    """Number ordered ranges of `order` inside each large group; `order` must be numeric.
 
-    The split points are materialised once, because a second evaluation of the
-    sketch may give other points. A range holds about 1/ranges of the group's
-    distinct order values.
+    None when no group has more than `group_rows` rows; groups below that are
+    one range. The split points are materialised once, because a second
+    evaluation of the sketch may give other points. A range holds about
+    1/ranges of the group's distinct order values.
     """
+    sizes = df.groupBy(*by).agg(F.count("*").alias("__n"))
+    large = durable(sizes.filter(F.col("__n") > group_rows).select(*by))
+    if large.isEmpty():
+        return None
     grid = [i / ranges for i in range(1, ranges)]
     points = durable(
-        df.groupBy(*by).agg(F.percentile_approx(order, grid, _ACCURACY).alias("__points"))
+        null_safe_join(df.select(*by, order), sized(large, _POINT_ROWS), by, "left_semi")
+        .groupBy(*by)
+        .agg(F.percentile_approx(order, grid, _ACCURACY).alias("__points"))
     )
     # Every _STEP-th point first, then only the points of that step.
     steps = F.filter("__points", lambda p, i: i % _STEP == _STEP - 1)
@@ -44,7 +56,7 @@ def with_ranges(df: DataFrame, by: list[str], order: str, ranges: int = RANGES)
     out = null_safe_join(df, sized(points, _POINT_ROWS), by).withColumn("__step", below("__steps"))
     inside = F.slice("__points", F.col("__step") * _STEP + 1, F.lit(_STEP - 1))
     rank = F.col("__step") * _STEP + below(inside)
-    # A row without an order value, or in a group without any, goes to the first range.
+    # A group without split points, or a row without an order value, is in the first range.
     return out.withColumn(
         RANGE, F.when(F.col("__step") >= 0, F.coalesce(rank, F.lit(0))).otherwise(F.lit(0))
     ).drop("__points", "__steps", "__step")
@@ -54,11 +66,18 @@ def _before(by: list[str]):
     return W.partitionBy(*by).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
 
 
+def _up_to_here(by: list[str], order: str):
+    return W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
+
+
 def with_position(
-    df: DataFrame, by: list[str], order: str, name: str = "position", ranges: int = RANGES
+    df: DataFrame, by: list[str], order: str, name: str = "position",
+    ranges: int = RANGES, group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """0-based position by `order` inside each group; `order` must be unique there."""
-    cut = with_ranges(df, by, order, ranges)
+    cut = with_ranges(df, by, order, ranges, group_rows)
+    if cut is None:
+        return df.withColumn(name, (F.count("*").over(_up_to_here(by, order)) - 1))
     # At most `ranges` rows per group reach this window.
     offsets = (
         cut.groupBy(*by, RANGE)
@@ -66,19 +85,22 @@ def with_position(
         .withColumn("__offset", F.coalesce(F.sum("__n").over(_before(by)), F.lit(0)))
         .drop("__n")
     )
-    inside = W.partitionBy(*by, RANGE).orderBy(order)
+    inside = F.count("*").over(_up_to_here([*by, RANGE], order))
     return (
         null_safe_join(cut, offsets, [*by, RANGE])
-        .withColumn(name, F.col("__offset") + F.row_number().over(inside) - 1)
+        .withColumn(name, F.col("__offset") + inside - 1)
         .drop(RANGE, "__offset")
     )
 
 
 def carry_forward(
-    df: DataFrame, by: list[str], order: str, column: str, ranges: int = RANGES
+    df: DataFrame, by: list[str], order: str, column: str,
+    ranges: int = RANGES, group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Replace NULL by the last known value before it; `order` must be unique in the group."""
-    cut = with_ranges(df, by, order, ranges)
+    cut = with_ranges(df, by, order, ranges, group_rows)
+    if cut is None:
+        return df.withColumn(column, F.last(column, ignorenulls=True).over(_up_to_here(by, order)))
     known = F.when(F.col(column).isNotNull(), F.col(order))
     carried = (
         cut.groupBy(*by, RANGE)
@@ -86,8 +108,7 @@ def carry_forward(
         .withColumn("__carry", F.last("__last", ignorenulls=True).over(_before(by)))
         .drop("__last")
     )
-    inside = W.partitionBy(*by, RANGE).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    here = F.last(column, ignorenulls=True).over(inside)
+    here = F.last(column, ignorenulls=True).over(_up_to_here([*by, RANGE], order))
     return (
         null_safe_join(cut, carried, [*by, RANGE])
         .withColumn(column, F.coalesce(here, F.col("__carry")))
@@ -95,8 +116,33 @@ def carry_forward(
     )
 
 
+def _ranked(counts: DataFrame, by: list[str], value: str, ranges: int, group_rows: int) -> DataFrame:
+    """Distinct values with their count, the rank after them, and the group's total."""
+    cut = with_ranges(counts, by, value, ranges, group_rows)
+    if cut is None:
+        return counts.select(
+            *by,
+            value,
+            "__n",
+            F.sum("__n").over(_up_to_here(by, value)).alias("__end"),
+            F.sum("__n").over(W.partitionBy(*by)).alias("__total"),
+        )
+    summary = cut.groupBy(*by, RANGE).agg(F.sum("__n").alias("__rn"))
+    summary = summary.select(
+        *by,
+        RANGE,
+        F.coalesce(F.sum("__rn").over(_before(by)), F.lit(0)).alias("__offset"),
+        F.sum("__rn").over(W.partitionBy(*by)).alias("__total"),
+    )
+    inside = F.sum("__n").over(_up_to_here([*by, RANGE], value))
+    return null_safe_join(cut, summary, [*by, RANGE]).withColumn(
+        "__end", F.col("__offset") + inside
+    )
+
+
 def quantiles(
-    df: DataFrame, by: list[str], value: str, probs: dict[str, float], ranges: int = RANGES
+    df: DataFrame, by: list[str], value: str, probs: dict[str, float],
+    ranges: int = RANGES, group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per entry of `probs`.
 
@@ -106,18 +152,7 @@ def quantiles(
     counts = (
         df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n"))
     )
-    cut = with_ranges(counts, by, value, ranges)
-    summary = cut.groupBy(*by, RANGE).agg(F.sum("__n").alias("__rn"))
-    summary = summary.select(
-        *by,
-        RANGE,
-        F.coalesce(F.sum("__rn").over(_before(by)), F.lit(0)).alias("__offset"),
-        F.sum("__rn").over(W.partitionBy(*by)).alias("__total"),
-    )
-    inside = W.partitionBy(*by, RANGE).orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    ranked = null_safe_join(cut, summary, [*by, RANGE]).withColumn(
-        "__end", F.col("__offset") + F.sum("__n").over(inside)
-    )
+    ranked = _ranked(counts, by, value, ranges, group_rows)
     start, end = F.col("__end") - F.col("__n"), F.col("__end")
 
     def at(rank: Column) -> Column:

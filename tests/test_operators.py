@@ -122,22 +122,23 @@ def grouped(pdf):
     return pdf.assign(g=pdf.g.fillna("~")).sort_values("id").groupby("g")
 
 
-@pytest.mark.parametrize("ranges", [64, 8])
-def test_exact_quantiles(hot, ranges):
+@pytest.mark.parametrize(("ranges", "group_rows"), [(64, 100), (8, 400), (64, 10_000)])
+def test_exact_quantiles(hot, ranges, group_rows):
     pdf, df = hot
     probs = {"a": 0.0, "b": 0.025, "c": 0.5, "d": 0.975, "e": 1.0}
-    got = {r.g or "~": [r[k] for k in probs] for r in ordered.quantiles(df, ["g"], "x", probs, ranges).collect()}
+    got = {r.g or "~": [r[k] for k in probs] for r in ordered.quantiles(df, ["g"], "x", probs, ranges, group_rows).collect()}
     want = {g: x.x.quantile(list(probs.values())).tolist() for g, x in grouped(pdf)}
     assert set(got) == set(want)
     assert all(np.allclose(got[g], want[g], rtol=1e-12) for g in want)
 
 
-def test_position_and_carry_forward(hot):
+@pytest.mark.parametrize("group_rows", [100, 400, 10_000])
+def test_position_and_carry_forward(hot, group_rows):
     pdf, df = hot
-    pos = {r.id: r.position for r in ordered.with_position(df, ["g"], "id").collect()}
+    pos = {r.id: r.position for r in ordered.with_position(df, ["g"], "id", group_rows=group_rows).collect()}
     want = pd.concat([x.assign(p=range(len(x))) for _, x in grouped(pdf)])
     assert pos == dict(zip(want.id, want.p))
-    carried = {r.id: r.x for r in ordered.carry_forward(df, ["g"], "id", "x").collect()}
+    carried = {r.id: r.x for r in ordered.carry_forward(df, ["g"], "id", "x", group_rows=group_rows).collect()}
     want = pd.concat([x.assign(f=x.x.ffill()) for _, x in grouped(pdf)])
     assert carried == {i: None if math.isnan(f) else f for i, f in zip(want.id, want.f)}
 
