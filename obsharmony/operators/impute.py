@@ -147,12 +147,14 @@ def forest_fill(
     means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
     shares = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in columns]).first()
     gaps = sorted((c for c in columns if 0 < shares[c] < 1), key=lambda c: (shares[c], c))
+    # A column without any value can neither be predicted nor help to predict.
+    usable = [c for c in columns if shares[c] < 1]
     work = df.withColumns({f"__gap_{c}": F.col(c).isNull() for c in gaps})
     work = work.fillna({c: means[c] for c in gaps})
     for _ in range(rounds):
         for c in gaps:
             inputs = VectorAssembler(
-                inputCols=[x for x in columns if x != c], outputCol="__in", handleInvalid="skip"
+                inputCols=[x for x in usable if x != c], outputCol="__in", handleInvalid="error"
             )
             table = inputs.transform(work)
             forest = RandomForestRegressor(

@@ -272,8 +272,10 @@ def test_forest_keeps_observed_values(spark):
     a = rng.random(400)
     pdf = pd.DataFrame({"id": range(400), "a": a, "b": a * 10, "c": rng.random(400)})
     df = spark.createDataFrame(pdf).withColumn("b", F.when(F.col("id") % 4 > 0, F.col("b")))
-    out = impute.forest_fill(df, ["a", "b", "c"], rounds=1, trees=10, depth=6).toPandas().set_index("id").sort_index()
+    df = df.withColumn("none", F.lit(None).cast("double"))
+    out = impute.forest_fill(df, ["a", "b", "c", "none"], rounds=1, trees=10, depth=6).toPandas().set_index("id").sort_index()
     hidden = out.index % 4 == 0
+    assert len(out) == 400 and out.none.isna().all()
     assert np.allclose(out.b[~hidden], pdf.b[~hidden]) and out.b.notna().all()
     assert (out.b[hidden] - pdf.b[hidden].to_numpy()).abs().mean() < 1.0
     assert impute.low_missing_columns(df, ["a", "b", "c"], "b", 0.9) == ["a", "c"]
