@@ -176,10 +176,12 @@ def _months_to_numbers(text: Column) -> Column:
 
 
 def _date_piece(piece: Column) -> Column:
+    """Path piece with months as numbers and name parts removed; NULL without any digit."""
     text = _months_to_numbers(F.lower(piece))
     for noise in ("[a-zA-Z]+_+", "_+[a-zA-Z]+", r"\s", "m[0-9]+_"):
         text = remove_all(text, noise)
-    return text
+    # No date pattern can match a piece that had no digit, and most pieces have none.
+    return F.when(piece.rlike("[0-9]"), text)
 
 
 def _date_of(hit: Column, order: str) -> Column:

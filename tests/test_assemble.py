@@ -197,7 +197,3 @@ def test_csv_sink_and_row_cap(spark, catalog, result, tmp_path):
     with pytest.raises(ValueError, match="no column"):
         read_table(spark, catalog["key"], {"absent": "string"})
 
-
-def test_all_lakes(spark, catalog):
-    df = assemble(spark, catalog, lakes=None, n_max=50)
-    assert df.filter("UID = 'NCCA-11'").count() == 1
