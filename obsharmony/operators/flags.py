@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import any_of, blank_to_null, matches, na_text
 from ..functions.text import remove_all, replace_first
 from ..session import durable
-from .joins import BROADCAST_ROWS, null_safe_join
+from .joins import BROADCAST_ROWS, fits_broadcast, null_safe_join
 
 # Fixed value: stands for "no code" or "no comment" on both sides of the flag join.
 NO_TEXT = "XXXX"
@@ -90,7 +90,7 @@ def _match_vocabulary(vocabulary: DataFrame, flags: DataFrame, max_rows: int) ->
         & F.expr("__c RLIKE __code")
         & F.expr("__m RLIKE __comment")
     )
-    if flags.limit(max_rows + 1).count() <= max_rows:
+    if fits_broadcast(flags, max_rows):
         return texts.join(F.broadcast(flags), condition, "left")
     # Few studies: a shuffle on the study alone would put a third of the texts in one task.
     texts = texts.withColumn("__salt", F.pmod(F.xxhash64("__c", "__m"), F.lit(_SALTS)))
@@ -133,7 +133,7 @@ def match_flags(df: DataFrame, flags: DataFrame, max_rows: int = BROADCAST_ROWS)
         .withColumns({c: _without_na(c) for c in ("Unified_Flag", "Unified_Comment")})
         .withColumn("__drop", matches("Retain", "remove", ignore_case=True))
     )
-    if merged.limit(max_rows + 1).count() <= max_rows:
+    if fits_broadcast(merged, max_rows):
         out = null_safe_join(df, F.broadcast(merged), keys)
         return out.filter(~F.coalesce("__drop", F.lit(False))).drop("__drop")
     empty = {c: F.lit(None).cast("string") for c in FLAG_FIELDS}

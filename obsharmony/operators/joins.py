@@ -10,15 +10,28 @@ from pyspark.sql import functions as F
 from ..functions.nulls import all_of
 from ..session import durable
 
-# A lookup table with more rows than this is joined by shuffle instead of broadcast.
+# A table beyond either limit is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 KeyPair = str | tuple[str, str]
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table is proven small, in rows and in bytes, by one bounded aggregate."""
+    width = F.lit(8 * len(df.columns))
+    for c, t in df.dtypes:
+        if t in ("string", "binary"):
+            width = width + F.coalesce(F.octet_length(f"`{c}`"), F.lit(0))
+        elif t.startswith(("array", "map")):
+            width = width + 32 * F.greatest(F.size(f"`{c}`"), F.lit(0))
+    row = df.limit(max_rows + 1).agg(F.count("*"), F.sum(width.cast("bigint"))).first()
+    return row[0] <= max_rows and (row[1] or 0) <= BROADCAST_BYTES
+
+
 def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a lookup table for broadcast only when a bounded count proves it small."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """Mark a table for broadcast only when it is proven small."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def _pairs(keys: Iterable[KeyPair]) -> list[tuple[str, str]]:

@@ -46,6 +46,13 @@ def test_large_lookup_is_not_broadcast(spark):
     assert joins.sized(big, 49) is big
 
 
+def test_few_rows_with_long_texts_are_not_broadcast(spark, monkeypatch):
+    texts = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("t"), F.array("id").alias("a"))
+    assert joins.sized(texts) is not texts
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 9_000)
+    assert joins.sized(texts) is texts
+
+
 @pytest.mark.parametrize("max_rows", [0, 100])
 def test_hot_key_join_is_split(spark, max_rows):
     """A key with most of the rows: broadcast when few groups, split when many."""
