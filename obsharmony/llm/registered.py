@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_rules, sharding
+from . import nearest, packing, quality_classifier, quality_rules, sentencepiece_viterbi, sharding
 from .common import kept, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_streaming_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document by streaming Viterbi, and whether decoding gives the text back."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(docs), text="decoded")
+    return read.select(
+        "doc_id",
+        F.coalesce(F.octet_length("ids") / 4, F.lit(0)).cast("long").alias("n_ids"),
+        F.crc32(F.coalesce("ids", F.lit(b""))).alias("ids_crc32"),
+        F.sha2(F.encode(F.coalesce("decoded", F.lit("")), "UTF-8"), 256).alias("decoded_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 def op5_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 15 by two-pass shuffle; law `rows`."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -23,6 +36,12 @@ def op5_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest rows of every embedding whose id is divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors.where(F.col("vec_id") % 100 == 0), vectors)
+
+
 def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document and its verdict under the host-level rules."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -30,6 +49,20 @@ def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.with_verdicts(measured).select("doc_id", *quality_rules.MEASURES, "base_failed", "kept")
 
 
+def op9_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by attention over its passages."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality_classifier.score(docs, model)
+    return scored.select("doc_id", quality_classifier.held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op10_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens, cut by dynamic programming."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 OP8_SQL = rf"""
@@ -72,7 +105,7 @@ FROM judged"""
 
 
 def builders() -> dict[str, Builder]:
-    return {f.__name__: f for f in (op5_shuffled_shards, op8_host_quality)}
+    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracles() -> dict[str, str]:
