@@ -74,34 +74,35 @@ class Tree:
                 return rows
         return point, float(d[inside].max()), float(d[~inside].min()), self.build(rows[inside]), self.build(rows[~inside])
 
-    def search(self, q: np.ndarray, own: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1: none) and distances of the k nearest found for each query, without its own row."""
-        n = len(q)
-        found_d, found_id = np.full((n, k), np.inf), np.full((n, k), np.iinfo(np.int64).max)
-
-        def visit(node, who: np.ndarray) -> None:
-            if not len(who):
-                return
-            if isinstance(node, np.ndarray):
-                d = distances(q[who], self.x[node])
-                ids = np.broadcast_to(self.ids[node], d.shape)
-                d = np.where(ids == own[who, None], np.inf, d)
-                d, ids = np.concatenate([found_d[who], d], 1), np.concatenate([found_id[who], ids], 1)
-                best = np.lexsort((ids, d), axis=1)[:, :k]
-                found_d[who], found_id[who] = np.take_along_axis(d, best, 1), np.take_along_axis(ids, best, 1)
-                return
-            point, most, least, inner, outer = node
-            d = distances(q[who], self.x[[point]])[:, 0]
-            near = d <= (most + least) / 2
-            for first in (True, False):  # the nearer side first, then the other where it may hold more
-                for node, side, gap in ((inner, near, d - most), (outer, ~near, least - d)):
-                    if first:
-                        visit(node, who[side])
-                    else:
-                        visit(node, who[~side & (gap <= factor * found_d[who, k - 1])])
-
-        visit(self.root, np.arange(n))
-        return np.where(np.isinf(found_d), -1, found_id), found_d
+
+def search_tree(tree_ids: np.ndarray, x: np.ndarray, root, q: np.ndarray, own: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids (-1: none) and distances of the k nearest found for each query, without its own row."""
+    n = len(q)
+    found_d, found_id = np.full((n, k), np.inf), np.full((n, k), np.iinfo(np.int64).max)
+
+    def visit(node, who: np.ndarray) -> None:
+        if not len(who):
+            return
+        if isinstance(node, np.ndarray):
+            d = distances(q[who], x[node])
+            ids = np.broadcast_to(tree_ids[node], d.shape)
+            d = np.where(ids == own[who, None], np.inf, d)
+            d, ids = np.concatenate([found_d[who], d], 1), np.concatenate([found_id[who], ids], 1)
+            best = np.lexsort((ids, d), axis=1)[:, :k]
+            found_d[who], found_id[who] = np.take_along_axis(d, best, 1), np.take_along_axis(ids, best, 1)
+            return
+        point, most, least, inner, outer = node
+        d = distances(q[who], x[[point]])[:, 0]
+        near = d <= (most + least) / 2
+        for first in (True, False):  # the nearer side first, then the other where it may hold more
+            for node, side, gap in ((inner, near, d - most), (outer, ~near, least - d)):
+                if first:
+                    visit(node, who[side])
+                else:
+                    visit(node, who[~side & (gap <= factor * found_d[who, k - 1])])
+
+    visit(root, np.arange(n))
+    return np.where(np.isinf(found_d), -1, found_id), found_d
 
 
 def build_trees(rows: DataFrame, p: Trees = Trees()) -> DataFrame:
@@ -113,7 +114,7 @@ def build_trees(rows: DataFrame, p: Trees = Trees()) -> DataFrame:
     def build(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.array(pdf["v"].tolist(), float).reshape(len(pdf), -1)
         tree = Tree(pdf["id"].to_numpy(np.int64), x, p.leaf, p.seed)
-        return pd.DataFrame({"shard": [key[0]], "tree": [pickle.dumps(tree)]})
+        return pd.DataFrame({"shard": [key[0]], "tree": [pickle.dumps((tree.ids, tree.x, tree.root))]})
 
     return kept(placed.groupBy("shard").applyInPandas(build, "shard int, tree binary"), "trees")
 
@@ -143,7 +144,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, p: Trees = Tree
             for tree, asked in zip(frame["tree"], frame["asked"]):
                 ids = np.array([a["id"] for a in asked], np.int64)
                 q = np.array([a["v"] for a in asked], float)
-                found, d = pickle.loads(tree).search(q, ids, k, p.factor)
+                found, d = search_tree(*pickle.loads(tree), q, ids, k, p.factor)
                 yield pd.DataFrame({"query_id": np.repeat(ids, k), "vec_id": found.ravel(), "score": d.ravel()})
 
     met = blocks.join(trees, "shard").repartition("shard", "block").select("tree", "asked")

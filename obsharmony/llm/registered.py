@@ -7,12 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import nearest, packing, quality_classifier, quality_rules, sentencepiece_viterbi, sharding
+from . import html_extraction, line_dedup, nearest, packing, quality_classifier, quality_rules, sentencepiece_viterbi, sharding
 from .common import kept, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_differenced_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, differenced against the nearest URL of its host."""
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op2_near_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier line repeats up to one word edit."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = line_dedup.dedup(docs)
+    text = F.coalesce("text", F.lit(""))
+    return left.select(
+        "doc_id", "n_removed", F.length(text).cast("long").alias("n_chars"), F.sha2(F.encode(text, "UTF-8"), 256).alias("kept_sha256")
+    )
+
+
 def op4_streaming_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by streaming Viterbi, and whether decoding gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -104,9 +119,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
+#: Word sequences of lines, equal lines reduced to their first place; near lines by leaving out
+#: one word of each and comparing what is left.
+OP2_SQL = r"""
+WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (
+  SELECT doc_id, i - 1 AS line,
+         list_filter(regexp_split_to_array(ls[i], '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM raw WHERE text IS NOT NULL AND doc_id IS NOT NULL)),
+long AS (SELECT doc_id, line, w FROM lines WHERE len(w) >= 4),
+firsts AS (SELECT w, min(struct_pack(d := doc_id, l := line)) AS pos FROM long GROUP BY w),
+parts AS (
+  SELECT pos, gone, list_concat(w[1:gone - 1], w[gone + 1:]) AS k
+  FROM (SELECT pos, w, unnest(range(1, len(w) + 1)) AS gone FROM firsts WHERE len(w) >= 10)
+  UNION ALL SELECT pos, -1 AS gone, w AS k FROM firsts WHERE len(w) >= 10),
+same AS (SELECT k, gone, min(pos) AS same FROM parts WHERE gone > 0 GROUP BY k, gone),
+other AS (
+  SELECT k, min(pos) FILTER (WHERE gone < 0) AS whole, min(pos) FILTER (WHERE gone > 0) AS part FROM parts GROUP BY k),
+near AS (
+  SELECT DISTINCT p.pos FROM parts p LEFT JOIN same s ON s.k = p.k AND s.gone = p.gone JOIN other o ON o.k = p.k
+  WHERE CASE WHEN p.gone < 0 THEN coalesce(o.part < p.pos, false)
+             ELSE coalesce(s.same < p.pos, false) OR coalesce(o.whole < p.pos, false) END),
+gone AS (
+  SELECT o.doc_id, list(o.line) AS ls FROM long o JOIN firsts f ON f.w = o.w
+  WHERE f.pos <> struct_pack(d := o.doc_id, l := o.line) OR f.pos IN (SELECT pos FROM near) GROUP BY o.doc_id),
+done AS (
+  SELECT r.doc_id, coalesce(len(g.ls), 0) AS n_removed,
+         CASE WHEN g.ls IS NULL THEN coalesce(r.text, '')
+              ELSE array_to_string(list_filter(r.ls, lambda x, i: NOT list_contains(g.ls, i - 1)), chr(10)) END AS t
+  FROM raw r LEFT JOIN gone g ON g.doc_id = r.doc_id)
+SELECT doc_id, CAST(n_removed AS BIGINT) AS n_removed, CAST(length(t) AS BIGINT) AS n_chars, sha256(t) AS kept_sha256 FROM done"""
+
+
 def builders() -> dict[str, Builder]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op8_host_quality": OP8_SQL}
+    return {"op2_near_line_dedup": OP2_SQL, "op8_host_quality": OP8_SQL}
