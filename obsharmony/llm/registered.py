@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extraction, line_dedup, nearest, packing, quality_classifier, quality_rules, sentencepiece_viterbi, sharding
+from . import (
+    html_extraction,
+    line_dedup,
+    nearest,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_viterbi,
+    sharding,
+)
 from .common import kept, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +38,11 @@ def op2_near_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_shingle_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 5-word shingles overlap by 75 percent or more."""
+    return ngram_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op4_streaming_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document by streaming Viterbi, and whether decoding gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
