@@ -7,8 +7,9 @@ and read again as the next stage's docs. All but the last keep the columns of do
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from obsharmony.llm import quality_rules
+from obsharmony.llm import line_dedup, ngram_join, packing, quality_rules, substring_dedup
 from obsharmony.llm.common import kept, table
 
 
@@ -17,7 +18,45 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(docs)
 
 
-STAGES = [("quality rules", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier line repeats up to one word edit."""
+    return _recounted(line_dedup.dedup(docs), docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones, that of the smallest doc_id."""
+    return ngram_join.one_per_group(docs)
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that an earlier one has; the words left are joined by a space.
+
+    A text that loses nothing stays as it is."""
+    left = substring_dedup.dedup(docs)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_words")).otherwise(F.col("text"))
+    return _recounted(left.withColumn("text", text), docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in windows of at most 2048 tokens."""
+    return packing.pack(docs)
+
+
+def _recounted(changed: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs; n_chars, where there is one, follows the text."""
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
+    return changed.select(*docs.columns)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("substring dedup", passages),
+    ("packing", packed),
+]
 
 #: Tokens and sequences are beyond SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -25,6 +64,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, stage in STAGES[:-1]:
         docs = kept(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -17,6 +17,7 @@ from . import (
     quality_rules,
     sentencepiece_viterbi,
     sharding,
+    substring_dedup,
 )
 from .common import kept, table
 
@@ -72,6 +73,12 @@ def op6_vantage_point_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors.where(F.col("vec_id") % 100 == 0), vectors)
 
 
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 50 words that a smaller doc_id has."""
+    left = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_words", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of every document and its verdict under the host-level rules."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
