@@ -26,6 +26,11 @@ from .common import kept, window_hashes, word_hashes
 from .components import components
 
 
+#: Cells of the order: octaves of the number of texts, each in PARTS by the last bits of the hash.
+PARTS = 4
+CELLS = 10 * PARTS
+
+
 @dataclass(frozen=True)
 class Join:
     """Words per n-gram, and the least similarity in percent."""
@@ -41,12 +46,13 @@ def shingles(words: list[bytes], n: int) -> np.ndarray:
 
 def sets(docs: DataFrame, p: Join = Join()) -> DataFrame:
     """One row per different text: key, rep (its smallest doc_id), n (its n-grams), and, if it can
-    have a partner, its prefix and its fragments (number, hashes)."""
+    have a partner, its prefix, its fragments (number, hashes) and how many n-grams each of
+    CELLS cells of the order holds."""
 
     def each(key: bytes, doc_id: int, words: list[bytes], totals: Totals):
         own = shingles(words, p.words)
         n, many = len(own), totals.of(own)
-        prefix, fragments = None, None
+        prefix, fragments, cells = None, None, None
         # Its partners have at least this part of its n-grams.
         if 100 * int((many > 1).sum()) >= p.percent * n:
             order = np.lexsort((own, many))
@@ -54,15 +60,17 @@ def sets(docs: DataFrame, p: Join = Join()) -> DataFrame:
             prefix = own[ahead[many[ahead] > 1]].tobytes()
             octave = np.frexp(many.astype(float))[1]
             fragments = [(int(o), own[octave == o].tobytes()) for o in np.unique(octave[many > 1])]
-        yield key, doc_id, n, prefix, fragments
+            at = (np.minimum(octave, 1 + CELLS // PARTS) - 2) * PARTS + (own & np.uint64(PARTS - 1)).astype(np.int64)
+            cells = np.bincount(at[many > 1], minlength=CELLS).tolist()
+        yield key, doc_id, n, prefix, fragments, cells
 
     blocks = Blocks(docs, lower=True)
-    schema = "key binary, rep long, n long, prefix binary, fragments array<struct<f:int,h:binary>>"
+    schema = "key binary, rep long, n long, prefix binary, fragments array<struct<f:int,h:binary>>, cells array<int>"
     return blocks.with_totals(lambda words: shingles(words, p.words), each, schema)
 
 
 def _postings(found: DataFrame, p: Join) -> DataFrame:
-    """gram, rep, n, band of every prefix; sizes that can be similar are in one band or the next."""
+    """gram, rep, n, cells, band of every prefix; similar sizes are in one band or the next."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -71,10 +79,18 @@ def _postings(found: DataFrame, p: Join) -> DataFrame:
             n = np.repeat(batch.column("n").to_numpy(), lengths)
             grams = np.concatenate([np.zeros(0, np.int64), *parts])
             band = np.floor(np.log(np.maximum(n, 1)) / np.log(100 / p.percent)).astype(np.int32)
-            arrays = [pa.array(grams), pa.array(np.repeat(batch.column("rep").to_numpy(), lengths)), pa.array(n), pa.array(band)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["gram", "rep", "n", "band"])
+            cells = batch.column("cells").take(pa.array(np.repeat(np.arange(batch.num_rows), lengths)))
+            arrays = [pa.array(grams), pa.array(np.repeat(batch.column("rep").to_numpy(), lengths)), pa.array(n), cells, pa.array(band)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["gram", "rep", "n", "cells", "band"])
+
+    rows = found.where("prefix IS NOT NULL").select("rep", "n", "prefix", "cells")
+    return rows.mapInArrow(run, "gram long, rep long, n long, cells array<int>, band int")
+
 
-    return found.where("prefix IS NOT NULL").select("rep", "n", "prefix").mapInArrow(run, "gram long, rep long, n long, band int")
+def _can_match(p: Join) -> str:
+    """Condition on a pair: its sizes, and no more overlap than the smaller count of each cell, allow the limit."""
+    most = "aggregate(zip_with(cells_a, cells_b, (x, y) -> least(x, y)), 0, (s, x) -> s + x)"
+    return f"100 * least(na, nb) >= {p.percent} * greatest(na, nb) AND {100 + p.percent} * {most} >= {p.percent} * (na + nb)"
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,20 +115,23 @@ def verified(pairs: DataFrame, found: DataFrame, p: Join) -> DataFrame:
 def linked(found: DataFrame, p: Join = Join()) -> DataFrame:
     """node, component of every text (by rep) that is linked with another."""
     postings = kept(_postings(found, p), "postings")
-    fits = (100 * F.least("na", "nb") >= p.percent * F.greatest("na", "nb")) & (F.col("a") < F.col("b"))
-    least = postings.groupBy("gram", "band").agg(F.min(F.struct("rep", "n")).alias("first"), F.max("rep").alias("last"))
-    stars = postings.join(least.where("first.rep < last"), ["gram", "band"])
-    stars = stars.select(F.col("first.rep").alias("a"), F.col("rep").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb"))
-    tried = kept(stars.where(fits).distinct(), "pairs")
+    fits = F.expr(_can_match(p))
+    least = postings.groupBy("gram", "band").agg(F.min(F.struct("rep", "n", "cells")).alias("first"), F.max("rep").alias("last"))
+    stars = postings.join(least.where("first.rep < last"), ["gram", "band"]).where(F.col("first.rep") < F.col("rep"))
+    stars = stars.select(
+        F.col("first.rep").alias("a"), F.col("rep").alias("b"), F.col("first.n").alias("na"), F.col("n").alias("nb"),
+        F.col("first.cells").alias("cells_a"), F.col("cells").alias("cells_b"),
+    )
+    tried = kept(stars.where(fits).select("a", "b", "na", "nb").distinct(), "pairs")
     links = kept(verified(tried, found, p).select("a", "b"), "links")
     label = components(links)
-    placed = postings.join(label, postings.rep == label.node, "left").select("gram", "rep", "n", F.coalesce("component", "rep").alias("c"))
+    placed = postings.join(label, postings.rep == label.node, "left").select("gram", "rep", "n", "cells", F.coalesce("component", "rep").alias("c"))
     placed = kept(placed, "postings-placed")
     split = placed.groupBy("gram").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x < y").select("gram")
-    open_ = placed.join(split, "gram", "left_semi")
-    left = open_.select("gram", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-    right = open_.select("gram", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-    rest = left.join(right, "gram").where(fits & (F.col("ca") != F.col("cb"))).select("a", "b", "na", "nb").distinct()
+    open_ = kept(placed.join(split, "gram", "left_semi"), "postings-open")
+    left = open_.select("gram", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("cells").alias("cells_a"), F.col("c").alias("ca"))
+    right = open_.select("gram", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("cells").alias("cells_b"), F.col("c").alias("cb"))
+    rest = left.join(right, "gram").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b", "na", "nb").distinct()
     rest = rest.join(tried, ["a", "b"], "left_anti").select("a", "b", "na", "nb")
     more = kept(verified(rest, found, p).select("a", "b"), "links")
     return label if more.isEmpty() else components(links.union(more))
