@@ -93,11 +93,12 @@ def cuts(ends: np.ndarray, sentences: np.ndarray, p: Packing) -> tuple[np.ndarra
     return at[order], what[order]
 
 
-def best_cuts(places: np.ndarray, costs: np.ndarray, window: int) -> list[int]:
+def best_cuts(places: np.ndarray, costs: np.ndarray, window: int, more: bool = False) -> list[int]:
     """Ends of the windows with the least padding plus cut costs.
 
     cost[j] = costs[j] + min over i with places[j] - places[i] <= window of
-    cost[i] + window - (places[j] - places[i]); among equals the earliest i.
+    cost[i] + window - (places[j] - places[i]); among equals the earliest i. If more tokens
+    follow, the last window is still open, so its padding does not count.
     """
     places, costs = [0, *places.tolist()], [0, *costs.tolist()]
     key, back = [0] * len(places), [0] * len(places)
@@ -112,6 +113,8 @@ def best_cuts(places: np.ndarray, costs: np.ndarray, window: int) -> list[int]:
             queue.pop()
         queue.append(j)
     out, j = [], len(places) - 1
+    if more:
+        back[j] = min((i for i in range(j) if places[j] - places[i] <= window), key=lambda i: (key[i] - places[i], i))
     while j:
         out.append(places[j])
         j = back[j]
@@ -137,7 +140,7 @@ class Packer:
             return []
         ids = np.concatenate([d[3] for d in self.docs])
         ends = np.cumsum([len(d[3]) for d in self.docs])
-        windows = best_cuts(*cuts(ends, np.flatnonzero(self.is_end[ids]) + 1, self.p), self.p.window)
+        windows = best_cuts(*cuts(ends, np.flatnonzero(self.is_end[ids]) + 1, self.p), self.p.window, not last)
         if not last:
             windows = windows[:-1]
         pieces, at, doc = [], 0, 0

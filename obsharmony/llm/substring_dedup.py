@@ -122,6 +122,8 @@ def _searched(rows: DataFrame, p: Passages) -> DataFrame:
         pdf = pdf.sort_values(["content", "rep"], kind="stable")
         words = [np.frombuffer(w, np.uint64) for w in pdf["words"]]
         owners, held = pdf["rep"].to_numpy(np.int64), pdf["held"].to_numpy(bool)
+        if not held.any():
+            return pd.DataFrame([], columns=["anchor", "content", "begin", "end"])
         index = FMIndex([w for w, h in zip(words, held) if h], owners[held])
         out = []
         for anchor, content, match in zip(pdf["anchor"], pdf["content"], index.matching(words, owners)):
