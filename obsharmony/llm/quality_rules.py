@@ -43,7 +43,8 @@ def measure(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> Data
     A missing or empty text has no words, so base_failed holds. Columns of the input whose
     names clash with the measures are replaced by them. Repeated windows are found by one
     sort per text of (window hash, position) packed into a long; neighbours with equal hashes
-    are compared word by word.
+    are compared word by word. Write the result (common.kept) before filtering on a measure:
+    a filter pushed below these projections would compute their arrays again for each word.
     """
     out = docs.drop(*MEASURES, "n_lines", "base_failed", "rule_failed")
     t = F.coalesce(F.col(text), F.lit(""))

@@ -447,7 +447,7 @@ def test_pipeline_stages(spark, docs, frame_module):
         new = stage(spark, left, str(DATA))
         assert new.columns == source.columns, name
         left = frame_module(source.schema, new.collect())
-    base = quality_rules.with_verdicts(quality_rules.measure(source)).where("kept").collect()
+    base = corpus_pipeline.quality(spark, source, str(DATA)).collect()
     assert {r.doc_id for r in left.collect()} <= {r.doc_id for r in base}
     pieces = corpus_pipeline.STAGES[-1][1](spark, left, str(DATA)).collect()
     assert sum(r.length for r in pieces if r.start == 0) > 0 and all(zlib.crc32(r.ids) >= 0 for r in pieces)
