@@ -40,7 +40,7 @@ def steady(c: Column | str, digits: int = 6) -> Column:
 
 
 def steady_sql(expr: str, digits: int = 6) -> str:
-    return f"floor(({expr}) * 1e{digits} + 500001e-6) / 1e{digits}"
+    return f"floor(({expr}) * 1e{digits} + 0.500001e0) / 1e{digits}"
 
 
 # Observations derived from the events table, in text both engines read alike.

@@ -351,7 +351,7 @@ def group_max_median_beside(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_obs(
-        """, g AS (SELECT *, count(*) FILTER (WHERE RESULT > 155e-1) OVER w > 1 AND count(*) FILTER (WHERE RESULT < 5) OVER w > 1 AS thermocline
+        """, g AS (SELECT *, count(*) FILTER (WHERE RESULT > 15.5e0) OVER w > 1 AND count(*) FILTER (WHERE RESULT < 5) OVER w > 1 AS thermocline
   FROM obs WINDOW w AS (PARTITION BY SITE_ID, CAST(sampleDateTimeUTC AS DATE)))
 SELECT uid, thermocline FROM g"""
     )

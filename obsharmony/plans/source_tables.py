@@ -234,7 +234,7 @@ _LAB_CTD = """SELECT CASE user_id % 6 WHEN 0 THEN 'x/M45.cnv' WHEN 1 THEN 'x/M11
    WHEN 3 THEN 'z/302_102913_0758_M45_day.cnv' ELSE 'w/a.cnv' END AS ctdFiles,
   CASE user_id % 6 WHEN 0 THEN 'beta' WHEN 1 THEN 'omega' ELSE 'gamma' END AS SITE_ID, ts AS sampleDateTime,
   CASE WHEN event_id % 3 = 0 THEN TIMESTAMP_NTZ '2019-12-16 05:00:00' WHEN event_id % 7 = 0 THEN TIMESTAMP_NTZ '1909-07-20 04:00:00' END AS sampleDateTime_ctd,
-  43e0 AS Latitude, CASE WHEN event_id % 2 = 0 THEN 435e-1 END AS Latitude_ctd, -86e0 AS Longitude, CAST(NULL AS DOUBLE) AS Longitude_ctd,
+  43e0 AS Latitude, CASE WHEN event_id % 2 = 0 THEN 43.5e0 END AS Latitude_ctd, -86e0 AS Longitude, CAST(NULL AS DOUBLE) AS Longitude_ctd,
   20e0 AS stationDepth, CAST(NULL AS DOUBLE) AS stationDepth_ctd, CAST(event_id % 40 AS DOUBLE) / 2 AS sampleDepth, event_type AS ANALYTE,
   CASE WHEN event_id % 11 > 0 THEN value END AS RESULT, 'C' AS UNITS FROM {events}"""
 
@@ -253,7 +253,7 @@ spot AS (SELECT *, CASE WHEN SITE_ID = 'alpha' THEN 'alpha' WHEN SITE_ID <> s0 T
 SELECT 'NOAActd_' || SITE_ID || '_' || CAST(CAST(t AS DATE) AS VARCHAR) || '_' ||
    CASE WHEN sampleDepth = floor(sampleDepth) THEN CAST(CAST(sampleDepth AS BIGINT) AS VARCHAR) ELSE CAST(sampleDepth AS VARCHAR) END AS UID,
   SITE_ID, t AS sampleDateTime, CodeName, ANALYTE, RESULT, 'c' AS ReportedUnits,
-  CASE p WHEN 'alpha' THEN 4318816667e-8 WHEN 'beta' THEN 4320616667e-8 WHEN 'omega' THEN 4319983333e-8 ELSE la END AS Latitude,
+  CASE p WHEN 'alpha' THEN 43.18816667e0 WHEN 'beta' THEN 43.20616667e0 WHEN 'omega' THEN 43.19983333e0 ELSE la END AS Latitude,
   CASE p WHEN 'alpha' THEN 18e0 WHEN 'beta' THEN 45e0 WHEN 'omega' THEN 110e0 ELSE 20e0 END AS stationDepth FROM spot"""
 )
 def source_lab_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,8 +411,8 @@ _HEADER = [
 turn AS (SELECT path, arg_min(scan, -depth * 1e9 + scan) AS turn FROM s GROUP BY ALL),
 d AS (SELECT s.* FROM s JOIN turn USING (path) WHERE scan <= turn AND depth > 1e-1 AND depth >= 5e-1),
 b AS (SELECT path, CAST(floor(depth - 5e-1) + 1 AS DOUBLE) AS sampleDepth, avg(t) AS temperature, avg(CASE WHEN spar > 0 THEN 50e0 / spar END) AS cpar FROM d GROUP BY ALL)
-SELECT path AS STATION_ID, sampleDepth, 'temperature' AS ANALYTE, {steady_sql('temperature')} AS RESULT, 'C' AS UNITS, TIMESTAMP '2010-07-19 17:30:00' AS sampleDateTime, 435e-1 AS Latitude FROM b
-UNION ALL SELECT path, sampleDepth, 'cpar', {steady_sql('cpar')}, NULL, TIMESTAMP '2010-07-19 17:30:00', 435e-1 FROM b WHERE cpar IS NOT NULL"""
+SELECT path AS STATION_ID, sampleDepth, 'temperature' AS ANALYTE, {steady_sql('temperature')} AS RESULT, 'C' AS UNITS, TIMESTAMP '2010-07-19 17:30:00' AS sampleDateTime, 43.5e0 AS Latitude FROM b
+UNION ALL SELECT path, sampleDepth, 'cpar', {steady_sql('cpar')}, NULL, TIMESTAMP '2010-07-19 17:30:00', 43.5e0 FROM b WHERE cpar IS NOT NULL"""
 )
 def source_cast_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     scans = spark.sql(_SCAN_LINES, events=table(spark, sf_dir, "events"))
