@@ -9,6 +9,7 @@ over a sliding window of earlier cuts, kept in a monotone queue.
 
 from __future__ import annotations
 
+import base64
 import os
 import re
 from collections import deque
@@ -21,15 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: White space as the tokenizer's pre-tokenizer sees it, for a character class.
-_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Stretches of text that the pre-tokenizer never joins: a word with at most one space before it.
-_CHUNK = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: Runs that the rank encoder is not given; texts of up to as many characters need no look.
+_LONG = 50_000
+_LONG_RUN = re.compile(rf"\S{{{_LONG}}}|\s{{{_LONG}}}")
 
 
 @dataclass(frozen=True)
 class Packing:
-    """Window length, penalties in tokens of padding, and bounds of a worker's memory."""
+    """Window length, penalties in tokens of padding, and the bound of a worker's memory."""
 
     window: int = 2048
     sentence_penalty: int = 8
@@ -39,8 +39,6 @@ class Packing:
     end_id: int = 1
     #: Tokens that one pass of the dynamic program looks at.
     run_tokens: int = 1 << 19
-    #: Chunks whose ids a worker remembers.
-    memory: int = 300_000
 
 
 def tokenizer_path() -> str:
@@ -49,31 +47,43 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def ranks_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes; remembers the ids of chunks seen before."""
+    """Ids of texts, as the tokenizer file at `path` gives them.
+
+    The rank file at `ranks` holds the same vocabulary, and its encoder gives the same ids in
+    half of the time. Texts that hold a special token or a very long run go to the tokenizer.
+    """
 
-    def __init__(self, path: str, memory: int):
+    def __init__(self, path: str, ranks: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.memory = memory
-        self.known: dict[str, bytes] = {}
-        size = self.tokenizer.get_vocab_size()
-        ends = [re.search(r"[.!?]\W*$|\n", self.tokenizer.decode([i], skip_special_tokens=False)) for i in range(size)]
-        self.ends = np.array([e is not None for e in ends])
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        chunks = [_CHUNK.findall(t) for t in texts]
-        if len(self.known) > self.memory:
-            self.known.clear()
-        new = list(set().union(*chunks) - self.known.keys())
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[c] = np.array(e.ids, "<u4").tobytes()
-        ids = self.known
-        return [b"".join([ids[c] for c in cs]) for cs in chunks]
+        import public_tokenizers
+        import tiktoken
+
+        self.path, self.tokenizer = path, None
+        with open(ranks, "rb") as lines:
+            known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={})
+        self.ends = np.zeros(max(known.values()) + 2, bool)
+        for token, i in known.items():
+            self.ends[i] = re.search(r"[.!?]\W*$|\n", token.decode("utf-8", "replace")) is not None
+
+    def slow(self, text: str) -> list[int]:
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_file(self.path)
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def __call__(self, text: str) -> list[int]:
+        if "<|endoftext|>" in text or len(text) > _LONG and _LONG_RUN.search(text):
+            return self.slow(text)
+        return self.fast.encode_ordinary(text)
 
 
 def cuts(ends: np.ndarray, sentences: np.ndarray, p: Packing) -> tuple[np.ndarray, np.ndarray]:
@@ -163,7 +173,7 @@ class Packer:
         return pieces
 
 
-def pack(docs: DataFrame, p: Packing = Packing(), path: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, p: Packing = Packing(), path: str | None = None, ranks: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian 32-bit), doc_tokens,
     sequence_id, offset. Every id of every document lies in exactly one piece.
 
@@ -171,13 +181,12 @@ def pack(docs: DataFrame, p: Packing = Packing(), path: str | None = None) -> Da
     of the text. Repeated rows are packed each. Other columns of the input are not read. An
     empty table gives no rows.
     """
-    path = path or tokenizer_path()
+    path, ranks = path or tokenizer_path(), ranks or ranks_path()
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path, p.memory)
+        encode = Encoder(path, ranks)
         packer = Packer(p, encode.ends, TaskContext.get().partitionId() << 33)
-        end = np.array([p.end_id], "<u4").tobytes()
 
         def out(pieces):
             doc_id, start, ids, tokens, sequence, offset = map(list, zip(*pieces))
@@ -191,9 +200,9 @@ def pack(docs: DataFrame, p: Packing = Packing(), path: str | None = None) -> Da
             kind = batch.schema.field("doc_id").type
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encode(texts)):
-                    if pieces := packer.add(doc_id, np.frombuffer(ids + end, "<u4")):
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
+                    ids = np.array([*encode(text or ""), p.end_id], "<u4")
+                    if pieces := packer.add(doc_id, ids):
                         yield out(pieces)
         if pieces := packer.pack(True):
             yield out(pieces)

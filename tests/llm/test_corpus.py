@@ -137,6 +137,19 @@ def test_best_cuts_against_all_choices():
         assert sum(8 - (b - a) + cost[b] for a, b in zip([0, *cuts], cuts)) == best[full[-1]]
 
 
+def test_ids_are_those_of_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    encode = packing.Encoder(packing.tokenizer_path(), packing.ranks_path())
+    odd = [chr(c) for c in [*range(0x250), *range(0x2000, 0x2070), 0x3000, 0x0660, 0x4E2D, 0xFFFD, 0x1F600]]
+    texts = ["", *(f"a{c}1{c} {c}.{c}x  {c}{c}" for c in odd), "one<|endoftext|>two <|endoftext|>", "a" * 120_000]
+    texts += [" " * 120_000 + "x", "\n" * 60_000 + "y " * 60_000, "we'll don't IT'S 3rd\r\n\t end. "]
+    for t in texts:
+        assert encode(t) == tokenizer.encode(t, add_special_tokens=False).ids
+    assert {i for t in ("end.", "?", "!", "\n") for i in encode(t)[-1:]} <= set(np.flatnonzero(encode.ends).tolist())
+
+
 def test_packing_holds_every_id_once(docs, none):
     from tokenizers import Tokenizer
 
