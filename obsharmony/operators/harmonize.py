@@ -422,13 +422,19 @@ def surface_light_percent(
     texts: Sequence[str] = ("QAcode", "QAcomment"),
     name: str = "Corrected PAR",
 ) -> DataFrame:
-    """Underwater light in percent of surface light; replaces the two light parameters."""
+    """Underwater light in percent of surface light; replaces the two light parameters.
+
+    Light under a surface without any is infinitely many percent and stays; without light
+    on either side, or without one of the readings, there is no row.
+    """
     pair = [ambient, underwater]
     own = df.filter(F.col("ANALYTE").isin(pair))
     stats = own.groupBy(*by).agg(
         _mean_of(ambient, "RESULT").alias("__a"), _mean_of(underwater, "RESULT").alias("__u")
     )
-    share = stats.withColumn("RESULT", ratio_percent("__u", "__a")).drop("__a", "__u")
+    endless = F.when(F.col("__u") > 0, F.lit(float("inf"))).when(F.col("__u") < 0, F.lit(float("-inf")))
+    percent = F.when(F.col("__a") == 0, endless).otherwise(ratio_percent("__u", "__a"))
+    share = stats.withColumn("RESULT", percent).drop("__a", "__u")
     share = share.filter(F.col("RESULT").isNotNull()).withColumns(
         {"ANALYTE": F.lit(name), "UNITS": F.lit("percent")}
     )

@@ -25,6 +25,9 @@ FINAL = [
 ]
 SORT = ["sampleDate", "sampleDateTimeUTC", "SITE_ID", "sampleDepth", "LongName"]
 
+# Fixed value: texts for a missing value in sheets that do not spell it 'NA'.
+NULL_TEXTS = {"coop_2021_agency_casts": ("-9.99e-29",)}
+
 # Fixed value: lakes in the published table.
 LAKES = ["Lake Michigan"]
 
@@ -74,10 +77,10 @@ def combine(
     return union_by_name(*frames, *[o.select(*st.OBSERVATION) for o in others])
 
 
-def _read_all(spark: SparkSession, paths: Mapping[str, str], n_max: int | None):
+def _read_all(spark: SparkSession, paths: Mapping[str, str]):
     def text(name: str, **types: str) -> DataFrame:
         """A source table, text unless a type is declared."""
-        raw = read_table(spark, paths[name], n_max=n_max)
+        raw = read_table(spark, paths[name])
         return raw.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items()})
 
     return text
@@ -85,15 +88,14 @@ def _read_all(spark: SparkSession, paths: Mapping[str, str], n_max: int | None):
 
 def load_coastal(
     spark: SparkSession, paths: Mapping[str, str], lookups: st.Lookups,
-    lakes: Sequence[str] | None, n_max: int | None,
+    lakes: Sequence[str] | None,
 ) -> DataFrame:
-    read = _read_all(spark, paths, n_max)
-    whole = _read_all(spark, paths, None)
+    read = _read_all(spark, paths)
     sites10 = coastal.sites_2010(
-        whole("coastal_sites_2010", ALAT_DD="double", ALON_DD="double", STATION_DEPTH="double")
+        read("coastal_sites_2010", ALAT_DD="double", ALON_DD="double", STATION_DEPTH="double")
     )
     sites15 = coastal.sites_2015(
-        whole("coastal_sites_2015", UID="double", LAT_DD83="double", LON_DD83="double", STATION_DEPTH="double")
+        read("coastal_sites_2015", UID="double", LAT_DD83="double", LON_DD83="double", STATION_DEPTH="double")
     )
     profile10 = coastal.profile_2010(
         read("coastal_profile_2010", **{c: "double" for c in ("UID", "SDEPTH", "STATION_DEPTH(m)", "RESULT")}),
@@ -125,7 +127,7 @@ def load_cooperative(
     spark: SparkSession, paths: Mapping[str, str], lookups: st.Lookups, values_2021: Sequence[str]
 ) -> DataFrame:
     def read(name: str, numbers: Sequence[str] = (), rest_from: str | None = None, **types: str) -> DataFrame:
-        raw = read_table(spark, paths[name])
+        raw = read_table(spark, paths[name], null_values=NULL_TEXTS.get(name, ("NA",)))
         if rest_from is not None:
             numbers = raw.columns[raw.columns.index(rest_from) :]
         casts_ = {c: "double" for c in numbers} | types
@@ -173,49 +175,46 @@ def assemble(
     out: str | None = None,
     binary: bool = True,
     lakes: Sequence[str] | None = tuple(LAKES),
-    n_max: int | None = None,
     values_2021: Sequence[str] | None = None,
 ) -> DataFrame:
     """Read every source in the catalog, harmonise, flag, censor; optionally write.
 
     `paths` names one file or folder per logical input (see readers.INPUTS).
-    `n_max` caps each survey table for a development run.
     """
     lookups = st.Lookups.read(spark, dict(paths))
-    read = _read_all(spark, paths, n_max)
-    whole = _read_all(spark, paths, None)
+    read = _read_all(spark, paths)
 
     lab = lab_database.clean(
-        lab_database.read(read("lab_database")), lookups, whole("lab_sites"), whole("lab_limits")
+        lab_database.read(read("lab_database")), lookups, read("lab_sites"), read("lab_limits")
     )
     place = {c: "double" for c in ("sampleDepth", "stationDepth", "Latitude", "Longitude", "RESULT")}
     agency = casts.agency_casts(
-        whole("agency_casts", sampleDateTime="timestamp_ntz", **place), lookups
+        read("agency_casts", sampleDateTime="timestamp_ntz", **place), lookups
     )
     instrument = {f"{c}_ctd": "double" for c in ("Latitude", "Longitude", "stationDepth")}
     lab_ctd = casts.lab_casts(
-        whole(
+        read(
             "lab_casts", sampleDateTime="timestamp_ntz", sampleDateTime_ctd="timestamp_ntz",
             **place, **instrument,
         ),
         lookups,
     )
-    aliases = whole("workbook_sites")
+    aliases = read("workbook_sites")
     aliases = aliases.withColumns(
         {c: F.col(c).try_cast("double") for c in ("Latitude", "Longitude", "stationDepth") if c in aliases.columns}
     )
     supplement = {c: "double" for c in ("Depth", *workbook.SUPPLEMENT_VALUES)}
     monthly = workbook.load(
-        whole("workbook", **{"Depth.m": "double"}),
-        whole("workbook_supplement", **supplement),
+        read("workbook", **{"Depth.m": "double"}),
+        read("workbook_supplement", **supplement),
         aliases,
         lookups,
     )
     if values_2021 is None:
-        names = whole("coop_2021_limits").columns
-        values_2021 = [c for c in names if c in whole("coop_2021_chemistry").columns]
+        names = read("coop_2021_limits").columns
+        values_2021 = [c for c in names if c in read("coop_2021_chemistry").columns]
     others = [
-        load_coastal(spark, paths, lookups, lakes, n_max),
+        load_coastal(spark, paths, lookups, lakes),
         load_cooperative(spark, paths, lookups, values_2021),
         monthly,
         lab_ctd,

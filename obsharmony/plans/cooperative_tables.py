@@ -84,7 +84,7 @@ _CHEM21 = """SELECT CASE o_custkey % 4 WHEN 0 THEN 'EAS_' WHEN 1 THEN 'pwa' WHEN
   CASE WHEN o_custkey % 5 > 0 THEN 10e0 + o_custkey % 9 END AS `Site.Depth.(m)`, CAST(o_orderkey % 20 AS DOUBLE) AS `Separate.depths.(m)`, o_orderkey AS `STIS#`,
   CAST(o_custkey % 50 - 5 AS STRING) AS `NH4.ug.N/L`, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey % 40 AS STRING) END AS `chl.a.mg/L`, '1' AS `VSS.mg/L` FROM {orders}"""
 _CTD21 = """SELECT 'EAS_' || (user_id % 12) AS X2, 44377e0 + event_id % 3 + 25e-2 AS X3, CAST(event_id % 50 AS DOUBLE) AS `Depth..fresh.water..m.`,
-  value AS `Temperature..deg.C.`, 1e0 AS `Oxygen..mg.l.`, 2e0 AS `Specific.Conductance..uS.cm.`, CASE WHEN event_id % 4 > 0 THEN value / 4 END AS `CPAR.Corrected.Irradiance....`,
+  value AS `Temperature..deg.C.`, 1e0 AS `Oxygen..mg.l.`, 2e0 AS `Specific.Conductance..uS.cm.`, CASE WHEN event_id % 9 = 0 THEN -9.99e-29 WHEN event_id % 4 > 0 THEN value / 4 END AS `CPAR.Corrected.Irradiance....`,
   8e0 AS pH, CASE WHEN event_id % 7 = 0 THEN 12e0 ELSE 43e0 + event_id % 3 END AS `Latitude..deg.`, -87e0 + event_id % 5 AS `Longitude..deg.` FROM {events}"""
 _SITES21 = "SELECT 'LUD_' || n_nationkey AS TRANSECT, 43e0 + n_nationkey % 2 AS BEG_LATITUDE_DD, -86e0 AS BEG_LONGITUDE_DD, 30e0 + n_nationkey AS beg_depth FROM {nation}"
 _CTDSURVEY = """SELECT 'LUD_' || (c_custkey % 30) AS Transect, 's' || c_custkey AS Serial, (1 + c_custkey % 28) || '-JUL-21' AS Date, CAST(c_custkey % 9 AS DOUBLE) AS Depth_m,
@@ -110,7 +110,7 @@ c0 AS (SELECT *, DATE '1899-12-30' + CAST(Date AS INTEGER) AS day, CASE WHEN "Ti
 c1 AS (SELECT *, day + clock + INTERVAL 5 HOUR AS t FROM c0),
 cv AS (SELECT 'CSMI_2021_WQ-' || "STIS#" AS UID, 'CSMI_2021_WQ' AS Study, {_SITE.format(c='Site')} AS SITE_ID, t, coalesce(CAST(t AS DATE), day) AS sampleDate, "Site.Depth.(m)" AS sd, "Separate.depths.(m)" AS sampleDepth,
    v.ANALYTE, v.u, v.r, NULL::DOUBLE AS la, NULL::DOUBLE AS lo, NULL::DOUBLE AS deep FROM c1, LATERAL (SELECT 'NH4' AS ANALYTE, 'ug n/l' AS u, CAST("NH4.ug.N/L" AS DOUBLE) AS r UNION ALL SELECT 'chla', 'a mg/l', CAST("chl.a.mg/L" AS DOUBLE)) v WHERE v.r >= 0),
-e0 AS (SELECT replace(lower(X2), '_', '') AS SITE_ID, DATE '1899-12-30' + CAST(floor(X3) AS INTEGER) AS sampleDate, "Depth..fresh.water..m." AS sampleDepth, "Temperature..deg.C." AS tt, "CPAR.Corrected.Irradiance...." AS cc,
+e0 AS (SELECT replace(lower(X2), '_', '') AS SITE_ID, DATE '1899-12-30' + CAST(floor(X3) AS INTEGER) AS sampleDate, "Depth..fresh.water..m." AS sampleDepth, "Temperature..deg.C." AS tt, nullif("CPAR.Corrected.Irradiance....", -9.99e-29) AS cc,
    pH AS pp, CASE WHEN "Latitude..deg." BETWEEN 41 AND 47 THEN "Latitude..deg." END AS la0, CASE WHEN "Longitude..deg." BETWEEN -88 AND -84 THEN "Longitude..deg." END AS lo0 FROM epa),
 e1 AS (SELECT SITE_ID, sampleDate, quantile_cont(la0, 0.5) AS la, quantile_cont(lo0, 0.5) AS lo FROM e0 GROUP BY ALL),
 e2 AS (SELECT SITE_ID, max(sampleDepth) AS deep FROM e0 GROUP BY ALL),

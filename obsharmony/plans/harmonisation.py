@@ -230,7 +230,7 @@ def censor_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
   FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'NA;' || source || ';'
                             WHEN doc_id % 3 = 1 THEN source || ',' || lang || '; X'
                             WHEN doc_id % 5 = 0 THEN 'NA' END AS code0,
-               CASE WHEN doc_id % 4 = 0 THEN 'NA;' WHEN doc_id % 4 = 1 THEN text END AS text0
+               CASE WHEN doc_id % 4 = 0 THEN 'NA;' || text ELSE text END AS text0
         FROM documents))"""
 )
 def qa_text_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,7 +239,7 @@ def qa_text_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN doc_id % 3 = 0 THEN 'NA;' || source || ';' "
         "WHEN doc_id % 3 = 1 THEN source || ',' || lang || '; X' WHEN doc_id % 5 = 0 THEN 'NA' END"
     )
-    comment = F.expr("CASE WHEN doc_id % 4 = 0 THEN 'NA;' WHEN doc_id % 4 = 1 THEN text END")
+    comment = F.expr("CASE WHEN doc_id % 4 = 0 THEN 'NA;' || text ELSE text END")
     return fl.clean_qa_text(
         docs.select("doc_id", code.alias("QAcode"), comment.alias("QAcomment"))
     )
@@ -529,9 +529,10 @@ def sum_two_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LIGHT = """SELECT uid, SITE_ID, sampleDepth, RESULT, UNITS, QAcode,
+_LIGHT = """SELECT uid, SITE_ID, sampleDepth, UNITS, QAcode,
+  CASE WHEN ANALYTE = 'click' AND sampleDepth >= 58 OR ANALYTE = 'view' AND sampleDepth = 60 THEN 0e0 ELSE abs(RESULT) END AS RESULT,
   CASE ANALYTE WHEN 'click' THEN 'Ambient PAR' WHEN 'view' THEN 'Underwater PAR' ELSE ANALYTE END AS ANALYTE
-FROM {obs} WHERE RESULT >= 0 OR RESULT IS NULL"""
+FROM {obs}"""
 
 
 def _light_sql() -> str:
@@ -541,10 +542,10 @@ own AS (SELECT * FROM src WHERE ANALYTE IN ('Ambient PAR', 'Underwater PAR')),
 d AS (SELECT SITE_ID, sampleDepth, avg(CASE WHEN ANALYTE = 'Ambient PAR' THEN RESULT END) AS a,
       avg(CASE WHEN ANALYTE = 'Underwater PAR' THEN RESULT END) AS u FROM own GROUP BY ALL)
 SELECT SITE_ID, sampleDepth, 'Corrected PAR' AS ANALYTE, 'percent' AS UNITS,
-  {steady_sql('100 * (u / nullif(a, 0))')} AS RESULT, QAcode
+  {steady_sql('100 * (u / nullif(a, 0))')} AS RESULT, a = 0 AS endless, QAcode
 FROM d JOIN ({collapse_sql('own', by, 'QAcode', 'uid')}) USING (SITE_ID, sampleDepth)
-WHERE u / nullif(a, 0) IS NOT NULL
-UNION ALL SELECT SITE_ID, sampleDepth, ANALYTE, UNITS, {steady_sql('RESULT')}, QAcode
+WHERE CASE WHEN a = 0 THEN u <> 0 ELSE u / nullif(a, 0) IS NOT NULL END
+UNION ALL SELECT SITE_ID, sampleDepth, ANALYTE, UNITS, {steady_sql('RESULT')}, false, QAcode
 FROM src WHERE ANALYTE NOT IN ('Ambient PAR', 'Underwater PAR')"""
 
 
@@ -552,8 +553,10 @@ FROM src WHERE ANALYTE NOT IN ('Ambient PAR', 'Underwater PAR')"""
 def cond_mean_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.sql(_LIGHT, obs=observations(spark, sf_dir))
     out = hz.surface_light_percent(rows, ["SITE_ID", "sampleDepth"], "uid", texts=("QAcode",))
+    endless = F.coalesce(F.abs("RESULT") == float("inf"), F.lit(False))
     return out.select(
-        "SITE_ID", "sampleDepth", "ANALYTE", "UNITS", steady("RESULT").alias("RESULT"), "QAcode"
+        "SITE_ID", "sampleDepth", "ANALYTE", "UNITS",
+        F.when(~endless, steady("RESULT")).alias("RESULT"), endless.alias("endless"), "QAcode",
     )
 
 

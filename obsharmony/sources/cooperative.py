@@ -17,6 +17,7 @@ from ..operators.ordered import quantiles
 from ..operators.profiles import whole_metre_bins
 from ..operators.reshape import union_by_name, unpivot_long
 from . import standard as st
+from .cast_files import BAD_VALUE
 
 # Unit spellings and units by name of the 2015 tables.
 UNITS_2015 = {"ugnl": "ug nl", "ugl_lach": "ugl", "ugl_sirms": "ugl", "pct": "percent"}
@@ -168,14 +169,21 @@ def limits_2021(raw: DataFrame, lookups: st.Lookups) -> DataFrame:
 
 
 def agency_casts_2021(raw: DataFrame) -> DataFrame:
-    """Agency casts with one median position per site and date."""
+    """Agency casts with one median position per site and date.
+
+    The instrument's mark for a missing value is no value.
+    """
+
+    def number(name: str) -> Column:
+        return hz.sentinel_to_null(F.col(f"`{name}`").cast("double"), BAD_VALUE)
+
     df = raw.select(
         site_key(AGENCY_SITE).alias("SITE_ID"),
         times.serial_date(AGENCY_TIME).alias("sampleDate"),
-        F.col(f"`{AGENCY_DEPTH}`").alias("sampleDepth"),
+        number(AGENCY_DEPTH).alias("sampleDepth"),
         hz.in_plausible_range(F.col(f"`{AGENCY_LAT}`"), *LATITUDE_RANGE).alias("lat"),
         hz.in_plausible_range(F.col(f"`{AGENCY_LON}`"), *LONGITUDE_RANGE).alias("lon"),
-        *[F.col(f"`{c}`").cast("double").alias(n) for c, n in AGENCY_VALUES.items()],
+        *[number(c).alias(n) for c, n in AGENCY_VALUES.items()],
     )
     by = ["SITE_ID", "sampleDate"]
     for source, name in (("lat", "Latitude"), ("lon", "Longitude")):

@@ -39,15 +39,14 @@ def read_table(
     spark: SparkSession,
     path: str | Sequence[str],
     columns: Mapping[str, str] | None = None,
-    n_max: int | None = None,
     null_values: Sequence[str] = ("NA",),
 ) -> DataFrame:
     """Scan one or several files of the same layout with declared types.
 
     `columns` maps wanted names to types; other columns are never read, bad
     numbers are NULL. Without it every column is text. Parquet by extension or
-    folder of parquet, otherwise CSV with a header. `n_max` caps the rows of a
-    development run.
+    folder of parquet, otherwise CSV with a header. `null_values` are the sheet's
+    texts for a missing value.
     """
     paths = [path] if isinstance(path, str) else list(path)
     is_csv = paths[0].lower().rstrip("/").endswith((".csv", ".csv.gz"))
@@ -67,8 +66,7 @@ def read_table(
             return c if types[name] == kind else c.cast(kind)
         return _typed(F.when(~c.isin("", *null_values), c), kind)
 
-    df = df.select(*[cell(n, k).alias(n) for n, k in wanted.items()])
-    return df if n_max is None else df.limit(n_max)
+    return df.select(*[cell(n, k).alias(n) for n, k in wanted.items()])
 
 
 def keep_samples(df: DataFrame, ids: DataFrame, column: str = "SAMPLE_ID") -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from lookup_sheets import LAB_NAMES, lookups, name_rows
 from pyspark.sql import functions as F
 
+from obsharmony.operators import harmonize as hz
 from obsharmony.sources import casts, coastal, cooperative, lab_database, workbook
 from obsharmony.sources import standard as st
 
@@ -181,7 +182,9 @@ def profiles10(frame, coast):
 
 def test_profile_2010(profiles10):
     out = by(profiles10, "ANALYTE", "sampleDepth")
-    assert set(out) == {("Temperature", 1.0), ("Corrected PAR", 2.0), ("Mean secchi", None), ("Conductivity", 4.0), ("pH", 1.0)}
+    assert set(out) == {("Temperature", 1.0), ("Corrected PAR", 2.0), ("Corrected PAR", 3.0), ("Mean secchi", None), ("Conductivity", 4.0), ("pH", 1.0)}
+    # no surface light: infinitely many percent, which is a value
+    assert out["Corrected PAR", 3.0].RESULT == float("inf")
     t = out["Temperature", 1.0]
     assert (t.RESULT, t.QAcode, t.QAcomment, t.stationDepth) == (11.0, "NA, Q", "NA, odd", 11.5)
     assert t.sampleDate == dt.date(2010, 7, 4) and t.WTBDY_NM == "Lake Michigan"
@@ -459,3 +462,20 @@ def test_standard_columns_coalesce_spellings(frame):
     row = st.as_observations(df).first()
     assert (row.RL, row.MDL, row.SITE_ID, row.RESULT) == (2.0, 1.0, "s", None)
     assert st.as_observations(df).select(F.col("sampleDateTime")).dtypes == [("sampleDateTime", "timestamp_ntz")]
+
+
+def test_marked_values_of_agency_casts_are_missing(frame):
+    names = [cooperative.AGENCY_SITE, cooperative.AGENCY_TIME, cooperative.AGENCY_DEPTH, *cooperative.AGENCY_VALUES, cooperative.AGENCY_LAT, cooperative.AGENCY_LON]
+    schema = ", ".join(f"`{n}` {'string' if n == cooperative.AGENCY_SITE else 'double'}" for n in names)
+    rows = [("EAS_1", 44377.5, 1.0, -9.99e-29, 9.0, 300.0, -9.99e-29, 8.0, 44.0, -86.0), ("EAS_1", 44377.5, 2.0, 7.0, 9.0, 300.0, 80.0, 8.0, 44.0, -86.0)]
+    got = {(r.ANALYTE, r.sampleDepth): r.RESULT for r in cooperative.agency_casts_2021(frame(schema, rows)).collect()}
+    assert got["Temperature", 1.0] is None and got["cpar", 1.0] is None and got["pH", 1.0] == 8.0
+    assert got["Temperature", 2.0] == 7.0 and got["cpar", 2.0] == 80.0
+
+
+def test_light_under_a_dark_surface_stays(frame):
+    rows = [(s, a, v, "x", i) for i, (s, a, v) in enumerate([
+        ("dark", "Ambient PAR", 0.0), ("dark", "Underwater PAR", 5.0), ("none", "Ambient PAR", 0.0), ("none", "Underwater PAR", 0.0),
+        ("one", "Underwater PAR", 5.0), ("both", "Ambient PAR", 10.0), ("both", "Underwater PAR", 5.0)])]
+    out = hz.surface_light_percent(frame("SITE_ID string, ANALYTE string, RESULT double, QAcode string, uid int", rows), ["SITE_ID"], "uid", texts=("QAcode",))
+    assert {r.SITE_ID: r.RESULT for r in out.collect()} == {"dark": float("inf"), "both": 50.0}
