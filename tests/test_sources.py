@@ -242,7 +242,7 @@ def test_chemistry_2010_and_combine(frame, coast, profiles10):
     p = out["Tot_P"]
     assert (p.RESULT, p.MDL, p.MRL, p.sampleDepth) == (5.0, 1.0, 10.0, 0.5)
     every = coastal.combine(profiles10, [], chem)
-    assert every.count() == 7
+    assert every.count() == 8  # with the light under a dark surface
     lake = by(coastal.combine(profiles10, [], chem, ["Lake Michigan"]), "Study", "CodeName")
     assert ("NCCA_hydro_2010", "pH") not in lake
     got = lake["NCCA_WChem_2010", "Tot_P"]
