@@ -1,9 +1,12 @@
 """Near-duplicate lines by a deletion-neighbourhood join.
 
-Two lines are near duplicates if one edit of a word (put in, left out or changed) turns one
-into the other. Every line emits hashed keys of itself and of itself without each one of
-its words; lines that share a key are paired, the pair's edit distance is verified on the
-words, and the earliest line stays. Earlier means smaller doc_id, then smaller line number.
+Two lines are near duplicates if few edits of a word (put in, left out or changed) turn one
+into the other: one edit, or two where both lines are long. Every line emits hashed keys of
+itself and of itself without each one of its words; lines that share a key are paired, the
+pair's edit distance is verified on the words, and the earliest line stays. Earlier means
+smaller doc_id, then smaller line number. Long lines within two edits share one of three
+parts: where few lines share a part they are compared in pairs, where many do, they emit keys
+of themselves without each one and each two of their words.
 
 Before that, equal lines are reduced to their first occurrence by a partial aggregate, and
 lines that cannot have a partner are set aside: one edit leaves either the first or the last
@@ -21,19 +24,27 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, word_hashes
+from .common import kept, mixed, word_hashes
 
 
 @dataclass(frozen=True)
 class Lines:
-    """Shorter lines than min_words always stay; one edit is allowed from near_words words on."""
+    """Shorter lines than min_words always stay; one edit is allowed from near_words words on,
+    two from far_words on (never without it). The shorter of two lines decides."""
 
     min_words: int = 4
     near_words: int = 10
+    far_words: int | None = None
+    #: Of a part that more long lines share, the pairs are not formed.
+    pair_lines: int = 200
     #: Size of the bitmap that keeps texts without candidate lines out of a shuffle (a power of 2).
     filter_bits: int = 1 << 23
 
 
+#: Every line with a word takes part; an edit to four words, two to twenty.
+WHOLE = Lines(min_words=1, near_words=4, far_words=20)
+
+
 def _split(text: str | None) -> list[list[bytes]]:
     return [line.split() for line in (text or "").encode("utf-8", "replace").split(b"\n")]
 
@@ -53,34 +64,48 @@ def _halves(words: list[bytes]) -> list[int]:
     return [_hash(words[:k], 2 * k) for k in first] + [_hash(words[n - k :], 2 * k + 1) for k in last]
 
 
-def occurrences(docs: DataFrame, p: Lines = Lines()) -> DataFrame:
-    """doc_id, line, hash, halves of every line that may be a duplicate; rows without id take no part."""
+def _thirds(words: list[bytes]) -> list[int]:
+    """Keys of which a line and each line two edits away share one: of three parts, fixed by the
+    shorter line of m words, two edits leave one as it was. Edits before the middle part move it."""
+    n, found = len(words), set()
+    for m, moves in ((n, (-1, 0, 1)), (n - 1, (0, 1)), (n - 2, (0, 1, 2))):
+        a = m // 3
+        found.add(_hash(words[:a], 4 * m))
+        found.add(_hash(words[n - a :], 4 * m + 1))
+        found.update(_hash(words[a + s : m - a + s], 4 * m + 2) for s in moves)
+    return list(found)
+
+
+def occurrences(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
+    """doc_id, line, hash, halves and thirds of every line that may be a duplicate; rows without id take no part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, numbers, hashes, halves = [], [], [], []
+            ids, numbers, hashes, halves, thirds = [], [], [], [], []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
                 for i, words in enumerate(_split(text)):
                     if len(words) >= p.min_words:
                         ids.append(doc_id)
                         numbers.append(i)
                         hashes.append(_hash(words))
-                        halves.append(_halves(words) if len(words) >= p.near_words else [])
+                        halves.append(_halves(words) if p.near_words <= len(words) <= (p.far_words or len(words)) else [])
+                        thirds.append(_thirds(words) if p.far_words and len(words) >= p.far_words else [])
             kind = batch.schema.field("doc_id").type
+            keys = [pa.array(x, pa.list_(pa.int64())) for x in (halves, thirds)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, kind), pa.array(numbers, pa.int32()), pa.array(hashes, pa.int64()), pa.array(halves, pa.list_(pa.int64()))],
-                names=["doc_id", "line", "hash", "halves"],
+                [pa.array(ids, kind), pa.array(numbers, pa.int32()), pa.array(hashes, pa.int64()), *keys],
+                names=["doc_id", "line", "hash", "halves", "thirds"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, line int, hash long, halves array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, line int, hash long, halves array<long>, thirds array<long>")
 
 
-def _maybe(ids: DataFrame, bits: int) -> bytes:
+def _maybe(ids: DataFrame, bits: int, place: str = "xxhash64(doc_id)") -> bytes:
     """Bitmap of hashed ids, of fixed size: what is not in it is not among the ids."""
-    at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    rows = ids.groupBy(F.expr(f"bitmap_bucket_number(pmod(xxhash64(doc_id), {bits}) + 1)").alias("b")).agg(
+    at = F.expr(f"pmod({place}, {bits})")
+    rows = ids.groupBy(F.expr(f"bitmap_bucket_number(pmod({place}, {bits}) + 1)").alias("b")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(at + 1)).alias("m")
     )
     out = bytearray(bits // 8)
@@ -147,8 +172,109 @@ def one_edit(a: bytes, b: bytes) -> bool:
     return bool((x[first + (len(x) == len(y)) :] == y[first + 1 :]).all())
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = Lines()) -> DataFrame:
-    """hash of each line that has an earlier line one edit away.
+def within(x: np.ndarray, y: np.ndarray, edits: int) -> bool:
+    """Whether so many word edits turn x into y."""
+    if abs(len(x) - len(y)) > edits:
+        return False
+    n = min(len(x), len(y))
+    same = x[:n] == y[:n]
+    first = n if same.all() else int(np.argmin(same))
+    x, y = x[first:], y[first:]
+    if not len(x) or not len(y):
+        return len(x) + len(y) <= edits
+    return edits > 0 and (within(x[1:], y[1:], edits - 1) or within(x[1:], y, edits - 1) or within(x, y[1:], edits - 1))
+
+
+#: Whom a row of _marks meets under its key: its like, or only the other of two sides.
+LIKE, LEFT, RIGHT = 0, 1, 2
+
+
+def _marks(batches: Iterator[pa.RecordBatch], lefts: bytes | None = None) -> Iterator[pa.RecordBatch]:
+    """Keys under which a line meets the lines at most two edits away, and no others.
+
+    Of the two lines, one edit takes a word out of one of them or, changing it, out of both at one
+    place. Two changes leave out the same two places (LIKE); a change and a word put in, one place of
+    the shorter line, which is among the two places of the longer; a word put in and another left out,
+    one of each, at any places (LIKE); two put in, none of the shorter. Places are counted in what is left.
+    Without `lefts` only the few LEFT rows; with the bitmap of their keys all rows but RIGHT ones that it rules out."""
+    bits = np.frombuffer(lefts or b"", np.uint8)
+    for batch in batches:
+        for line, raw in zip(batch.column("hash").to_pylist(), batch.column("words").to_pylist()):
+            own = np.frombuffer(raw, np.uint64)
+            n, one = len(own), np.uint64(1)
+            # A polynomial hash modulo 2^64 of mixed words: what is left after two gaps is three runs of it.
+            base = np.uint64(0x9E3779B97F4A7C15)
+            power = np.concatenate([[one], np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)])
+            head = np.zeros(n + 1, np.uint64)
+            for i in range(n):
+                head[i + 1] = head[i] * base + mixed(own[i : i + 1])[0]
+            run = lambda a, b: head[b] - head[a] * power[b - a]
+            left = lambda sums, kind, *at: mixed(mixed(sums + np.uint64(kind)) + sum((np.uint64(k + 3) * mixed(x.astype(np.uint64) + one) for k, x in enumerate(at)), np.uint64(0)))
+            whole = np.array([run(0, n)])
+            i = np.arange(n)
+            single = run(0, i) * power[n - 1 - i] + run(i + 1, np.full(n, n))
+            made = [(left(whole, 1), LEFT), (left(single, 3, i), LEFT)]
+            if lefts is None:
+                yield _marked(made, line)
+                continue
+            made += [(_ruled(left(single, 1), bits), RIGHT), (left(single, 2), LIKE)]
+            for a in range(n - 1):  # a block of keys a first place, so that a long line needs no square of memory
+                b = np.arange(a + 1, n)
+                pair = (run(0, a) * power[b - a - 1] + run(a + 1, b)) * power[n - 1 - b] + run(b + 1, np.full(len(b), n))
+                first, second = np.full(len(b), a), b - 1
+                met = _ruled(np.concatenate([left(pair, 1), left(pair, 3, first), left(pair, 3, second)]), bits)
+                made += [(left(pair, 4, first, second), LIKE), (met, RIGHT)]
+                if sum(len(k) for k, _ in made) > 50_000:
+                    yield _marked(made, line)
+                    made = []
+            if made:
+                yield _marked(made, line)
+
+
+def _ruled(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(8 * len(bits) - 1)
+    return keys[(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
+
+
+def _marked(made: list, line: int) -> pa.RecordBatch:
+    keys = np.concatenate([k for k, _ in made]).view(np.int64)
+    sides = np.concatenate([np.full(len(k), side, np.int32) for k, side in made])
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sides), pa.array(np.full(len(keys), line, np.int64))], names=["key", "side", "hash"])
+
+
+def far_lines(shared: DataFrame, words: DataFrame, wanted: DataFrame, p: Lines) -> DataFrame:
+    """hash of each long line that has an earlier long line at most two edits away.
+
+    `shared` has the parts (third, hash, n) that n > 1 lines share. Pairs are formed of at most pair_lines
+    lines a part; the lines of a part with more meet under keys, the earliest of a key for all others."""
+    at = F.struct("doc_id", "line", "hash")
+    few = shared.where(F.col("n") <= p.pair_lines).join(wanted.select("hash", at.alias("at")), "hash")
+    pairs = few.join(few.select("third", F.col("at").alias("before")), "third").where("before < at")
+    pairs = pairs.select("hash", F.col("before.hash").alias("other")).distinct()
+    mine = words.withColumnRenamed("words", "mine")
+    theirs = words.select(F.col("hash").alias("other"), F.col("words").alias("theirs"))
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column("mine").to_pylist(), batch.column("theirs").to_pylist())
+            good = [within(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), 2) for a, b in both]
+            yield pa.RecordBatch.from_arrays([batch.column("hash")], names=["hash"]).filter(pa.array(good, pa.bool_()))
+
+    near = pairs.join(mine, "hash").join(theirs, "other").select("hash", "mine", "theirs").mapInArrow(verify, "hash long")
+    many = shared.where(F.col("n") > p.pair_lines).select("hash").distinct()
+    crowd = kept(words.join(many, "hash", "left_semi"), "lines-crowd")
+    schema = "key long, side int, hash long"
+    lefts = _maybe(crowd.mapInArrow(_marks, schema), p.filter_bits, "key")
+    marks = crowd.mapInArrow(lambda batches: _marks(batches, lefts), schema)
+    met = marks.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("key")
+    rows = kept(marks.join(met, "key", "left_semi").join(wanted.select("hash", at.alias("at")), "hash"), "lines-marked")
+    first = rows.groupBy("key").agg(*[F.min(F.when(F.col("side") == i, F.col("at"))).alias(f"first{i}") for i in (LIKE, LEFT, RIGHT)])
+    before = F.when(F.col("side") == LIKE, F.col(f"first{LIKE}")).when(F.col("side") == LEFT, F.col(f"first{RIGHT}")).otherwise(F.col(f"first{LEFT}"))
+    return near.union(rows.join(first, "key").where(before < F.col("at")).select("hash")).distinct()
+
+
+def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE) -> DataFrame:
+    """hash of each line that has an earlier line one edit away, or two if both are long.
 
     Lines that leave out the same place and then agree are one edit apart, and so are a line and
     another without one word: per key, the earliest of each sort is the partner of all others, so
@@ -156,9 +282,16 @@ def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = Lines()) -> DataFr
     """
     halves = firsts.select("hash", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("half")
-    wanted = kept(halves.join(shared, "half", "left_semi").select("hash").distinct().join(firsts.select("hash", "doc_id", "line"), "hash"), "lines-wanted")
+    met_halves = halves.join(shared, "half", "left_semi").select("hash")
+    if p.far_words:
+        thirds = firsts.select("hash", F.explode("thirds").alias("third"))
+        common = thirds.groupBy("third").agg(F.count("*").alias("n")).where("n > 1")
+        met_thirds = kept(thirds.join(common, "third"), "lines-thirds")
+        met_halves = met_halves.union(met_thirds.select("hash"))
+    wanted = kept(met_halves.distinct().join(firsts.select("hash", "doc_id", "line"), "hash"), "lines-wanted")
     words = kept(_candidate_words(docs, wanted, p), "lines-words")
-    variants = words.mapInArrow(_variants, "key long, gone int, hash long")
+    short = words.where(F.octet_length("words") <= 8 * p.far_words) if p.far_words else words
+    variants = short.mapInArrow(_variants, "key long, gone int, hash long")
     met = variants.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("key")
     at = F.struct(F.col("doc_id"), F.col("line"), F.col("hash")).alias("at")
     rows = kept(variants.join(met, "key", "left_semi").join(wanted, "hash").select("key", "gone", "hash", at), "lines-met")
@@ -177,18 +310,19 @@ def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = Lines()) -> DataFr
             good = [one_edit(a, b) for a, b in zip(batch.column("mine").to_pylist(), batch.column("theirs").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("hash")], names=["hash"]).filter(pa.array(good, pa.bool_()))
 
-    return earliest.join(mine, "hash").join(theirs, "other").select("hash", "mine", "theirs").mapInArrow(verify, "hash long")
+    near = earliest.join(mine, "hash").join(theirs, "other").select("hash", "mine", "theirs").mapInArrow(verify, "hash long")
+    return near.union(far_lines(met_thirds, words, wanted, p)).distinct() if p.far_words else near
 
 
-def duplicate_lines(docs: DataFrame, p: Lines = Lines()) -> DataFrame:
+def duplicate_lines(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
     """doc_id, lines: the numbers (from 0) of each document's lines that an earlier line repeats.
 
     Missing and empty texts have no lines to lose; rows without doc_id take no part; rows with
     one doc_id count as one document, so none of them loses a line to another.
     """
     seen = kept(occurrences(docs, p), "lines")
-    firsts = seen.groupBy("hash").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("halves").alias("halves"))
-    firsts = kept(firsts.select("hash", "at.doc_id", "at.line", "halves"), "lines-first")
+    firsts = seen.groupBy("hash").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("halves").alias("halves"), F.min("thirds").alias("thirds"))
+    firsts = kept(firsts.select("hash", "at.doc_id", "at.line", "halves", "thirds"), "lines-first")
     near = near_lines(docs, firsts, p)
     stays = firsts.join(near, "hash", "left_anti").select("hash", F.col("doc_id").alias("d"), F.col("line").alias("l"))
     # Occurrences that stay are few to a hash (one place); all others go.
@@ -197,7 +331,7 @@ def duplicate_lines(docs: DataFrame, p: Lines = Lines()) -> DataFrame:
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
-def dedup(docs: DataFrame, p: Lines = Lines()) -> DataFrame:
+def dedup(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
     """Every row with its duplicate lines taken out of the text, and their number in n_removed.
 
     Other columns stay; a column named n_removed is replaced."""

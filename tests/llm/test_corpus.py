@@ -356,6 +356,29 @@ def test_line_dedup_against_brute_force(frame_module, docs, none):
     assert line_dedup.dedup(none, p).collect() == []
 
 
+@pytest.mark.parametrize("pair_lines", [200, 2])
+def test_whole_line_dedup_against_brute_force(frame_module, pair_lines):
+    rng, p = random.Random(16), line_dedup.Lines(1, 4, 20, pair_lines, 1 << 16)
+    sizes = [1, 3, 4, 6, 9, 18, 19, 20, 21, 24, 24, 31]
+    base = [[rng.choice("abc" if k % 2 else WORDS) for _ in range(n)] for k, n in enumerate(sizes)]
+    rows = [(i, "All rights reserved.\n") for i in range(3)]
+    for i in range(3, 40):
+        lines = []
+        for _ in range(4):
+            w = list(rng.choice(base))
+            for _ in range(rng.randrange(4)):
+                at = rng.randrange(len(w)) if w else 0
+                w[at : at + rng.randrange(2)] = rng.choice([[], ["zz"], [rng.choice("abc")]])
+            lines.append(" ".join(w))
+        rows.append((i, "\n".join(lines)))
+    limit = lambda w, v: (0, 1, 2)[(m := min(len(w), len(v))) >= 4 and 1 + (m >= 20)]
+    every = sorted((d, i, split(x)) for d, t in rows for i, x in enumerate(t.split("\n")) if split(x))
+    gone = {(d, i) for k, (d, i, w) in enumerate(every) if any(_edit(w, v) <= limit(w, v) for _, _, v in every[:k])}
+    want = {d: "\n".join(x for i, x in enumerate(t.split("\n")) if (d, i) not in gone) for d, t in rows}
+    got = {r.doc_id: r.text for r in line_dedup.dedup(frame_module("doc_id long, text string", rows), p).collect()}
+    assert got == want and (1, 0) in gone and (p.min_words, p.near_words, p.far_words) == (line_dedup.WHOLE.min_words, line_dedup.WHOLE.near_words, line_dedup.WHOLE.far_words)
+
+
 def _grams(text: str | None) -> frozenset:
     w = split(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
