@@ -128,7 +128,7 @@ def low_missing_columns(df: DataFrame, columns: Sequence[str], outcome: str, sla
 def forest_fill(
     df: DataFrame,
     columns: Sequence[str],
-    rounds: int = 2,
+    rounds: int = 10,
     trees: int = 20,
     depth: int = 8,
     seed: int = 0,
@@ -136,7 +136,9 @@ def forest_fill(
     """Random-forest imputation: every column is predicted from the others, round by round.
 
     Starts from column means. Trains on all rows that have the column, with
-    Spark ML, and never changes an observed value.
+    Spark ML, and never changes an observed value. Stops with the first round that changes
+    the values more than the round before did (squared change over squared values, as missForest)
+    and returns the round before; `rounds` is the most there are.
     """
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import RandomForestRegressor
@@ -151,7 +153,10 @@ def forest_fill(
     usable = [c for c in columns if shares[c] < 1]
     work = df.withColumns({f"__gap_{c}": F.col(c).isNull() for c in gaps})
     work = work.fillna({c: means[c] for c in gaps})
-    for _ in range(rounds):
+    least = float("inf")
+    for _ in range(rounds if gaps else 0):
+        before = work
+        work = work.withColumns({f"__old_{c}": F.col(c) for c in gaps})
         for c in gaps:
             inputs = VectorAssembler(
                 inputCols=[x for x in usable if x != c], outputCol="__in", handleInvalid="error"
@@ -167,4 +172,12 @@ def forest_fill(
                 .withColumn(c, F.when(F.col(f"__gap_{c}"), F.col("__out")).otherwise(F.col(c)))
                 .drop("__in", "__out")
             )
+        moved = sum((F.sum((F.col(c) - F.col(f"__old_{c}")) ** 2) for c in gaps), F.lit(0.0))
+        total = sum((F.sum(F.col(c) ** 2) for c in usable), F.lit(0.0))
+        change = work.agg(F.try_divide(moved, total).alias("x")).first().x or 0.0
+        work = work.drop(*[f"__old_{c}" for c in gaps])
+        if change >= least:
+            work = before
+            break
+        least = change
     return work.drop(*[f"__gap_{c}" for c in gaps])

@@ -251,7 +251,7 @@ def forest_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_tax",
     )
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return impute.forest_fill(lines, columns, rounds=1, trees=5, depth=4)
+    return impute.forest_fill(lines, columns)
 
 
 @query(

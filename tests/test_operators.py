@@ -6,6 +6,7 @@ import datetime as dt
 import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -15,6 +16,7 @@ from hypothesis import strategies as hs
 from lookup_sheets import FLAGS
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from obsharmony.operators import checks, flags, groups, impute, match, ordered, reshape
 from obsharmony.operators import harmonize as hz
 
@@ -281,6 +283,21 @@ def test_forest_keeps_observed_values(spark):
     assert impute.low_missing_columns(df, ["a", "b", "c"], "b", 0.9) == ["a", "c"]
 
 
+def test_forest_query_runs_to_its_stop_rule(spark, monkeypatch):
+    from pyspark.ml.regression import RandomForestRegressor
+
+    fits, fit = [], RandomForestRegressor.fit
+    monkeypatch.setattr(RandomForestRegressor, "fit", lambda self, df: fits.append((self.getNumTrees(), self.getMaxDepth())) or fit(self, df))
+    rows = entry.queries()["forest_fill"](spark, "/root/testdata/sf0.001").toPandas()
+    assert set(fits) == {(20, 8)} and 4 <= len(fits) <= 20 and len(fits) % 2 == 0
+    raw = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").toPandas()
+    assert len(rows) == len(raw) and not rows.isna().any().any()
+    for c, seen in (("l_extendedprice", raw.l_partkey % 5 > 0), ("l_discount", raw.l_suppkey % 7 > 0)):
+        whole = ["l_orderkey", "l_linenumber", "l_quantity", "l_tax", c]
+        assert not Counter(raw.loc[seen, whole].itertuples(index=False, name=None)) - Counter(rows[whole].itertuples(index=False, name=None))
+        assert rows[c].between(raw.loc[seen, c].min(), raw.loc[seen, c].max()).all()
+
+
 # --- harmonisation and reshaping ----------------------------------------------------------
 
 
