@@ -418,8 +418,7 @@ def source_cast_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     scans = spark.sql(_SCAN_LINES, events=table(spark, sf_dir, "events"))
     head = [F.struct(F.lit(i).cast("bigint").alias("line_no"), F.lit(x).alias("line")) for i, x in _HEADER]
     lines = scans.select("path").distinct().select("path", F.inline(F.array(*head))).unionByName(scans)
-    # The spread is set so wide that no scan counts as a spike; despike has its own query.
-    out = cast_files.cast_table(lines, despike_spread=1e6)
+    out = cast_files.cast_table(lines)
     return out.select(
         "STATION_ID", "sampleDepth", "ANALYTE", steady("RESULT").alias("RESULT"), "UNITS", "sampleDateTime", "Latitude"
     )

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+import duckdb
 import pytest
 
+import __spark_entry__ as entry
 from obsharmony.operators import profiles
 from obsharmony.sources import cast_files
 from obsharmony.sources.readers import read_lines
@@ -124,3 +126,20 @@ def test_file_sites_keeps_listed_sites(frame):
     aliases = frame("`Other.names` string, SITE_ID string, Keep string, Justification string", [("alpha", "alpha", "T", None), ("musk", "m", "F", "no")])
     got = cast_files.file_sites(paths, "ctdFiles", aliases).collect()
     assert [(r.SITE_ID, r.sampleDate) for r in got] == [("alpha", dt.date(2010, 7, 19))]
+
+
+def test_cast_query_takes_spikes_out(spark):
+    """The registered SQL leaves the despike step out; this one has it."""
+    duck = duckdb.connect()
+    duck.execute("CREATE VIEW events AS SELECT * FROM '/root/testdata/sf0.01/events.parquet'")
+    rows = """WITH s AS (SELECT 'casts/' || user_id || '.cnv' AS path, event_id AS scan, CAST((event_id * 7) % 41 AS DOUBLE) / 2 AS depth, value AS t FROM events),
+      turn AS (SELECT path, min(scan) AS turn FROM (SELECT *, max(depth) OVER (PARTITION BY path) AS deepest FROM s) WHERE depth = deepest GROUP BY ALL),
+      r AS (SELECT s.*, median(t) OVER (PARTITION BY path ORDER BY scan ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING) AS ref FROM s JOIN turn USING (path) WHERE scan <= turn),
+      sd AS (SELECT path, stddev_samp(t - ref) AS sd FROM r GROUP BY ALL)
+      SELECT path, CAST(floor(depth - 5e-1) + 1 AS DOUBLE) AS bin, avg(t) AS plain, avg(CASE WHEN abs(t - ref) > 4 * sd THEN ref ELSE t END) AS clean
+      FROM r JOIN sd USING (path) WHERE depth >= 5e-1 GROUP BY ALL"""
+    want = {(p, d): (plain, clean) for p, d, plain, clean in duck.execute(rows).fetchall()}
+    out = entry.queries()["source_cast_text"](spark, "/root/testdata/sf0.01").where("ANALYTE = 'temperature'")
+    got = {(r.STATION_ID, r.sampleDepth): r.RESULT for r in out.collect()}
+    assert got.keys() == want.keys() and any(abs(a - b) > 1e-3 for a, b in want.values())
+    assert all(got[k] == pytest.approx(clean, rel=1e-5, abs=1e-5) for k, (_, clean) in want.items())
