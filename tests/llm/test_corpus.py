@@ -284,6 +284,12 @@ def test_lines_of_a_page():
     assert html_lines.lines("a < b <p>c")[-1] == ("c", html_lines.OPEN)
 
 
+def test_article_comes_before_class_words():
+    page = '<main class="page with-sidebar"><article class="post has-related header"><p>Story<section id="comments"><article class="comment"><p>Nice!</article></section>' \
+        '<article class="related"><p>Teaser</article></article></main><nav><article><p>Menu</article></nav>'
+    assert [t for t, k in html_lines.lines(page) if k == html_lines.ARTICLE] == ["Story"]
+
+
 def test_common_lines_against_table():
     rng = random.Random(3)
     for _ in range(500):
