@@ -29,6 +29,21 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As kept, with the path, so that a table which later ones replace can go."""
+    spark = df.sparkSession
+    _ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a table that `stored` wrote and no later result reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def words_of(text: Column) -> Column:
     """Words of a text as an array; none for a missing text."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")

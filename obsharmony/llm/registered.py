@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    chat_tree,
+    conversation_repair,
     html_extraction,
     line_dedup,
     nearest,
@@ -18,6 +20,7 @@ from . import (
     sentencepiece_viterbi,
     sharding,
     substring_dedup,
+    vector_codes,
 )
 from .common import kept, table
 
@@ -100,6 +103,29 @@ def op10_ordered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_run_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation after planted damage: its faults, cheapest repair and what the repair leaves."""
+    conversations = table(spark, sf_dir, "conversations")
+    told, _ = conversation_repair.repair(conversation_repair.damaged(conversations), present=conversations)
+    return told
+
+
+def op12_bounded_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of every embedding by integer k-means under adaptive bounds."""
+    coded, found = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    coded = kept(coded, "op12")
+    per_label = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    return coded.join(per_label, F.col("label").eqNullSafe(F.col("_label"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(found.sha256()).alias("codebooks_sha256")
+    )
+
+
+def op13_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as prefix trees of tokens, and what is read back from these."""
+    conversations = chat_tree.sample_conversation(table(spark, sf_dir, "conversations"))
+    return chat_tree.read_back(chat_tree.format_tree(conversations))
+
+
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 OP8_SQL = rf"""
@@ -173,9 +199,120 @@ done AS (
 SELECT doc_id, CAST(n_removed AS BIGINT) AS n_removed, CAST(length(t) AS BIGINT) AS n_chars, sha256(t) AS kept_sha256 FROM done"""
 
 
+#: crc32 bit by bit: each character is added, then shifted out in eight steps.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(k, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"""
+
+#: Cheapest edits row by row: for each place of the allowed order the least (cost, edits), with what is left so far.
+OP11_SQL = rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+coded AS (SELECT * EXCLUDE k, {_CRC} % 20 AS code FROM keyed),
+hurt AS (
+  SELECT conv_id, turn, CASE code WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE code WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM coded WHERE code <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS i
+  FROM hurt),
+judged AS (
+  SELECT *, left(role, 1) AS initial, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS dup,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+counts AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND dup) AS duplicate,
+         count(*) FILTER (NOT blank AND NOT dup AND cut) AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+ids AS (SELECT DISTINCT conv_id FROM conversations),
+inserts(p, q, e, c, o) AS (VALUES
+  (0, 0, '', 0, ''), (1, 1, '', 0, ''), (2, 2, '', 0, ''), (3, 3, '', 0, ''),
+  (0, 2, 'I', 2, chr(10) || 'user:'), (1, 2, 'I', 2, chr(10) || 'user:'), (3, 2, 'I', 2, chr(10) || 'user:'),
+  (2, 3, 'I', 2, chr(10) || 'assistant:'), (0, 3, 'II', 4, chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 3, 'II', 4, chr(10) || 'user:' || chr(10) || 'assistant:')),
+edits(p, initial, q, e, c) AS (VALUES
+  (0, 's', 1, 'K', 0), (0, 'u', 2, 'K', 0), (1, 'u', 2, 'K', 0), (2, 'a', 3, 'K', 0), (3, 'u', 2, 'K', 0),
+  (0, '', 2, 'R', 2), (1, '', 2, 'R', 2), (2, '', 3, 'R', 2), (3, '', 2, 'R', 2),
+  (0, '', 0, 'D', 3), (1, '', 1, 'D', 3), (2, '', 2, 'D', 3), (3, '', 3, 'D', 3)),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS p, struct_pack(c := 0::BIGINT, a := '', o := '') AS best FROM ids
+  UNION ALL
+  SELECT d.conv_id, d.i + 1, e.q, min(struct_pack(
+           c := d.best.c + s.c + e.c + CASE WHEN e.e <> 'D' AND r.cut THEN 1 ELSE 0 END, a := d.best.a || s.e || e.e,
+           o := d.best.o || s.o || CASE e.e WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || r.role || ':' || r.text
+                                            ELSE chr(10) || CASE e.q WHEN 2 THEN 'user:' ELSE 'assistant:' END || r.text END))
+  FROM dp d JOIN judged r ON r.conv_id IS NOT DISTINCT FROM d.conv_id AND r.i = d.i + 1
+       JOIN inserts s ON s.p = d.p JOIN edits e ON e.p = s.q
+  WHERE e.e = 'D' OR NOT (r.blank OR r.dup) AND (e.e = 'R' OR e.initial = r.initial)
+  GROUP BY d.conv_id, d.i + 1, e.q),
+done AS (
+  SELECT d.conv_id, min(struct_pack(c := d.best.c + s.c, a := d.best.a || s.e, o := d.best.o || s.o)) AS best
+  FROM dp d LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM d.conv_id JOIN inserts s ON s.p = d.p
+  WHERE d.i = coalesce(n.n, 0) AND s.q IN (0, 3) GROUP BY d.conv_id)
+SELECT d.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+       sha256(substr(best.o, 2)) AS repaired_sha256
+FROM done d LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM d.conv_id"""
+
+_ROUNDS = "".join(
+    f"""
+took{r} AS (
+  SELECT rid, p, min(struct_pack(d := list_sum(list_transform(list_zip(v, w), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS t
+  FROM parts JOIN book{r} USING (p) GROUP BY rid, p),
+means{r} AS (
+  SELECT p, t.e AS e, i, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m
+  FROM (SELECT rid, p, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM parts) JOIN took{r} USING (rid, p) GROUP BY p, t.e, i),
+book{r + 1} AS (
+  SELECT p, e, coalesce(n, w) AS w FROM book{r} LEFT JOIN (SELECT p, e, list(m ORDER BY i) AS n FROM means{r} GROUP BY p, e) USING (p, e)),"""
+    for r in range(6)
+)
+OP12_SQL = f"""
+WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * x::DOUBLE) AS BIGINT)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(NOT isfinite(x), true))) = 0),
+numbered AS (SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, q) AS rid FROM whole),
+parts AS (
+  SELECT rid, p, q[p * len(q) // 8 + 1:(p + 1) * len(q) // 8] AS v FROM (SELECT rid, q, unnest(range(8)) AS p FROM numbered)),
+book0 AS (SELECT p, rid - 1 AS e, v AS w FROM parts WHERE rid <= 16),{_ROUNDS}
+final AS (
+  SELECT rid, p, min(struct_pack(d := list_sum(list_transform(list_zip(v, w), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), e := e)) AS t
+  FROM parts JOIN book6 USING (p) GROUP BY rid, p),
+coded AS (
+  SELECT rid, string_agg(printf('%02x', t.e), '' ORDER BY p) AS code, CAST(sum(t.d) AS BIGINT) AS error FROM final GROUP BY rid),
+books AS (SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book6)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM numbered JOIN coded USING (rid), books"""
+
+OP13_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(t, r)),
+turns AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(strlen(role) || ':' || role || text)) AS i,
+         regexp_extract_all(role || chr(10) || text, '[\[<]\\*(/?INST\]|/?s>|\|endoftext\|>)') AS controls
+  FROM said)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY i) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length(role) + length(text) + len(controls) + length('[INST][/INST]</s>')) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
 def builders() -> dict[str, Builder]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op2_near_line_dedup": OP2_SQL, "op8_host_quality": OP8_SQL}
+    return {
+        "op2_near_line_dedup": OP2_SQL,
+        "op8_host_quality": OP8_SQL,
+        "op11_run_repair": OP11_SQL,
+        "op12_bounded_codes": OP12_SQL,
+        "op13_prefix_tree": OP13_SQL,
+    }
