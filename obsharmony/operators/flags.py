@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import any_of, blank_to_null, matches, na_text
 from ..functions.text import remove_all, replace_first
 from ..session import durable
-from .joins import BROADCAST_ROWS, fits_broadcast, null_safe_join
+from .joins import null_safe_join
 
 # Fixed value: stands for "no code" or "no comment" on both sides of the flag join.
 NO_TEXT = "XXXX"
@@ -16,7 +16,8 @@ NO_TEXT = "XXXX"
 # The columns a flag-table row contributes.
 FLAG_FIELDS = ["Definition", "Unified_Flag", "Unified_Comment", "Retain", "Action"]
 
-_SALTS = 32
+# Longest pieces of text that are indexed.
+_GRAM = 3
 
 
 def limit_flags(df: DataFrame) -> DataFrame:
@@ -77,29 +78,77 @@ def prepare_flag_table(flags: DataFrame) -> DataFrame:
     return named.groupBy(*keys).agg(F.min("flag_row").alias("flag_row"))
 
 
-def _match_vocabulary(vocabulary: DataFrame, flags: DataFrame, max_rows: int) -> DataFrame:
-    """Regex left join of distinct (study, code, comment) texts with the flag table."""
+def required_grams(regex: Column) -> Column:
+    """Pieces of up to three characters that any match of a regex holds; none if that is not plain.
+
+    Letters, digits and the like stand for themselves; classes, groups, escapes, anchors and
+    what a quantifier makes optional are cut out. Alternatives, inline modes and escapes that
+    take an argument leave nothing."""
+    gap = "\u0001"
+    plain = F.regexp_replace(regex, r"\\.", gap)
+    plain = F.regexp_replace(plain, r"\[.*\]|\(.*\)", gap)
+    plain = F.regexp_replace(plain, r".(?:[?*]|\{[^}]*\})", gap)
+    plain = F.regexp_replace(plain, r"[.^$+?*(){}\[\]]", gap)
+    vague = regex.rlike(r"\[.*\(|\(.*\[|\||\(\?|\\[^dDsSwWbB\W_]|\\[0-9]|\[[^\]]*\[") | regex.isNull()
+    pieces = F.filter(F.split(plain, gap), lambda x: x != "")
+    return F.when(vague, F.array().cast("array<string>")).otherwise(
+        F.array_distinct(F.flatten(F.transform(pieces, lambda x: _grams(x, F.least(F.length(x), F.lit(_GRAM))))))
+    )
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """All pieces of a text of one size (none of an empty text)."""
+    starts = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
+    return F.coalesce(F.transform(starts, lambda i: F.substr(text, i, size)), F.array().cast("array<string>"))
+
+
+def _tagged(grams: Column, side: str) -> Column:
+    return F.transform(grams, lambda g: F.concat(F.lit(side), g))
+
+
+def _indexed(texts: DataFrame) -> DataFrame:
+    """Each text under every piece of one to three characters of its code (c) and comment (m)."""
+    sizes = range(1, _GRAM + 1)
+    pieces = [
+        _tagged(F.array_distinct(F.flatten(F.array(*[_grams(F.col(t), F.lit(n)) for n in sizes]))), side)
+        for side, t in (("c", "__c"), ("m", "__m"))
+    ]
+    pieces = F.flatten(F.array(*pieces))
+    # The bare side name is a piece of every text, for flags that require nothing.
+    return texts.withColumn("__gram", F.explode(F.array_append(pieces, F.lit("c"))))
+
+
+def match_vocabulary(vocabulary: DataFrame, flags: DataFrame) -> DataFrame:
+    """Regex left join of distinct (study, code, comment) texts with the flag table.
+
+    Both regexes of a flag require pieces of text. Each flag stands in an inverted index under
+    the rarest of them in its study, so a text meets only flags whose rarest piece it holds, by an
+    equi-join; the regexes decide. A flag whose piece no text holds meets none.
+    """
     texts = vocabulary.withColumns(
         {
             "__c": _with_placeholder(blank_to_null(remove_all("QAcode", r"\s")), ";"),
             "__m": _with_placeholder(blank_to_null(remove_all("QAcomment", "^; ")), "; "),
         }
     )
-    condition = (
-        (F.col("Study") == F.col("__study"))
-        & F.expr("__c RLIKE __code")
-        & F.expr("__m RLIKE __comment")
+    texts = durable(texts, "texts")
+    index = _indexed(texts)
+    spread = index.groupBy("Study", "__gram").agg(F.count("*").alias("__n"))
+    required = [_tagged(required_grams(F.col(r)), side) for side, r in (("c", "__code"), ("m", "__comment"))]
+    required = F.flatten(F.array(*required))
+    pieces = flags.withColumn("__need", F.explode(F.array_append(required, F.lit("c"))))
+    held = pieces.join(
+        spread.withColumnRenamed("Study", "__in"), (F.col("__study") == F.col("__in")) & (F.col("__need") == F.col("__gram")), "left"
     )
-    if fits_broadcast(flags, max_rows):
-        return texts.join(F.broadcast(flags), condition, "left")
-    # Few studies: a shuffle on the study alone would put a third of the texts in one task.
-    texts = texts.withColumn("__salt", F.pmod(F.xxhash64("__c", "__m"), F.lit(_SALTS)))
-    spread = flags.withColumn(
-        "__salt_f", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1)).cast("array<bigint>"))
+    rarest = held.groupBy(*flags.columns).agg(
+        F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__need").alias("piece"))).alias("__rare")
     )
-    return texts.join(spread, condition & (F.col("__salt") == F.col("__salt_f")), "left").drop(
-        "__salt", "__salt_f"
+    under = rarest.filter(F.col("__rare.n") > 0).withColumn("__piece", F.col("__rare.piece")).drop("__rare")
+    met = index.join(under, (F.col("Study") == F.col("__study")) & (F.col("__gram") == F.col("__piece"))).filter(
+        F.expr("__c RLIKE __code AND __m RLIKE __comment")
     )
+    keys = ["Study", "QAcode", "QAcomment"]
+    return null_safe_join(texts.select(*keys), met.select(*keys, *FLAG_FIELDS, "flag_row"), keys)
 
 
 def _joined(field: str) -> Column:
@@ -114,47 +163,43 @@ def _without_na(c: str) -> Column:
     return remove_all(remove_all(known, "NA, "), ", NA")
 
 
-def match_flags(df: DataFrame, flags: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def match_flags(df: DataFrame, flags: DataFrame) -> DataFrame:
     """Add the unified flag fields to every row and drop rows marked for removal.
 
     Flag codes and comments are regexes tested by containment. The regexes run
     once per distinct text, in a first pass that reads only the text columns; a
-    text's matches are merged in flag-table order. While the distinct texts fit
-    a broadcast, the rows themselves are not shuffled; beyond that, only rows
-    that carry a text are.
+    text's matches are merged in flag-table order and written, so the optimizer knows
+    their size when it joins them to the rows. Rows without a text have no match; a number
+    of their own keeps a shuffle from gathering them.
     """
     keys = ["Study", "QAcode", "QAcomment"]
     df = _cleaned(df)
     texts = df.filter(~no_flag()).select(*keys).distinct()
-    matched = _match_vocabulary(texts, prepare_flag_table(flags), max_rows)
+    matched = match_vocabulary(texts, prepare_flag_table(flags))
     merged = durable(
         matched.groupBy(*keys)
         .agg(*[_joined(f).alias(f) for f in FLAG_FIELDS])
         .withColumns({c: _without_na(c) for c in ("Unified_Flag", "Unified_Comment")})
         .withColumn("__drop", matches("Retain", "remove", ignore_case=True))
+        .withColumn("__part", F.lit(0)),
+        "flags",
     )
-    if fits_broadcast(merged, max_rows):
-        out = null_safe_join(df, F.broadcast(merged), keys)
-        return out.filter(~F.coalesce("__drop", F.lit(False))).drop("__drop")
-    empty = {c: F.lit(None).cast("string") for c in FLAG_FIELDS}
-    flagged = null_safe_join(df.filter(~no_flag()), merged, keys)
-    return (
-        flagged.filter(~F.col("__drop"))
-        .drop("__drop")
-        .unionByName(df.filter(no_flag()).withColumns(empty))
-    )
+    numbers = [c for c, t in df.dtypes if t in ("double", "bigint", "int")]
+    part = F.when(no_flag(), F.pmod(F.xxhash64(*numbers), F.lit(1 << 20)).cast("int") + 1).otherwise(F.lit(0))
+    out = null_safe_join(df.withColumn("__part", part), merged, [*keys, "__part"])
+    return out.filter(~F.coalesce("__drop", F.lit(False))).drop("__drop", "__part")
 
 
 def no_flag() -> Column:
     return F.col("QAcode").isNull() & F.col("QAcomment").isNull()
 
 
-def unify_flags(df: DataFrame, flags: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def unify_flags(df: DataFrame, flags: DataFrame) -> DataFrame:
     """Matched flags, with rows that carry a code or comment kept once.
 
     Rows without either keep their number of repeats.
     """
-    out = match_flags(df, flags, max_rows)
+    out = match_flags(df, flags)
     counted = out.groupBy(*out.columns).agg(F.count("*").alias("__n"))
     repeats = F.when(no_flag(), F.col("__n")).otherwise(F.lit(1))
     return counted.withColumn(

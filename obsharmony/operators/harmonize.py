@@ -24,7 +24,7 @@ from ..functions.text import (
 )
 from ..session import durable
 from .groups import collapse_texts, fill_group_mean, fill_group_mode, mean_of_distinct, with_group_stats
-from .joins import null_safe_join, sized
+from .joins import null_safe_join
 from .reshape import unpivot_long
 
 # Fixed value: mass of silica per mass of silicon.
@@ -49,8 +49,8 @@ KEY_COLUMNS = ["CodeName", "TargetUnits", "LongName", "Category", "Explicit_Unit
 
 # --- lookup tables -----------------------------------------------------------
 #
-# Lookup tables reach these operators as their owner prepared them: marked for
-# broadcast after a size check (joins.sized), or unmarked and joined by shuffle.
+# Lookup tables reach these operators unmarked: from their size the optimizer decides
+# whether to broadcast them or to shuffle.
 
 
 def prepare_key(key: DataFrame) -> DataFrame:
@@ -281,8 +281,8 @@ def depth_from_cast(df: DataFrame, depth: Column, deepest: Column) -> DataFrame:
 def station_depth_fallback(casts: DataFrame, lab: DataFrame) -> DataFrame:
     """Cast station depth from the lab table: site-year mean, site mean, deepest scan."""
     by_site, by_year = site_depths(lab)
-    out = null_safe_join(casts.drop("stationDepth"), sized(by_site), ["SITE_ID"])
-    out = null_safe_join(out, sized(by_year), ["SITE_ID", "YEAR"])
+    out = null_safe_join(casts.drop("stationDepth"), by_site, ["SITE_ID"])
+    out = null_safe_join(out, by_year, ["SITE_ID", "YEAR"])
     out = depth_from_cast(out, F.coalesce("siteDepthYear", "siteDepth"), F.col("maxCTDdepth"))
     return out.drop("siteDepth", "siteDepthYear", "maxCTDdepth")
 

@@ -1,4 +1,4 @@
-"""Joins in which a missing key equals a missing key, and size-checked broadcasts."""
+"""Joins in which a missing key equals a missing key. How to join is the optimizer's choice."""
 
 from __future__ import annotations
 
@@ -10,30 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.nulls import all_of
 from ..session import durable
 
-# A table beyond either limit is joined by shuffle instead of broadcast.
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 64 * 1024 * 1024
-
 KeyPair = str | tuple[str, str]
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table is proven small, in rows and in bytes, by one bounded aggregate."""
-    width = F.lit(8 * len(df.columns))
-    for c, t in df.dtypes:
-        if t in ("string", "binary"):
-            width = width + F.coalesce(F.octet_length(f"`{c}`"), F.lit(0))
-        elif t.startswith(("array", "map")):
-            width = width + 32 * F.greatest(F.size(f"`{c}`"), F.lit(0))
-    row = df.limit(max_rows + 1).agg(F.count("*"), F.sum(width.cast("bigint"))).first()
-    return row[0] <= max_rows and (row[1] or 0) <= BROADCAST_BYTES
-
-
-def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a table for broadcast only when it is proven small."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def _pairs(keys: Iterable[KeyPair]) -> list[tuple[str, str]]:
     return [(k, k) if isinstance(k, str) else k for k in keys]
 
@@ -67,11 +46,11 @@ def null_safe_join(
 def join_statistics(df: DataFrame, table: DataFrame, by: Iterable[KeyPair]) -> DataFrame:
     """Per-group statistics beside every row.
 
-    The statistics are computed once and kept; if there are few groups they are
-    broadcast, so rows stay where they are and a hot group is no one's burden.
-    With many groups the join shuffles, and adaptive execution splits hot keys.
+    The statistics are computed once and kept, so the optimizer knows their size: few
+    groups are broadcast, and rows stay where they are; many are joined by a shuffle, in
+    which adaptive execution splits hot keys.
     """
-    return null_safe_join(df, sized(durable(table)), by)
+    return null_safe_join(df, durable(table, "statistics"), by)
 
 
 def natural_left_join(left: DataFrame, right: DataFrame, expected: Iterable[str]) -> DataFrame:
@@ -115,10 +94,9 @@ def values_sql(rows, schema: str) -> str:
 
 
 def inline_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """Lookup table from literal rows, marked for broadcast when short enough."""
+    """Lookup table from literal rows."""
     raw = values_sql(rows, schema.replace("VARCHAR", "STRING"))
     # Regexes in the rows must reach the table unescaped.
-    df = spark.sql(raw.replace("\\", "\\\\"))
-    return F.broadcast(df) if len(rows) <= BROADCAST_ROWS else df
+    return spark.sql(raw.replace("\\", "\\\\"))
 
 

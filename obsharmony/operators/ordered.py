@@ -1,10 +1,11 @@
 """Ordered work inside groups of any size.
 
-A window over a whole group puts that group into one task. Here group sizes are
-counted first, and a large group is cut into ordered ranges with split points
-from a bounded sketch; windows run inside (group, range), and a small per-range
-summary carries totals and last values from one range to the next. Results are
-exact.
+A window over a whole group would put that group into one task. Positions and carried values
+work on ranges instead: rows are range-partitioned by group and order value, windows run inside
+(group, range), and a summary of each range carries totals and last values to the next. Quantiles
+are selected digit by digit: counts per leading digits of an order-preserving integer narrow the
+interval of each rank, so a window never sees more rows than a digit has values. All
+results are exact, and the plan is the same for groups of every size.
 """
 
 from __future__ import annotations
@@ -14,52 +15,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import durable
-from .joins import null_safe_join, sized
+from .joins import null_safe_join
 
-RANGES = 64
-# Groups up to this size are ordered in one task; larger ones are cut.
-GROUP_ROWS = 500_000
 RANGE = "__range"
-_ACCURACY = 10_000
-_STEP = 8
-# Split points of more groups than this are joined by shuffle instead of broadcast.
-_POINT_ROWS = 20_000
+_DIGIT_BITS = 16
+_KEY_BITS = 64
 
 
-def with_ranges(
-    df: DataFrame, by: list[str], order: str, ranges: int = RANGES, group_rows: int = GROUP_ROWS
-) -> DataFrame | None:
-    """Number ordered ranges of `order` inside each large group; `order` must be numeric.
+def with_ranges(df: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Rows with the number of their range; ranges ascend by group and order value.
 
-    None when no group has more than `group_rows` rows; groups below that are
-    one range. The split points are materialised once, because a second
-    evaluation of the sketch may give other points. A range holds about
-    1/ranges of the group's distinct order values.
-    """
-    sizes = df.groupBy(*by).agg(F.count("*").alias("__n"))
-    large = durable(sizes.filter(F.col("__n") > group_rows).select(*by))
-    if large.isEmpty():
-        return None
-    grid = [i / ranges for i in range(1, ranges)]
-    points = durable(
-        null_safe_join(df.select(*by, order), sized(large, _POINT_ROWS), by, "left_semi")
-        .groupBy(*by)
-        .agg(F.percentile_approx(order, grid, _ACCURACY).alias("__points"))
-    )
-    # Every _STEP-th point first, then only the points of that step.
-    steps = F.filter("__points", lambda p, i: i % _STEP == _STEP - 1)
-    points = points.withColumn("__steps", steps)
-
-    def below(some: Column | str) -> Column:
-        return F.size(F.filter(some, lambda p: p < F.col(order)))
-
-    out = null_safe_join(df, sized(points, _POINT_ROWS), by).withColumn("__step", below("__steps"))
-    inside = F.slice("__points", F.col("__step") * _STEP + 1, F.lit(_STEP - 1))
-    rank = F.col("__step") * _STEP + below(inside)
-    # A group without split points, or a row without an order value, is in the first range.
-    return out.withColumn(
-        RANGE, F.when(F.col("__step") >= 0, F.coalesce(rank, F.lit(0))).otherwise(F.lit(0))
-    ).drop("__points", "__steps", "__step")
+    The ranges are materialised once, since a second sampling may cut elsewhere. Rows of
+    one group and one order value share a range."""
+    placed = df.repartitionByRange(*by, order).withColumn(RANGE, F.spark_partition_id())
+    return durable(placed, "ranges")
 
 
 def _before(by: list[str]):
@@ -70,15 +39,10 @@ def _up_to_here(by: list[str], order: str):
     return W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
 
 
-def with_position(
-    df: DataFrame, by: list[str], order: str, name: str = "position",
-    ranges: int = RANGES, group_rows: int = GROUP_ROWS,
-) -> DataFrame:
+def with_position(df: DataFrame, by: list[str], order: str, name: str = "position") -> DataFrame:
     """0-based position by `order` inside each group; `order` must be unique there."""
-    cut = with_ranges(df, by, order, ranges, group_rows)
-    if cut is None:
-        return df.withColumn(name, (F.count("*").over(_up_to_here(by, order)) - 1))
-    # At most `ranges` rows per group reach this window.
+    cut = with_ranges(df, by, order)
+    # A group has at most as many rows here as there are partitions.
     offsets = (
         cut.groupBy(*by, RANGE)
         .agg(F.count("*").alias("__n"))
@@ -93,14 +57,9 @@ def with_position(
     )
 
 
-def carry_forward(
-    df: DataFrame, by: list[str], order: str, column: str,
-    ranges: int = RANGES, group_rows: int = GROUP_ROWS,
-) -> DataFrame:
+def carry_forward(df: DataFrame, by: list[str], order: str, column: str) -> DataFrame:
     """Replace NULL by the last known value before it; `order` must be unique in the group."""
-    cut = with_ranges(df, by, order, ranges, group_rows)
-    if cut is None:
-        return df.withColumn(column, F.last(column, ignorenulls=True).over(_up_to_here(by, order)))
+    cut = with_ranges(df, by, order)
     known = F.when(F.col(column).isNotNull(), F.col(order))
     carried = (
         cut.groupBy(*by, RANGE)
@@ -116,63 +75,68 @@ def carry_forward(
     )
 
 
-def _ranked(counts: DataFrame, by: list[str], value: str, ranges: int, group_rows: int) -> DataFrame:
-    """Distinct values with their count, the rank after them, and the group's total."""
-    cut = with_ranges(counts, by, value, ranges, group_rows)
-    if cut is None:
-        return counts.select(
-            *by,
-            value,
-            "__n",
-            F.sum("__n").over(_up_to_here(by, value)).alias("__end"),
-            F.sum("__n").over(W.partitionBy(*by)).alias("__total"),
+def order_key(value: Column) -> Column:
+    """Integer that sorts as the double does: exponent and mantissa of its size, and its sign.
+
+    Zero has one key; infinity stands above all numbers and NaN above that. Every step is exact."""
+    size, least = F.abs(value), -1022
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(least)).cast("int")
+    two_to = lambda e: F.pow(F.lit(2.0), e)
+    low = (guess > least) & (size < two_to(guess))
+    exponent = F.when(low, guess - 1).when((guess < 1023) & (size >= two_to(guess + 1)), guess + 1).otherwise(guess)
+    scaled = (size / two_to(exponent) * F.lit(2.0**52)).cast("long")
+    key = (exponent - least).cast("long") * F.lit(1 << 52) + scaled
+    key = F.when(size == 0, F.lit(0)).when(size == float("inf"), F.lit(0x7FF << 52)).otherwise(key)
+    return F.when(F.isnan(value), F.lit(0x7FF8 << 48)).when(value < 0, -key).otherwise(key)
+
+
+def select_ranks(counts: DataFrame, by: list[str], value: str, ranks: DataFrame) -> DataFrame:
+    """Values at 0-based ranks. counts: (by, value, __n), values distinct; ranks: (by, __rank)."""
+    keyed = counts.withColumn("__key", order_key(F.col(value).cast("double")))
+    left = ranks.withColumns({"__head": F.lit(0).cast("long"), "__start": F.lit(0).cast("long")})
+    for shift in range(_KEY_BITS - _DIGIT_BITS, -1, -_DIGIT_BITS):
+        above = F.shiftright("__key", shift + _DIGIT_BITS)
+        first = shift + _DIGIT_BITS == _KEY_BITS
+        inside = keyed.withColumn("__head", F.lit(0).cast("long") if first else above)
+        if not first:
+            inside = null_safe_join(inside, left.select(*by, "__head").distinct(), [*by, "__head"], "left_semi")
+        digit = F.shiftright("__key", shift).alias("__next")
+        sums = [F.sum("__n").alias("__n"), F.max(value).alias("__value")]
+        found = inside.groupBy(*by, "__head", digit).agg(*sums)
+        # No more rows to a window than a digit has values.
+        ended = F.sum("__n").over(_up_to_here([*by, "__head"], "__next"))
+        found = found.withColumn("__end", ended)
+        met = null_safe_join(left, found, [*by, "__head"], "inner")
+        at = F.col("__rank") - F.col("__start")
+        met = met.filter((at >= F.col("__end") - F.col("__n")) & (at < F.col("__end")))
+        left = met.select(
+            *by, "__rank", F.col("__next").alias("__head"), (F.col("__start") + F.col("__end") - F.col("__n")).alias("__start"), "__value"
         )
-    summary = cut.groupBy(*by, RANGE).agg(F.sum("__n").alias("__rn"))
-    summary = summary.select(
-        *by,
-        RANGE,
-        F.coalesce(F.sum("__rn").over(_before(by)), F.lit(0)).alias("__offset"),
-        F.sum("__rn").over(W.partitionBy(*by)).alias("__total"),
-    )
-    inside = F.sum("__n").over(_up_to_here([*by, RANGE], value))
-    return null_safe_join(cut, summary, [*by, RANGE]).withColumn(
-        "__end", F.col("__offset") + inside
-    )
+        if shift:
+            left = left.drop("__value")
+    return left.select(*by, "__rank", F.col("__value").alias(value))
 
 
-def quantiles(
-    df: DataFrame, by: list[str], value: str, probs: dict[str, float],
-    ranges: int = RANGES, group_rows: int = GROUP_ROWS,
-) -> DataFrame:
+def quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per entry of `probs`.
 
-    Equal values are counted before any shuffle, so heavy repetition is cheap;
-    distinct values are ranked range by range.
+    Equal values are counted before any shuffle, so heavy repetition is cheap. Rows without a
+    value do not count; a group without any value is not in the result.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n"))
+    counts = durable(
+        df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n")), "counts"
     )
-    ranked = _ranked(counts, by, value, ranges, group_rows)
-    start, end = F.col("__end") - F.col("__n"), F.col("__end")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((start <= rank) & (rank < end), F.col(value)))
-
-    aggs = []
-    for name, p in probs.items():
-        h = F.lit(float(p)) * (F.col("__total") - 1)
-        aggs += [
-            at(F.floor(h)).alias(f"__lo_{name}"),
-            at(F.ceil(h)).alias(f"__hi_{name}"),
-            F.max(h - F.floor(h)).alias(f"__f_{name}"),
-        ]
-    got = ranked.groupBy(*by).agg(*aggs)
-    return got.select(
-        *by,
-        *[
-            (
-                F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__f_{n}")
-            ).alias(n)
-            for n in probs
-        ],
+    totals = durable(counts.groupBy(*by).agg(F.sum("__n").alias("__total")), "totals")
+    place = {name: F.lit(float(p)) * (F.col("__total") - 1) for name, p in probs.items()}
+    both = F.array_distinct(F.array(*[r for h in place.values() for r in (F.floor(h), F.ceil(h))]))
+    ranks = totals.select(*by, F.explode(both).alias("__rank"))
+    at = null_safe_join(select_ranks(counts, by, value, ranks), totals, by)
+    lo = {n: F.max(F.when(F.col("__rank") == F.floor(h), F.col(value))) for n, h in place.items()}
+    hi = {n: F.max(F.when(F.col("__rank") == F.ceil(h), F.col(value))) for n, h in place.items()}
+    got = at.groupBy(*by).agg(
+        F.max("__total").alias("__total"),
+        *[c.alias(f"__lo_{n}") for n, c in lo.items()],
+        *[c.alias(f"__hi_{n}") for n, c in hi.items()],
     )
+    step = {n: (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * (h - F.floor(h)) for n, h in place.items()}
+    return got.select(*by, *[(F.col(f"__lo_{n}") + s).alias(n) for n, s in step.items()])

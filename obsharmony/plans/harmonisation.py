@@ -9,7 +9,7 @@ from ..functions.text import site_key, unit_text
 from ..operators import flags as fl
 from ..operators import harmonize as hz
 from ..operators.groups import fill_group_mean
-from ..operators.joins import null_safe_join, sized
+from ..operators.joins import null_safe_join
 from .catalog import observations, query, steady, steady_sql, table, with_obs
 from .lookups import (
     CONVERSIONS,
@@ -641,7 +641,7 @@ def water_body_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
     joined = table(spark, sf_dir, "supplier").join(
-        sized(nations), F.col("s_nationkey") == F.col("n_nationkey")
+        nations, F.col("s_nationkey") == F.col("n_nationkey")
     )
     return hz.in_water_bodies(joined, ["AFRICA", "ASIA"], "r_name").select(
         "s_suppkey", "n_name", "r_name"

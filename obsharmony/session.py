@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,11 +33,14 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(path)
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Materialise to the shared checkpoint folder, so a lost executor costs no recomputation.
+def durable(df: DataFrame, name: str = "kept") -> DataFrame:
+    """Write a table to the shared checkpoint folder and read it back.
 
-    Used where two branches must see the very same rows (approximate split
-    points, refinement rounds); plain recomputation could differ between them.
+    A lost executor costs no recomputation, branches see the very same rows, and the
+    optimizer knows the table's size when it chooses how to join it.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    _ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

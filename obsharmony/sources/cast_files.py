@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import times
 from ..functions.text import extract_group, to_number
 from ..operators import profiles
-from ..operators.joins import null_safe_join, sized
+from ..operators.joins import null_safe_join
 from ..operators.reshape import unpivot_long
 from ..session import durable
 
@@ -111,7 +111,7 @@ def file_errors(lines: DataFrame, head: DataFrame) -> DataFrame:
 def scans(lines: DataFrame, head: DataFrame) -> DataFrame:
     """Data lines as numbers, one column per sensor kept; bad values are NULL."""
     good = head.filter(F.col("end_line").isNotNull()).select("path", "end_line", "names")
-    data = null_safe_join(lines, sized(good), ["path"], "inner").filter(
+    data = null_safe_join(lines, good, ["path"], "inner").filter(
         (F.col("line_no") > F.col("end_line")) & (F.trim("line") != "")
     )
     cells = F.split(F.trim("line"), r"\s+")
@@ -141,7 +141,7 @@ def cast_table(lines: DataFrame, despike_width: int = 3, despike_spread: float =
     df = df.withColumn("cpar", F.try_divide("PAR", "spar"))
     df = profiles.usable_scans(df, "depth")
     df = profiles.metre_bins(df, ["path"], "depth", profiles.CAST_SENSORS)
-    df = null_safe_join(df, sized(head.drop("end_line", "names")), ["path"])
+    df = null_safe_join(df, head.drop("end_line", "names"), ["path"])
     ids = ["path", "depth", "sampleDateTime", "Latitude", "Longitude", "stationDepth"]
     long = unpivot_long(df, ids, profiles.CAST_SENSORS)
     unit = F.lit(None).cast("string")

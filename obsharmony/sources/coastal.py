@@ -14,7 +14,7 @@ from ..functions.text import replace_first
 from ..operators import flags as fl
 from ..operators import harmonize as hz
 from ..operators.groups import collapse_texts, with_group_stats
-from ..operators.joins import null_safe_join, sized
+from ..operators.joins import null_safe_join
 from ..operators.reshape import union_by_name, unpivot_long
 from . import standard as st
 from .readers import in_file_order
@@ -114,7 +114,7 @@ def profile_2010(raw: DataFrame, sites: DataFrame, lookups: st.Lookups) -> DataF
             "ReportedUnits": F.lower(replace_first("UNITS", "/")),
         }
     )
-    df = null_safe_join(df, sized(sites), ["SITE_ID"])
+    df = null_safe_join(df, sites, ["SITE_ID"])
     # The profile's own depth is right except at two sites.
     depth = F.when(F.col("SITE_ID").isin(SITE_TABLE_DEPTH), F.col("siteDepth"))
     df = df.withColumn("stationDepth", depth.otherwise(F.col("stationDepth")))
@@ -123,7 +123,7 @@ def profile_2010(raw: DataFrame, sites: DataFrame, lookups: st.Lookups) -> DataF
 
 def _with_site(df: DataFrame, sites: DataFrame) -> DataFrame:
     """Position and depth from the site table, which wins over the file's depth."""
-    df = null_safe_join(df.drop("stationDepth"), sized(sites), ["UID", "SITE_ID"])
+    df = null_safe_join(df.drop("stationDepth"), sites, ["UID", "SITE_ID"])
     return df.withColumnRenamed("siteDepth", "stationDepth")
 
 
@@ -232,7 +232,7 @@ def chemistry_2020(raw: DataFrame, sites: DataFrame, lookups: st.Lookups) -> Dat
             "Study": F.lit(st.COASTAL_CHEMISTRY_2020),
         }
     )
-    df = null_safe_join(df, sized(sites), ["UID", "SITE_ID"]).filter(F.col("Longitude").isNotNull())
+    df = null_safe_join(df, sites, ["UID", "SITE_ID"]).filter(F.col("Longitude").isNotNull())
     return _harmonise(df, lookups, ["Study", "ANALYTE"], strict=True, columns=["RESULT", "MDL", "RL"])
 
 

@@ -12,7 +12,7 @@ from ..functions.nulls import matches, paste
 from ..functions.text import extract, extract_group, remove_all, replace_first, site_key, split_once, to_number
 from ..operators import harmonize as hz
 from ..operators.groups import fill_group_mean
-from ..operators.joins import null_safe_join, sized
+from ..operators.joins import null_safe_join
 from ..operators.ordered import quantiles
 from ..operators.profiles import whole_metre_bins
 from ..operators.reshape import union_by_name, unpivot_long
@@ -138,7 +138,7 @@ def load_2015(
     df = hz.map_names(df, lookups.names["coop"], ["Study", "ANALYTE"])
     df = hz.override_units(df, {"pH": "unitless"})
     df = st.to_common_units(hz.respell_units(df, UNITS_2015), lookups)
-    df = null_safe_join(df, sized(limits_2015(limits, lookups)), ["ANALYTE", "CodeName"])
+    df = null_safe_join(df, limits_2015(limits, lookups), ["ANALYTE", "CodeName"])
     return st.as_observations(df)
 
 
@@ -289,7 +289,7 @@ def load_2021(frames: Mapping[str, DataFrame], values: Sequence[str], lookups: s
     survey = union_by_name(
         survey_casts_2021(frames["survey_casts"]), light_2021(frames["light"], sites)
     )
-    survey = null_safe_join(survey, sized(sites), ["SITE_ID"])
+    survey = null_safe_join(survey, sites, ["SITE_ID"])
     df = union_by_name(
         chemistry_2021(frames["chemistry"], values), agency_casts_2021(frames["agency_casts"]), survey
     )
@@ -300,7 +300,7 @@ def load_2021(frames: Mapping[str, DataFrame], values: Sequence[str], lookups: s
     df = df.withColumn("ReportedUnits", _unit_2021("UNITS"))
     df = st.to_common_units(df, lookups)
     limits = limits_2021(frames["limits"], lookups)
-    df = null_safe_join(df, sized(limits), ["ANALYTE", "CodeName", "TargetUnits"])
+    df = null_safe_join(df, limits, ["ANALYTE", "CodeName", "TargetUnits"])
     return st.as_observations(
         df.withColumn("UID", paste(F.lit(st.COOP_PREFIX), "UID", sep="-"))
     )

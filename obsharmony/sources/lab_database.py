@@ -9,7 +9,7 @@ from ..functions import text, times
 from ..functions.nulls import matches, paste
 from ..operators import checks
 from ..operators import harmonize as hz
-from ..operators.joins import null_safe_join, sized
+from ..operators.joins import null_safe_join
 from ..operators.reshape import unpivot_groups
 from . import standard as st
 from .readers import keep_samples
@@ -98,10 +98,10 @@ def clean(
         text.to_number("Longitude").alias("LONGITUDE"),
     )
     if impute_coordinates:
-        df = hz.fill_coordinates(df, "STATION_ID", list(place), sized(site_table))
+        df = hz.fill_coordinates(df, "STATION_ID", list(place), site_table)
     else:
         spare = site_table.withColumnsRenamed({"LATITUDE": "__la", "LONGITUDE": "__lo"})
-        df = null_safe_join(df, sized(spare), ["STATION_ID"]).withColumns(
+        df = null_safe_join(df, spare, ["STATION_ID"]).withColumns(
             {"LATITUDE": F.coalesce("LATITUDE", "__la"), "LONGITUDE": F.coalesce("LONGITUDE", "__lo")}
         )
 
@@ -122,7 +122,7 @@ def clean(
     df = hz.map_names(df, lookups.names["lab"], ["Study", *_NAME_KEYS])
     df = st.to_common_units(hz.respell_units(df, {"%": "percent"}), lookups)
     df = df.withColumn("RESULT", hz.silicon_to_silica("RESULT"))
-    df = null_safe_join(df, sized(season_limits), ["CodeName", "YEAR", "SEASON"])
+    df = null_safe_join(df, season_limits, ["CodeName", "YEAR", "SEASON"])
     df = hz.zero_negative_rule(df).withColumnsRenamed(
         {
             "SAMPLE_ID": "UID",

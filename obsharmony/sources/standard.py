@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import harmonize as hz
-from ..operators.joins import sized
 from .readers import read_table
 
 # Study labels as the naming and flag tables spell them.
@@ -86,18 +85,16 @@ class Lookups:
     ) -> Lookups:
         """From raw sheets; coastal names fill missing codes, cooperative names lose their dots."""
         prepared = {
-            family: sized(
-                hz.prepare_name_map(
+            family: hz.prepare_name_map(
                     sheet, fill_codes=family == "coastal", drop_dots=family == "coop"
                 )
-            )
             for family, sheet in names.items()
         }
         return cls(
-            sized(hz.prepare_key(key)),
-            sized(hz.prepare_conversions(conversions)),
+            hz.prepare_key(key),
+            hz.prepare_conversions(conversions),
             prepared,
-            None if limit_names is None else sized(limit_names),
+            None if limit_names is None else limit_names,
             flags,
         )
 

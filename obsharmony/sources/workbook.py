@@ -9,7 +9,6 @@ from ..functions import times
 from ..functions.nulls import matches, paste
 from ..functions.text import split_once, to_number
 from ..operators import harmonize as hz
-from ..operators.joins import sized
 from ..operators.reshape import union_by_name, unpivot_long
 from . import standard as st
 
@@ -78,7 +77,7 @@ def load(
     main: DataFrame, extra: DataFrame, aliases: DataFrame, lookups: st.Lookups,
     values: list[str] | None = None,
 ) -> DataFrame:
-    aliases = sized(aliases)
+    aliases = aliases
     df = union_by_name(measurements(main, aliases, values), supplement(extra, aliases)).withColumn(
         "Study", F.lit(st.WORKBOOK)
     )

@@ -67,9 +67,8 @@ def by_hand(rows, table):
     return sorted([*flagged, *[r for r in out if (r[1], r[2]) == (None, None)]], key=str)
 
 
-@pytest.mark.parametrize("max_rows", [100, 3, 0])
-def test_unify_flags(frame, max_rows):
-    got = flags.unify_flags(frame(OBS, OBS_ROWS), frame(FLAGS, FLAG_ROWS), max_rows)
+def test_unify_flags(frame):
+    got = flags.unify_flags(frame(OBS, OBS_ROWS), frame(FLAGS, FLAG_ROWS))
     rows = [tuple(r) for r in got.select("id", "QAcode", "QAcomment", *FIELDS).collect()]
     assert sorted(rows, key=str) == by_hand(OBS_ROWS, FLAG_ROWS)
 
@@ -97,6 +96,49 @@ def test_limit_flags(frame):
     ]
 
 
+def test_required_grams_are_in_every_match(frame):
+    import re
+
+    regexes = [
+        "held too long", "U", "NA", "a.c", "colou?r", "ab*cd", "x{2}yz", "(opt)?must", "one|two", "[abc]def", "^start", "end$", r"d\.ot", r"\d+mg",
+        "(?i)case", r"\x41b", "lazy*?tail", "a+b", "br[a(b]c(d]e)?", "", "XXXX",
+    ]
+    texts = ["held too long", "U;XXXX", "NA", "abc", "color", "colour", "acd", "abbcd", "xxyz", "must", "optmust", "one", "two", "bdef", "start", "end",
+             "d.ot", "12mg", "CASE", "Ab", "laztail", "lazyytail", "aab", "bra(c", "brac", "brace", "XXXX", "held too long; XXXX"]
+    got = {r.r: r.g for r in frame("r string", [(x,) for x in regexes]).select("r", flags.required_grams(F.col("r")).alias("g")).collect()}
+    for r in regexes:
+        for t in texts:
+            try:
+                hit = re.search(r, t)
+            except re.error:
+                hit = None
+            if hit:
+                assert all(g in t for g in got[r]), (r, t, got[r])
+    assert "hel" in got["held too long"] and got["one|two"] == got["(?i)case"] == [] and got["U"] == ["U"]
+
+
+def test_many_flags_meet_few_texts(spark, frame):
+    """10,000 flags: a text meets only those whose rarest piece it holds, by an equi-join."""
+    table = [("s", f"C{i:04d}", None if i % 2 else f"reason {i}", f"d{i}", "F", "c", None, "a", i) for i in range(10_000)]
+    table += [("s", None, "everything", "all", "A", "c", None, "a", 10_000), ("s", "C00.1", None, "dot", "D", "c", None, "a", 10_001)]
+    schema = "Study string, QAcode string, QAcomment string, Definition string, Unified_Flag string, Unified_Comment string, Retain string, Action string, flag_row int"
+    texts = [("s", f"C{i:04d}", c) for i in range(0, 3000, 7) for c in (None, f"reason {i}", "everything else")] + [("t", "C0001", None)]
+    matched = flags.match_vocabulary(frame("Study string, QAcode string, QAcomment string", texts), flags.prepare_flag_table(frame(schema, table)))
+    plan = matched._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    got = {(r.Study, r.QAcode, r.QAcomment, r.flag_row) for r in matched.collect()}
+    import re
+
+    want = set()
+    for s, c, m in texts:
+        here = {
+            f[8] for f in table
+            if f[0] == s and re.search(f[1] or "XXXX", c + ";XXXX") and re.search(f[2] or "XXXX", m + "; XXXX" if m else "XXXX")
+        }
+        want |= {(s, c, m, i) for i in here or {None}}
+    assert got == want
+
+
 def test_censor_priority(frame):
     df = frame("RESULT double, Unified_Flag string", [(1.0, f) for f in (None, "N", "N, E", "E, R", "R", "B, Q", "Q")])
     assert [r[0] for r in df.select(flags.censor()).collect()] == [1.0, None, None, 1.0, None, None, 1.0]
@@ -124,23 +166,43 @@ def grouped(pdf):
     return pdf.assign(g=pdf.g.fillna("~")).sort_values("id").groupby("g")
 
 
-@pytest.mark.parametrize(("ranges", "group_rows"), [(64, 100), (8, 400), (64, 10_000)])
-def test_exact_quantiles(hot, ranges, group_rows):
+def test_exact_quantiles(hot):
     pdf, df = hot
     probs = {"a": 0.0, "b": 0.025, "c": 0.5, "d": 0.975, "e": 1.0}
-    got = {r.g or "~": [r[k] for k in probs] for r in ordered.quantiles(df, ["g"], "x", probs, ranges, group_rows).collect()}
+    got = {r.g or "~": [r[k] for k in probs] for r in ordered.quantiles(df, ["g"], "x", probs).collect()}
     want = {g: x.x.quantile(list(probs.values())).tolist() for g, x in grouped(pdf)}
     assert set(got) == set(want)
     assert all(np.allclose(got[g], want[g], rtol=1e-12) for g in want)
 
 
-@pytest.mark.parametrize("group_rows", [100, 400, 10_000])
-def test_position_and_carry_forward(hot, group_rows):
+def test_order_key_sorts_as_doubles_do(frame):
+    rng = np.random.default_rng(3)
+    bits = rng.integers(-(1 << 63), (1 << 63) - 1, 5000).view(np.float64)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, math.inf, -math.inf, math.nan]
+    near = [math.nextafter(2.0**e, x) for e in range(-1060, 1023, 7) for x in (0.0, math.inf)]
+    values = [*map(float, bits), *odd, *near, *(2.0**e for e in range(-1074, 1024))]
+    got = {repr(r.x + 0.0): r.k for r in frame("x double", [(x,) for x in values]).select("x", ordered.order_key(F.col("x")).alias("k")).collect()}
+    known = sorted({x + 0.0 for x in values if not math.isnan(x)})
+    keys = [got[repr(x)] for x in known]
+    assert all(a < b for a, b in zip(keys, keys[1:])) and got["nan"] > keys[-1]
+
+
+def test_quantiles_of_a_hot_group_of_near_values(spark):
+    """Values that differ only in the last digits of their bits, in one group of most rows."""
+    xs = [1.0 + (i * 7919 % 20_011) * 2.0**-52 for i in range(20_000)]
+    rows = [("hot", x) for x in xs] + [("few", -3.5), ("few", 2.0), (None, 1e300), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(4)
+    got = {r.g: (r.low, r.mid, r.high) for r in ordered.quantiles(df, ["g"], "x", {"low": 0.0, "mid": 0.5, "high": 1.0}).collect()}
+    xs.sort()
+    assert got == {"hot": (xs[0], xs[9999] + (xs[10_000] - xs[9999]) * 0.5, xs[-1]), "few": (-3.5, -0.75, 2.0), None: (1e300,) * 3}
+
+
+def test_position_and_carry_forward(hot):
     pdf, df = hot
-    pos = {r.id: r.position for r in ordered.with_position(df, ["g"], "id", group_rows=group_rows).collect()}
+    pos = {r.id: r.position for r in ordered.with_position(df, ["g"], "id").collect()}
     want = pd.concat([x.assign(p=range(len(x))) for _, x in grouped(pdf)])
     assert pos == dict(zip(want.id, want.p))
-    carried = {r.id: r.x for r in ordered.carry_forward(df, ["g"], "id", "x", group_rows=group_rows).collect()}
+    carried = {r.id: r.x for r in ordered.carry_forward(df, ["g"], "id", "x").collect()}
     want = pd.concat([x.assign(f=x.x.ffill()) for _, x in grouped(pdf)])
     assert carried == {i: None if math.isnan(f) else f for i, f in zip(want.id, want.f)}
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from obsharmony.operators import groups, joins
 from obsharmony.plans.catalog import observations
+from obsharmony.session import durable
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -40,22 +41,22 @@ def test_group_values_do_not_move_rows(spark):
     assert "BroadcastHashJoin" in text and "Window" not in text and "hashpartitioning" not in text
 
 
-def test_large_lookup_is_not_broadcast(spark):
-    big = spark.range(50).withColumnRenamed("id", "k")
-    assert "broadcast" in plan(joins.sized(big, 50).join(spark.range(5).withColumnRenamed("id", "k"), "k").hint("x")).lower()
-    assert joins.sized(big, 49) is big
-
-
-def test_few_rows_with_long_texts_are_not_broadcast(spark, monkeypatch):
-    texts = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("t"), F.array("id").alias("a"))
-    assert joins.sized(texts) is not texts
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 9_000)
-    assert joins.sized(texts) is texts
+def test_written_statistics_are_joined_by_their_size(spark):
+    """The optimizer broadcasts a written table by its size on disk, and only then."""
+    rows = spark.range(1000).withColumn("k", F.col("id") % 50)
+    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    table = durable(rows.groupBy("k").count())
+    try:
+        assert "BroadcastHashJoin" in plan(joins.null_safe_join(rows, table, ["k"]))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+        assert "SortMergeJoin" in plan(joins.null_safe_join(rows, table, ["k"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
 
 
-@pytest.mark.parametrize("max_rows", [0, 100])
-def test_hot_key_join_is_split(spark, max_rows):
-    """A key with most of the rows: broadcast when few groups, split when many."""
+@pytest.mark.parametrize("broadcast", [False, True])
+def test_hot_key_join_is_split(spark, broadcast):
+    """A key with most of the rows: broadcast when the statistics are small, split when not."""
     keep = {
         k: spark.conf.get(k)
         for k in (
@@ -68,20 +69,19 @@ def test_hot_key_join_is_split(spark, max_rows):
     try:
         spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "20KB")
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10KB")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB" if broadcast else "-1")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         rows = spark.range(0, 200_000, 1, 8).select(
             "id", F.when(F.col("id") % 10 < 8, F.lit(0)).otherwise(F.col("id") % 1000).alias("g")
         )
         stats = rows.groupBy("g").agg(F.count("*").alias("n"))
-        table = joins.sized(stats, max_rows) if max_rows == 0 else joins.sized(stats, 100_000)
-        out = joins.null_safe_join(rows, table, ["g"])
+        out = joins.null_safe_join(rows, durable(stats), ["g"])
         assert out.agg(F.sum((F.col("g") == 0).cast("long"))).first()[0] >= 160_000
         out.write.format("noop").mode("overwrite").save()
         collected = out.agg(F.max("n"), F.count("*"))
         collected.collect()
         text = plan(collected)
-        if max_rows:
+        if broadcast:
             assert "BroadcastHashJoin" in text
         else:
             assert "skew=true" in text or "skewed" in text
