@@ -91,13 +91,12 @@ def order_key(value: Column) -> Column:
 
 
 def select_ranks(counts: DataFrame, by: list[str], value: str, ranks: DataFrame) -> DataFrame:
-    """Values at 0-based ranks. counts: (by, value, __n), values distinct; ranks: (by, __rank)."""
-    keyed = counts.withColumn("__key", order_key(F.col(value).cast("double")))
-    left = ranks.withColumns({"__head": F.lit(0).cast("long"), "__start": F.lit(0).cast("long")})
+    """Values at 0-based ranks. counts: (by, value, __n, __key), values distinct; ranks: (by, __rank)."""
+    left = durable(ranks.withColumns({"__head": F.lit(0).cast("long"), "__start": F.lit(0).cast("long")}), "ranks")
     for shift in range(_KEY_BITS - _DIGIT_BITS, -1, -_DIGIT_BITS):
         above = F.shiftright("__key", shift + _DIGIT_BITS)
         first = shift + _DIGIT_BITS == _KEY_BITS
-        inside = keyed.withColumn("__head", F.lit(0).cast("long") if first else above)
+        inside = counts.withColumn("__head", F.lit(0).cast("long") if first else above)
         if not first:
             inside = null_safe_join(inside, left.select(*by, "__head").distinct(), [*by, "__head"], "left_semi")
         digit = F.shiftright("__key", shift).alias("__next")
@@ -112,8 +111,8 @@ def select_ranks(counts: DataFrame, by: list[str], value: str, ranks: DataFrame)
         left = met.select(
             *by, "__rank", F.col("__next").alias("__head"), (F.col("__start") + F.col("__end") - F.col("__n")).alias("__start"), "__value"
         )
-        if shift:
-            left = left.drop("__value")
+        # Written, as two branches read it: a few rows a group, so that the optimizer broadcasts them.
+        left = durable(left.drop("__value") if shift else left, "ranks")
     return left.select(*by, "__rank", F.col("__value").alias(value))
 
 
@@ -123,9 +122,8 @@ def quantiles(df: DataFrame, by: list[str], value: str, probs: dict[str, float])
     Equal values are counted before any shuffle, so heavy repetition is cheap. Rows without a
     value do not count; a group without any value is not in the result.
     """
-    counts = durable(
-        df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n")), "counts"
-    )
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n"))
+    counts = durable(counts.withColumn("__key", order_key(F.col(value).cast("double"))), "counts")
     totals = durable(counts.groupBy(*by).agg(F.sum("__n").alias("__total")), "totals")
     place = {name: F.lit(float(p)) * (F.col("__total") - 1) for name, p in probs.items()}
     both = F.array_distinct(F.array(*[r for h in place.values() for r in (F.floor(h), F.ceil(h))]))

@@ -409,7 +409,13 @@ _HEADER = [
     f"""WITH s AS (SELECT 'casts/' || user_id || '.cnv' AS path, event_id AS scan, CAST((event_id * 7) % 41 AS DOUBLE) / 2 AS depth, value AS t,
   CASE WHEN event_id % 5 = 0 THEN 0e0 ELSE 100e0 END AS spar FROM events),
 turn AS (SELECT path, arg_min(scan, -depth * 1e9 + scan) AS turn FROM s GROUP BY ALL),
-d AS (SELECT s.* FROM s JOIN turn USING (path) WHERE scan <= turn AND depth > 1e-1 AND depth >= 5e-1),
+down AS (SELECT s.* FROM s JOIN turn USING (path) WHERE scan <= turn),
+ref AS (SELECT *, median(t) OVER near AS t_ref, median(spar) OVER near AS spar_ref FROM down
+  WINDOW near AS (PARTITION BY path ORDER BY scan ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+sd AS (SELECT path, stddev_samp(t - t_ref) AS t_sd, stddev_samp(spar - spar_ref) AS spar_sd FROM ref GROUP BY path),
+d AS (SELECT path, depth, CASE WHEN abs(t - t_ref) > 4e0 * t_sd THEN t_ref ELSE t END AS t,
+  CASE WHEN abs(spar - spar_ref) > 4e0 * spar_sd THEN spar_ref ELSE spar END AS spar
+  FROM ref JOIN sd USING (path) WHERE depth > 1e-1 AND depth >= 5e-1),
 b AS (SELECT path, CAST(floor(depth - 5e-1) + 1 AS DOUBLE) AS sampleDepth, avg(t) AS temperature, avg(CASE WHEN spar > 0 THEN 50e0 / spar END) AS cpar FROM d GROUP BY ALL)
 SELECT path AS STATION_ID, sampleDepth, 'temperature' AS ANALYTE, {steady_sql('temperature')} AS RESULT, 'C' AS UNITS, TIMESTAMP '2010-07-19 17:30:00' AS sampleDateTime, 43.5e0 AS Latitude FROM b
 UNION ALL SELECT path, sampleDepth, 'cpar', {steady_sql('cpar')}, NULL, TIMESTAMP '2010-07-19 17:30:00', 43.5e0 FROM b WHERE cpar IS NOT NULL"""
