@@ -42,13 +42,13 @@ def parse_date(c: Column | str, order: str, time_may_follow: bool = False) -> Co
     pattern = r"^\s*" + r"[^0-9A-Za-z]+".join(_TOKENS[part] for part in order)
     pattern += r"(?:\D|$)" if time_may_follow else r"\s*$"
     tokens = {part: F.regexp_extract(c, pattern, i + 1) for i, part in enumerate(order)}
-    iso = F.concat_ws(
-        "-",
-        F.lpad(_full_year(tokens["y"]), 4, "0"),
-        F.lpad(_month_number(tokens["m"]), 2, "0"),
-        F.lpad(tokens["d"], 2, "0"),
-    )
-    return iso.try_cast("date")
+    return calendar_date(tokens["y"], _month_number(tokens["m"]), tokens["d"])
+
+
+def calendar_date(year: Column, month: Column, day: Column) -> Column:
+    """Date from texts of digits, the year with two or four; NULL when there is no such day."""
+    parts = [F.lpad(_full_year(year), 4, "0"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0")]
+    return F.concat_ws("-", *parts).try_cast("date")
 
 
 def day_of_year_date(day: Column, two_digit_year: Column) -> Column:

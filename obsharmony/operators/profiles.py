@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import as_col, matches
 from ..functions.numeric import round_half_even
 from ..functions.text import base_name, extract, remove_all, split_part, strip_extension
-from ..functions.times import day_of_year_date, parse_date
+from ..functions.times import calendar_date, day_of_year_date
 from .joins import join_statistics
 from .ordered import quantiles, with_position
 
@@ -165,14 +165,14 @@ def path_site(path: Column | str) -> Column:
     """Site from a cast file name by ordered patterns, NULL when none matches."""
     name = F.lower(base_name(path))
     name = remove_all(remove_all(name, ".cnv|.bin"), r"\s")
-    return F.coalesce(*[extract(name, p) for p in SITE_PATTERNS])
+    found = _once(name, lambda n: F.array(*[F.regexp_extract(n, p, 0) for p in SITE_PATTERNS]))
+    return F.get(F.filter(found, lambda x: x != ""), F.lit(0))
 
 
 def _months_to_numbers(text: Column) -> Column:
-    for names in (MONTHS, [m[:3] for m in MONTHS]):
-        for i, month in enumerate(names, start=1):
-            text = F.replace(text, F.lit(month), F.lit(f"-{i:02d}-"))
-    return text
+    names = [(m, i) for group in (MONTHS, [m[:3] for m in MONTHS]) for i, m in enumerate(group, start=1)]
+    table = F.array(*[F.struct(F.lit(m).alias("name"), F.lit(f"-{i:02d}-").alias("number")) for m, i in names])
+    return F.aggregate(table, text, lambda t, m: F.replace(t, m["name"], m["number"]))
 
 
 def _date_piece(piece: Column) -> Column:
@@ -184,41 +184,54 @@ def _date_piece(piece: Column) -> Column:
     return F.when(piece.rlike("[0-9]"), text)
 
 
-def _date_of(hit: Column, order: str) -> Column:
-    if order == "doy":
-        parts = F.split(hit, "[-_]")
-        return day_of_year_date(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))
-    return parse_date(hit, "mdy")
+def _once(value: Column, use) -> Column:
+    """use(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def with_path_date(df: DataFrame, path: str, name: str = "sampleDate") -> DataFrame:
-    """Date from the folders and name of a cast file, first pattern that gives a real date.
+def _date_of(hit: Column, by_day: Column) -> Column:
+    """Date of a hit: day of year and year, or month, day and year; years have two digits."""
 
-    Worked in steps (pieces, pattern hits, dates), so no long text expression
-    is evaluated more than once.
-    """
-    pieces = {
-        "__p1": _date_piece(split_part(path, "/", 2)),
-        "__p2": _date_piece(strip_extension(split_part(path, "/", -1))),
-        "__p3": _date_piece(split_part(path, "/", 3)),
-        "__p4": _date_piece(split_part(path, "/", 4)),
-    }
-
-    def digits(piece: str) -> Column:
-        return remove_all(remove_all(piece, "[a-zA-Z]"), "-$")
-
-    hits = {f"__h{i}": extract(f"__p{p}", pattern) for i, (p, pattern, _) in enumerate(DATE_PATTERNS)}
-    joined = F.concat(digits("__p4"), F.lit("-"), digits("__p3"))
-    hits["__joined"] = extract(joined, LAST_RESORT)
-    dates = [_date_of(F.col(f"__h{i}"), order) for i, (_, _, order) in enumerate(DATE_PATTERNS)]
-    dates.append(parse_date("__joined", "mdy"))
-    return (
-        df.withColumns(pieces)
-        .withColumns(hits)
-        .withColumn(name, F.coalesce(*dates))
-        .drop(*pieces, *hits)
+    def dated(parts: Column) -> Column:
+        first, second, year = (F.get(parts, F.lit(i)) for i in range(3))
+        return F.when(by_day, day_of_year_date(first, second)).otherwise(calendar_date(year, first, second))
+
+    return _once(F.split(hit, "[-_]"), dated)
+
+
+def path_date(path: Column | str) -> Column:
+    """Date from the folders and name of a cast file, by the first pattern that gives a real date.
+
+    The patterns are a table that one expression walks until a date is found, so each
+    piece is tidied once and each order has one parser."""
+    last = strip_extension(split_part(path, "/", -1))
+    raw = F.array(split_part(path, "/", 2), last, split_part(path, "/", 3), split_part(path, "/", 4))
+    rows = [*DATE_PATTERNS, (5, LAST_RESORT, "mdy")]
+    table = F.array(
+        *[F.struct(F.lit(p).alias("piece"), F.lit(x).alias("pattern"), F.lit(o == "doy").alias("by_day")) for p, x, o in rows]
     )
 
+    def walked(pieces: Column) -> Column:
+        def digits(i: int) -> Column:
+            return remove_all(remove_all(F.get(pieces, F.lit(i)), "[a-zA-Z]"), "-$")
+
+        joined = F.concat(digits(3), F.lit("-"), digits(2))
+
+        def step(found: Column, row: Column) -> Column:
+            text = F.when(row["piece"] == 5, joined).otherwise(F.get(pieces, row["piece"] - 1))
+            # A call by name, as the function's Python form takes no pattern out of a column of a lambda.
+            hit = F.call_function("regexp_substr", text, row["pattern"])
+            return F.coalesce(found, _date_of(hit, row["by_day"]))
+
+        return F.aggregate(table, F.lit(None).cast("date"), step)
+
+    return _once(F.transform(raw, _date_piece), walked)
+
+
+def with_path_date(df: DataFrame, path: str, name: str = "sampleDate") -> DataFrame:
+    """The rows with the date that path_date finds in their path."""
+    return df.withColumn(name, path_date(path))
+
 
 def prefer_instrument(df: DataFrame, suffix: str = "_ctd") -> DataFrame:
     """Instrument metadata wins over metadata from the file path; instrument columns go."""

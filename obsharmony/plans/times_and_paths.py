@@ -119,26 +119,40 @@ def parse_dates_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Cast paths in the spellings the date patterns know, made from order dates.
-_PATHS = """SELECT o_orderkey, o_orderdate, o_orderkey % 7 AS kind, CASE o_orderkey % 7
-  WHEN 0 THEN '2010/' || lpad(CAST(doy AS STRING), 3, '0') || '-' || yy || ' cruise/raw/M45_' || o_custkey || '.cnv'
-  WHEN 1 THEN '2010/trip/' || m || '-' || d || '-' || yy || '/Alpha ' || o_custkey || '.CNV'
-  WHEN 2 THEN '2010/trip/raw/stationb_' || m || '_' || d || '_' || yy || '.cnv'
+# Cast paths in the spelling of each date pattern (in its order), of the last pass, and one without date.
+_PATHS = """SELECT o_orderkey, o_orderdate, o_orderkey % 15 AS kind, CASE o_orderkey % 15
+  WHEN 0 THEN '2010/' || doy || '-' || yy || ' cruise/raw/M45_' || o_custkey || '.cnv'
+  WHEN 1 THEN '2010/' || m || '-' || d || '-' || yy || ' cruise/raw/muskegon.cnv'
+  WHEN 2 THEN '2010/trip/raw/omega ' || doy || '-' || yy || '.cnv'
   WHEN 3 THEN '2010/trip/omega ' || month_name || d || '-' || yy || '.cnv'
-  WHEN 4 THEN '2010/trip/cnv/' || lpad(CAST(doy AS STRING), 3, '0') || '_' || yy || '/gh12.bin'
-  WHEN 5 THEN '2010/unknown/place.cnv'
-  ELSE '2010/trip/raw/' || m || '_' || d || '_' || yy || '/muskegon.cnv' END AS path
+  WHEN 4 THEN '2010/trip/raw/stationb_' || m || '_' || d || '_' || yy || '.cnv'
+  WHEN 5 THEN '2010/trip/raw/omega ' || doy || '_' || yy || '.cnv'
+  WHEN 6 THEN '2010/trip/' || doy || '-' || yy || '/muskegon.cnv'
+  WHEN 7 THEN '2010/trip/' || m || '-' || d || '-' || yy || '/Alpha ' || o_custkey || '.CNV'
+  WHEN 8 THEN '2010/trip/' || doy || '_' || yy || '/raw/muskegon.cnv'
+  WHEN 9 THEN '2010/trip/raw/' || doy || '-' || yy || '/muskegon.cnv'
+  WHEN 10 THEN '2010/trip/raw/' || m || '_' || d || '_' || yy || '/muskegon.cnv'
+  WHEN 11 THEN '2010/trip/raw/' || m || '-' || d || '-' || yy || '/muskegon.cnv'
+  WHEN 12 THEN '2010/trip/cnv/' || doy || '_' || yy || '/gh12.bin'
+  WHEN 13 THEN '2010/trip/' || d || '-' || yy || '/' || m || '/muskegon.cnv'
+  ELSE '2010/unknown/place.cnv' END AS path
 FROM (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate, month(o_orderdate) AS m, day(o_orderdate) AS d,
-  dayofyear(o_orderdate) AS doy, substr(CAST(year(o_orderdate) AS STRING), 3, 2) AS yy,
+  lpad(CAST(dayofyear(o_orderdate) AS STRING), 3, '0') AS doy, substr(CAST(year(o_orderdate) AS STRING), 3, 2) AS yy,
   CASE WHEN month(o_orderdate) = 6 THEN 'June' ELSE substr('JanFebMarAprMayJunJulAugSepOctNovDec', month(o_orderdate) * 3 - 2, 3) END AS month_name
   FROM {orders})"""
 
 
+# Kind 11 with a day of two digits meets the day-of-year pattern of its piece first: as day and
+# year, or, with a month of two digits too, the month as the day and the day as the year.
 @query(
     f"""WITH p AS ({_PATHS.format(orders='orders').replace('STRING', 'VARCHAR')})
-SELECT o_orderkey, CASE WHEN kind <> 5 THEN o_orderdate END AS sampleDate,
-  CASE kind WHEN 0 THEN 'm45' WHEN 1 THEN 'alpha' WHEN 2 THEN 'stationb' WHEN 3 THEN 'omega' WHEN 4 THEN 'gh12'
-            WHEN 6 THEN 'muskegon' END AS siteID
+SELECT o_orderkey, CASE WHEN kind = 14 THEN NULL
+    WHEN kind = 11 AND day(o_orderdate) > 9 AND month(o_orderdate) > 9
+    THEN make_date(2000 + day(o_orderdate), 1, 1) + CAST(month(o_orderdate) - 1 AS INTEGER)
+    WHEN kind = 11 AND day(o_orderdate) > 9
+    THEN CAST(date_trunc('year', o_orderdate) AS DATE) + CAST(day(o_orderdate) - 1 AS INTEGER) ELSE o_orderdate END AS sampleDate,
+  CASE kind WHEN 0 THEN 'm45' WHEN 7 THEN 'alpha' WHEN 4 THEN 'stationb' WHEN 2 THEN 'omega' WHEN 3 THEN 'omega' WHEN 5 THEN 'omega'
+            WHEN 12 THEN 'gh12' WHEN 14 THEN NULL ELSE 'muskegon' END AS siteID
 FROM p"""
 )
 def path_site_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +203,8 @@ def _gamma_sql(x: str, shape: int, scale: str) -> str:
 
 @query(
     with_obs(
-        f"""SELECT uid, {steady_sql(_gamma_sql('sampleDepth', 10, '15e-1'))} AS g10,
-  {steady_sql('22e0 - 18e0 * (' + _gamma_sql('sampleDepth', 10, '18e-1') + ')')} AS p1,
+        f"""SELECT uid, {steady_sql(_gamma_sql('sampleDepth', 10, '1.5e0'))} AS g10,
+  {steady_sql('22e0 - 18e0 * (' + _gamma_sql('sampleDepth', 10, '1.8e0') + ')')} AS p1,
   {steady_sql('22e0 - 18e0 * (' + _gamma_sql('sampleDepth', 9, '2e0') + ')')} AS p2,
   {steady_sql('22e0 - 18e0 * (' + _gamma_sql('sampleDepth', 6, '3e0') + ')')} AS p3,
   round_even(Latitude * 10, 0) AS lat_even, {steady_sql('sampleDepth * 10000 / (1e0 + 2e-2 * (RESULT - 25e0))')} AS conductance
