@@ -36,9 +36,13 @@ def gamma_profile(depth: Column | str, shape: int, scale: float) -> Column:
 
 
 def seeded_uniform(seed: int, *keys: Column | str) -> Column:
-    """Repeatable draw in (0, 1) from the row's own key, equal on every run and retry."""
-    h = F.xxhash64(F.lit(seed), *[as_col(k) for k in keys])
-    return (F.shiftrightunsigned(h, 11).cast("double") + 0.5) / F.lit(float(1 << 53))
+    """Repeatable draw in (0, 1) from the row's own key, equal on every run and retry.
+
+    The first 13 hexadecimal digits of the MD5 of seed and keys, spelled as text with '|' between
+    them (a missing key as 'NA'), so that other engines can draw the same."""
+    spelled = [F.coalesce(as_col(k).cast("string"), F.lit("NA")) for k in keys]
+    digits = F.substring(F.md5(F.encode(F.concat_ws("|", F.lit(str(seed)), *spelled), "UTF-8")), 1, 13)
+    return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(16**13))
 
 
 def specific_conductance(c: Column | str, temperature: Column | str, coefficient: float) -> Column:

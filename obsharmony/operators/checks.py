@@ -87,20 +87,25 @@ def duplicate_census(df: DataFrame, digits: int = 4, order: str = "Study") -> Da
     return null_safe_join(repeated, collapse_texts(rows, by, ["Study"], order), by, "inner")
 
 
-def site_overlap(df: DataFrame, digits: int) -> DataFrame:
-    """Rounded positions with the sites found there and whether several studies share them."""
-    sites = (
-        df.select("Study", "SITE_ID", "Latitude", "Longitude")
-        .distinct()
-        .select(
-            F.concat_ws("-", "Study", "SITE_ID").alias("SITE"),
-            truncate_right("Study", 7).alias("Study"),
-            round_half_even("Latitude", digits).alias("Lat"),
-            round_half_even("Longitude", digits).alias("Lon"),
-        )
-        .distinct()
-    )
-    return sites.groupBy("Lat", "Lon").agg(
+def site_overlap(df: DataFrame, digits: Sequence[int]) -> DataFrame:
+    """Positions rounded to each number of digits, with the sites there and whether several studies share them.
+
+    Sites are made distinct before they are written once per level."""
+    sites = df.select("Study", "SITE_ID", "Latitude", "Longitude").distinct()
+
+    def rounded(column: str) -> Column:
+        choices = [F.when(F.col("digits") == d, round_half_even(column, d)) for d in digits]
+        return F.coalesce(*choices)
+
+    levels = sites.withColumn("digits", F.explode(F.array(*[F.lit(d) for d in digits])))
+    placed = levels.select(
+        "digits",
+        F.concat_ws("-", "Study", "SITE_ID").alias("SITE"),
+        truncate_right("Study", 7).alias("Study"),
+        rounded("Latitude").alias("Lat"),
+        rounded("Longitude").alias("Lon"),
+    ).distinct()
+    return placed.groupBy("digits", "Lat", "Lon").agg(
         (F.count_distinct("Study") > 1).alias("multipleStudies"),
         F.count("*").alias("count"),
         F.array_join(F.sort_array(F.collect_set("SITE")), ", ").alias("studies"),

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.nulls import matches
+from ..functions.nulls import any_of, matches
 from ..functions.numeric import seeded_uniform
+from ..functions.times import epoch_micros
+from ..session import durable
 from .groups import collapse_texts, with_group_stats, with_group_stats_shuffled
 from .joins import null_safe_join
 from .reshape import pivot_wide
@@ -59,11 +61,16 @@ def detection_limit_fill(
     )
     mdl, rl, result = F.col("__mdl"), F.col("__rl"), F.col("RESULT")
 
+    kinds = dict(df.dtypes)
+    # Millionths of a unit and microseconds spell a position alike everywhere.
+    spelled = {"double": lambda c: F.round(F.col(c) * 1e6).cast("bigint"), "timestamp_ntz": epoch_micros}
+    drawn_by = [spelled[kinds[c]](c) if kinds[c] in spelled else F.col(c) for c in POSITION]
+
     def censored(limit: Column) -> Column:
         if method == "halfMDL":
             return limit / 2
         if method == "uniform":
-            return limit * seeded_uniform(seed, *POSITION, "Study")
+            return limit * seeded_uniform(seed, *drawn_by, "Study")
         return limit
 
     # A joined flag text spells a missing flag 'NA'; that is not an N.
@@ -125,6 +132,18 @@ def low_missing_columns(df: DataFrame, columns: Sequence[str], outcome: str, sla
     return [c for c in columns if row[c] < row[outcome] * slack]
 
 
+def _forest(label: str, inputs: Sequence[str], trees: int, depth: int, seed: int):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+
+    held = VectorAssembler(inputCols=list(inputs), outputCol="__in", handleInvalid="error")
+    grown = RandomForestRegressor(
+        featuresCol="__in", labelCol=label, predictionCol="__out", numTrees=trees, maxDepth=depth, seed=seed
+    )
+    return Pipeline(stages=[held, grown])
+
+
 def forest_fill(
     df: DataFrame,
     columns: Sequence[str],
@@ -138,46 +157,85 @@ def forest_fill(
     Starts from column means. Trains on all rows that have the column, with
     Spark ML, and never changes an observed value. Stops with the first round that changes
     the values more than the round before did (squared change over squared values, as missForest)
-    and returns the round before; `rounds` is the most there are.
+    and returns the round before; `rounds` is the most there are, ten as in missForest. Rows
+    without a gap are written once; a round writes only the rows with gaps.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import RandomForestRegressor
-
-    from ..session import durable
-
     columns = list(columns)
-    means = df.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    shares = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in columns]).first()
+    seen = df.agg(
+        *[F.avg(c).alias(f"mean_{c}") for c in columns],
+        *[F.avg(F.col(c).isNull().cast("int")).alias(f"share_{c}") for c in columns],
+        *[F.sum(F.col(c) ** 2).alias(f"square_{c}") for c in columns],
+    ).first()
+    shares = {c: 1.0 if seen[f"share_{c}"] is None else seen[f"share_{c}"] for c in columns}
     gaps = sorted((c for c in columns if 0 < shares[c] < 1), key=lambda c: (shares[c], c))
+    if not gaps:
+        return df
     # A column without any value can neither be predicted nor help to predict.
     usable = [c for c in columns if shares[c] < 1]
-    work = df.withColumns({f"__gap_{c}": F.col(c).isNull() for c in gaps})
-    work = work.fillna({c: means[c] for c in gaps})
+    flags = {f"__gap_{c}": F.col(c).isNull() for c in gaps}
+    flagged = durable(df.withColumns(flags), "forest-rows")
+    some = any_of(F.col(f) for f in flags)
+    whole = flagged.filter(~some)
+    work = durable(flagged.filter(some).fillna({c: seen[f"mean_{c}"] for c in gaps}), "forest-gaps")
+    observed = sum(seen[f"square_{c}"] for c in usable)
     least = float("inf")
-    for _ in range(rounds if gaps else 0):
+    for _ in range(rounds):
         before = work
         work = work.withColumns({f"__old_{c}": F.col(c) for c in gaps})
         for c in gaps:
-            inputs = VectorAssembler(
-                inputCols=[x for x in usable if x != c], outputCol="__in", handleInvalid="error"
-            )
-            table = inputs.transform(work)
-            forest = RandomForestRegressor(
-                featuresCol="__in", labelCol=c, predictionCol="__out",
-                numTrees=trees, maxDepth=depth, seed=seed,
-            )
-            model = forest.fit(table.filter(~F.col(f"__gap_{c}")))
-            work = durable(
-                model.transform(table)
-                .withColumn(c, F.when(F.col(f"__gap_{c}"), F.col("__out")).otherwise(F.col(c)))
-                .drop("__in", "__out")
-            )
-        moved = sum((F.sum((F.col(c) - F.col(f"__old_{c}")) ** 2) for c in gaps), F.lit(0.0))
-        total = sum((F.sum(F.col(c) ** 2) for c in usable), F.lit(0.0))
-        change = work.agg(F.try_divide(moved, total).alias("x")).first().x or 0.0
+            training = whole.unionByName(work.filter(~F.col(f"__gap_{c}")), allowMissingColumns=True)
+            model = _forest(c, [x for x in usable if x != c], trees, depth, seed).fit(training)
+            new = F.when(F.col(f"__gap_{c}"), F.col("__out")).otherwise(F.col(c))
+            work = durable(model.transform(work).withColumn(c, new).drop("__in", "__out"), "forest-gaps")
+        filled = F.lit(0.0)
+        moved = F.lit(0.0)
+        for c in gaps:
+            moved = moved + F.sum((F.col(c) - F.col(f"__old_{c}")) ** 2)
+            filled = filled + F.coalesce(F.sum(F.when(F.col(f"__gap_{c}"), F.col(c) ** 2)), F.lit(0.0))
+        change = work.agg(F.try_divide(moved, filled + observed).alias("x")).first().x or 0.0
         work = work.drop(*[f"__old_{c}" for c in gaps])
         if change >= least:
             work = before
             break
         least = change
-    return work.drop(*[f"__gap_{c}" for c in gaps])
+    return whole.unionByName(work).drop(*flags)
+
+
+def forest_error(
+    before: DataFrame,
+    filled: DataFrame,
+    columns: Sequence[str],
+    key: Sequence[str],
+    trees: int = 20,
+    depth: int = 8,
+    seed: int = 0,
+    folds: int = 5,
+) -> DataFrame:
+    """Out-of-bag error of the forest of each column that had gaps.
+
+    The forest is grown in `folds` parts. A row belongs to the bags of all parts but one, which
+    a hash of its key names; that part predicts it. So every observed value is predicted once by
+    trees that never saw it. Result: variable, n values, mse, and nrmse (root of the mean
+    squared error over the standard deviation). `key` identifies rows of both tables.
+    """
+    columns = list(columns)
+    known = before.select(*key, *[F.col(c).isNotNull().alias(f"__known_{c}") for c in columns])
+    fold = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(folds))
+    rows = durable(null_safe_join(filled, known, key, "inner").withColumn("__fold", fold), "forest-bags")
+    counts = rows.agg(*[F.count_if(F.col(f"__known_{c}")).alias(c) for c in columns], F.count("*").alias("__n")).first()
+    errors = None
+    for c in (c for c in columns if 0 < counts[c] < counts["__n"]):
+        inputs = [x for x in columns if x != c and counts[x]]
+        seen = rows.filter(F.col(f"__known_{c}"))
+        predicted = None
+        for k in range(folds):
+            part = _forest(c, inputs, -(-trees // folds), depth, seed + k)
+            out = part.fit(seen.filter(F.col("__fold") != k)).transform(seen.filter(F.col("__fold") == k)).select(c, "__out")
+            predicted = out if predicted is None else predicted.unionAll(out)
+        mse = F.avg((F.col(c) - F.col("__out")) ** 2)
+        one = predicted.agg(F.count("*").alias("n"), mse.alias("mse"), F.sqrt(F.try_divide(mse, F.var_pop(c))).alias("nrmse"))
+        one = one.select(F.lit(c).alias("variable"), "n", "mse", "nrmse")
+        errors = one if errors is None else errors.unionAll(one)
+    if errors is None:
+        return before.sparkSession.createDataFrame([], "variable string, n bigint, mse double, nrmse double")
+    return errors

@@ -168,7 +168,11 @@ def mdl_impute_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _limit_fill(spark, sf_dir, None)
 
 
-@query()
+_DRAW = """(({x}) * ((CAST('0x' || substr(md5(concat_ws('|', '11', CAST(round(d.Latitude * 1e6) AS BIGINT), CAST(round(d.Longitude * 1e6) AS BIGINT),
+  epoch_us(d.sampleDateTimeUTC), d.CodeName, CAST(round(d.sampleDepth * 1e6) AS BIGINT), d.Study)), 1, 13) AS BIGINT) + 5e-1) / 4503599627370496e0))"""
+
+
+@query(with_obs(_limit_fill_sql(_DRAW)))
 def mdl_impute_uniform(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _limit_fill(spark, sf_dir, "uniform")
 
@@ -240,9 +244,11 @@ def fill_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.select("step", steady("Temp_c").alias("Temp_c"), steady("DO_mgl").alias("DO_mgl"))
 
 
-@query()
-def forest_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
+_FOREST = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_quantity",
@@ -250,8 +256,18 @@ def forest_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_suppkey") % 7 > 0, F.col("l_discount")).alias("l_discount"),
         "l_tax",
     )
-    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return impute.forest_fill(lines, columns)
+
+
+@query()
+def forest_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impute.forest_fill(_with_gaps(spark, sf_dir), _FOREST)
+
+
+@query()
+def forest_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _with_gaps(spark, sf_dir)
+    filled = impute.forest_fill(lines, _FOREST)
+    return impute.forest_error(lines, filled, _FOREST, ["l_orderkey", "l_linenumber"])
 
 
 @query(
@@ -349,13 +365,13 @@ def dup_census(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_obs(
-        """, s AS (SELECT DISTINCT Study || '-' || SITE_ID AS SITE, CASE WHEN length(Study) > 7 THEN substr(Study, 1, 4) || '...' ELSE Study END AS Study,
-  round_even(Latitude, 1) AS Lat, round_even(Longitude, 1) AS Lon FROM obs)
-SELECT Lat, Lon, count(DISTINCT Study) > 1 AS multipleStudies, count(*) AS "count", string_agg(DISTINCT SITE, ', ' ORDER BY SITE) AS studies FROM s GROUP BY ALL"""
+        """, s AS (SELECT DISTINCT digits, Study || '-' || SITE_ID AS SITE, CASE WHEN length(Study) > 7 THEN substr(Study, 1, 4) || '...' ELSE Study END AS Study,
+  round_even(Latitude, digits) AS Lat, round_even(Longitude, digits) AS Lon FROM obs, (SELECT unnest([2, 3, 4, 5]) AS digits))
+SELECT digits, Lat, Lon, count(DISTINCT Study) > 1 AS multipleStudies, count(*) AS "count", string_agg(DISTINCT SITE, ', ' ORDER BY SITE) AS studies FROM s GROUP BY ALL"""
     )
 )
 def site_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.site_overlap(observations(spark, sf_dir), 1)
+    return checks.site_overlap(observations(spark, sf_dir), (2, 3, 4, 5))
 
 
 @query(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import (  # noqa: F401
     casts,
     cooperative_tables,
+    files,
     harmonisation,
     shaping,
     source_tables,

@@ -33,14 +33,18 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame, name: str = "kept") -> DataFrame:
     """Write a table to the shared checkpoint folder and read it back.
 
     A lost executor costs no recomputation, branches see the very same rows, and the
     optimizer knows the table's size when it chooses how to join it.
     """
-    spark = df.sparkSession
-    _ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

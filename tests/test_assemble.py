@@ -8,7 +8,9 @@ import datetime as dt
 import pytest
 
 from obsharmony.plans.assemble import FINAL, SORT, assemble
-from obsharmony.sources.readers import INPUTS, in_file_order, read_table, write_table
+from obsharmony.sources.readers import (
+    INPUTS, in_file_order, read_checked, read_lines, read_sheet_rows, read_table, write_checked, write_table,
+)
 
 NAME_HEADER = ["Study", "ANALYTE", "ANL_CODE", "Methods", "MEDIUM", "FRACTION", "CodeName", "Units"]
 
@@ -198,3 +200,48 @@ def test_csv_sink(spark, catalog, result, tmp_path):
     with pytest.raises(ValueError, match="no column"):
         read_table(spark, catalog["key"], {"absent": "string"})
 
+
+
+def test_manifest_tells_what_was_written(frame, tmp_path, spark):
+    rows = [(1, "a, \"b\"", 1.5), (2, None, None), (2, None, None), (3, "é", -0.0)]
+    df = frame("k bigint, t string, x double", rows)
+    kinds = {"k": "bigint", "t": "string", "x": "double"}
+    for binary in (True, False):
+        target = write_checked(df, str(tmp_path / f"t{binary}"), binary)
+        back = read_checked(spark, target, kinds)
+        assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+        df.limit(1).write.mode("append").option("header", True).option("escape", '"').format("parquet" if binary else "csv").save(target)
+        with pytest.raises(ValueError, match="manifest"):
+            read_checked(spark, target, kinds)
+    none = write_checked(df.filter("k > 9"), str(tmp_path / "none"))
+    assert read_checked(spark, none).count() == 0
+
+
+def test_filters_reach_the_scan_of_typed_columns(frame, tmp_path, spark):
+    target = write_table(frame("k bigint, x double, unread string", [(1, 2.0, "a"), (2, 3.0, "b")]), str(tmp_path / "p"))
+    df = read_table(spark, target, {"k": "bigint", "x": "double"}).filter("x > 2.5")
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(x,2.5)" in text and "unread" not in text and [tuple(r) for r in df.collect()] == [(2, 3.0)]
+
+
+def test_lines_of_many_blocks_are_numbered_in_file_order(tmp_path, spark):
+    text = [f"line {i} " + "x" * (i % 50) for i in range(3000)]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.txt").write_text("\n".join(text) + "\n")
+    (tmp_path / "two.txt").write_text("only")
+    (tmp_path / "empty.txt").write_text("")
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        got = {(r.path.rsplit("/", 1)[1], r.line_no): r.line for r in read_lines(spark, str(tmp_path), "*.txt").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    assert got == {("one.txt", i + 1): x for i, x in enumerate(text)} | {("two.txt", 1): "only"}
+
+
+def test_sheet_rows_by_header_and_range(tmp_path, spark):
+    (tmp_path / "s.csv").write_text('k,name,v\n' + "\n".join(f'{i},"n, ""{i}""",{"NA" if i == 4 else i / 2}' for i in range(1, 8)))
+    (tmp_path / "r.csv").write_text("v,k\n9,1\n8,x")
+    kinds = {"k": "bigint", "name": "string", "v": "double"}
+    got = sorted(((r.sheet[-5:], r.row_no), (r.k, r.name, r.v)) for r in read_sheet_rows(spark, str(tmp_path), kinds, 2, 4).collect())
+    assert got == [(("r.csv", 2), (None, None, 8.0)), *((("s.csv", i), (i, f'n, "{i}"', None if i == 4 else i / 2)) for i in (2, 3, 4))]

@@ -341,6 +341,20 @@ def test_forest_keeps_observed_values(spark):
     assert impute.low_missing_columns(df, ["a", "b", "c"], "b", 0.9) == ["a", "c"]
 
 
+def test_forest_error_is_that_of_unseen_rows(spark):
+    rng = np.random.default_rng(4)
+    a, noise = rng.random(1500), rng.random(1500)
+    pdf = pd.DataFrame({"id": range(1500), "a": a, "b": a * 10, "c": noise, "full": rng.random(1500)})
+    df = spark.createDataFrame(pdf)
+    holed = df.withColumn("b", F.when(F.col("id") % 4 > 0, F.col("b"))).withColumn("c", F.when(F.col("id") % 3 > 0, F.col("c")))
+    got = {r.variable: r for r in impute.forest_error(holed, df, ["a", "b", "c", "full"], ["id"], trees=10, depth=6).collect()}
+    assert set(got) == {"b", "c"} and got["b"].n == 1125 and got["c"].n == 1000
+    # The first follows from another column; noise cannot be told from rows that the trees have not seen.
+    assert got["b"].nrmse < 0.6 and 0.9 < got["c"].nrmse < 1.3
+    assert got["c"].mse == pytest.approx(got["c"].nrmse ** 2 * pdf.c[pdf.id % 3 > 0].var(ddof=0))
+    assert impute.forest_error(df, df, ["a", "b"], ["id"]).collect() == []
+
+
 def test_forest_query_runs_to_its_stop_rule(spark, monkeypatch):
     from pyspark.ml.regression import RandomForestRegressor
 
