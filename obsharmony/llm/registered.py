@@ -167,29 +167,56 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged"""
 
 
-#: Word sequences of lines, equal lines reduced to their first place; near lines by leaving out
-#: one word of each and comparing what is left.
+#: Word sequences of lines, equal ones reduced to their first place. One edit (lines of 4 to 20 words): by leaving
+#: out one word of each and comparing what is left. Two edits (both lines of 20 words or more): lines that
+#: share a third are compared; without their common start and end, an edit stands at either end of what is left.
 OP2_SQL = r"""
 WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 lines AS (
-  SELECT doc_id, i - 1 AS line,
-         list_filter(regexp_split_to_array(ls[i], '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
-  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM raw WHERE text IS NOT NULL AND doc_id IS NOT NULL)),
-long AS (SELECT doc_id, line, w FROM lines WHERE len(w) >= 4),
-firsts AS (SELECT w, min(struct_pack(d := doc_id, l := line)) AS pos FROM long GROUP BY w),
+  SELECT doc_id, line, w, len(w) AS n FROM (
+    SELECT doc_id, i - 1 AS line, list_filter(regexp_split_to_array(ls[i], '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM raw WHERE text IS NOT NULL AND doc_id IS NOT NULL))
+  WHERE len(w) >= 1),
+firsts AS (SELECT w, n, min(struct_pack(d := doc_id, l := line)) AS pos FROM lines GROUP BY w, n),
 parts AS (
   SELECT pos, gone, list_concat(w[1:gone - 1], w[gone + 1:]) AS k
-  FROM (SELECT pos, w, unnest(range(1, len(w) + 1)) AS gone FROM firsts WHERE len(w) >= 10)
-  UNION ALL SELECT pos, -1 AS gone, w AS k FROM firsts WHERE len(w) >= 10),
+  FROM (SELECT pos, w, unnest(range(1, n + 1)) AS gone FROM firsts WHERE n BETWEEN 4 AND 20)
+  UNION ALL SELECT pos, -1 AS gone, w AS k FROM firsts WHERE n BETWEEN 4 AND 20),
 same AS (SELECT k, gone, min(pos) AS same FROM parts WHERE gone > 0 GROUP BY k, gone),
 other AS (
   SELECT k, min(pos) FILTER (WHERE gone < 0) AS whole, min(pos) FILTER (WHERE gone > 0) AS part FROM parts GROUP BY k),
-near AS (
+one AS (
   SELECT DISTINCT p.pos FROM parts p LEFT JOIN same s ON s.k = p.k AND s.gone = p.gone JOIN other o ON o.k = p.k
   WHERE CASE WHEN p.gone < 0 THEN coalesce(o.part < p.pos, false)
              ELSE coalesce(s.same < p.pos, false) OR coalesce(o.whole < p.pos, false) END),
+far AS (SELECT pos, w, n FROM firsts WHERE n >= 20),
+shorter AS (
+  SELECT pos, n AS m, 'first' AS kind, md5(array_to_string(w[1:n // 3], ' ')) AS key FROM far
+  UNION ALL SELECT pos, n, 'last', md5(array_to_string(w[n - n // 3 + 1:], ' ')) FROM far
+  UNION ALL SELECT pos, n, 'middle', md5(array_to_string(w[n // 3 + 1:n - n // 3], ' ')) FROM far),
+sizes AS (SELECT * FROM (SELECT pos, w, n, unnest([n, n - 1, n - 2]) AS m FROM far) WHERE m >= 20),
+longer AS (
+  SELECT pos, m, 'first' AS kind, md5(array_to_string(w[1:m // 3], ' ')) AS key FROM sizes
+  UNION ALL SELECT pos, m, 'last', md5(array_to_string(w[n - m // 3 + 1:], ' ')) FROM sizes
+  UNION ALL SELECT pos, m, 'middle', md5(array_to_string(w[m // 3 + s + 1:m - m // 3 + s], ' '))
+  FROM (SELECT *, unnest(CASE n - m WHEN 0 THEN [-1, 0, 1] WHEN 1 THEN [0, 1] ELSE [0, 1, 2] END) AS s FROM sizes)),
+pairs AS (SELECT DISTINCT a.pos AS p, b.pos AS q FROM shorter a JOIN longer b USING (m, kind, key) WHERE a.pos <> b.pos),
+matched AS (SELECT p, q, x.w AS x, y.w AS y FROM pairs JOIN far x ON x.pos = p JOIN far y ON y.pos = q),
+heads AS (
+  SELECT *, coalesce(nullif(list_position(list_transform(range(1, len(x) + 1), lambda i: x[i] <> y[i]), true), 0) - 1, len(x)) AS head FROM matched),
+tails AS (
+  SELECT *, coalesce(nullif(list_position(list_transform(range(0, len(x) - head), lambda i: x[len(x) - i] <> y[len(y) - i]), true), 0) - 1, len(x) - head) AS tail
+  FROM heads),
+inner_ AS (SELECT p, q, x[head + 1:len(x) - tail] AS x, y[head + 1:len(y) - tail] AS y FROM tails),
+two AS (
+  SELECT DISTINCT greatest(p, q) AS pos FROM (SELECT *, len(x) AS k FROM inner_)
+  WHERE CASE len(y) - k
+    WHEN 0 THEN k <= 2 OR x[2:k - 1] = y[2:k - 1] OR x[2:] = y[1:k - 1] OR x[1:k - 1] = y[2:]
+    WHEN 1 THEN k <= 1 OR x[2:] = y[2:k] OR x[1:k - 1] = y[2:k]
+    WHEN 2 THEN k = 0 OR x = y[2:k + 1] END),
+near AS (SELECT pos FROM one UNION SELECT pos FROM two),
 gone AS (
-  SELECT o.doc_id, list(o.line) AS ls FROM long o JOIN firsts f ON f.w = o.w
+  SELECT o.doc_id, list(o.line) AS ls FROM lines o JOIN firsts f ON f.w = o.w
   WHERE f.pos <> struct_pack(d := o.doc_id, l := o.line) OR f.pos IN (SELECT pos FROM near) GROUP BY o.doc_id),
 done AS (
   SELECT r.doc_id, coalesce(len(g.ls), 0) AS n_removed,
@@ -198,7 +225,6 @@ done AS (
   FROM raw r LEFT JOIN gone g ON g.doc_id = r.doc_id)
 SELECT doc_id, CAST(n_removed AS BIGINT) AS n_removed, CAST(length(t) AS BIGINT) AS n_chars, sha256(t) AS kept_sha256 FROM done"""
 
-
 #: crc32 bit by bit: each character is added, then shifted out in eight steps.
 _CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(k, ''),
     lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
