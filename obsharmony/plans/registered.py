@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import (  # noqa: F401
     casts,
+    coastal_tables,
     cooperative_tables,
     files,
     harmonisation,
