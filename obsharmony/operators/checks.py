@@ -133,6 +133,14 @@ def light_over_100(df: DataFrame, by: Sequence[str]) -> DataFrame:
     )
 
 
+def coverage(df: DataFrame, by: Sequence[str], study: str, kinds: dict[str, str]) -> DataFrame:
+    """How many sites have more than one row of each kind of study, by combination.
+
+    kinds: column of the result to the study it looks for."""
+    per_site = df.groupBy(*by).agg(*[(F.count_if(F.col(study) == v) > 1).alias(k) for k, v in kinds.items()])
+    return per_site.groupBy(*kinds).agg(F.count("*").alias("sites"))
+
+
 def group_condition(
     df: DataFrame, by: Sequence[str], value: str, high: float, low: float, name: str
 ) -> DataFrame:

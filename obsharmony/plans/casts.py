@@ -427,3 +427,14 @@ def light_over_100(spark: SparkSession, sf_dir: str) -> DataFrame:
         observations(spark, sf_dir).withColumn("CodeName", code), ["sampleDepth"]
     )
     return report.withColumn("share", steady("share"))
+
+
+@query(
+    with_obs(
+        """, s AS (SELECT Latitude, Longitude, count(*) FILTER (Study = 'survey_0') > 1 AS first, count(*) FILTER (Study = 'survey_1') > 1 AS second
+  FROM obs GROUP BY ALL) SELECT first, second, count(*) AS sites FROM s GROUP BY ALL"""
+    )
+)
+def site_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = {"first": "survey_0", "second": "survey_1"}
+    return checks.coverage(observations(spark, sf_dir), ["Latitude", "Longitude"], "Study", kinds)

@@ -107,3 +107,34 @@ def source_coastal_chemistry_2010(spark: SparkSession, sf_dir: str) -> DataFrame
     return out.select(
         "UID", "SITE_ID", "sampleDate", "sampleDepth", "CodeName", "ReportedUnits", *[steady(c).alias(c) for c in ("RESULT", "MDL", "MRL")], "QAcode"
     )
+
+
+_CHEMISTRY_2020 = """SELECT CAST(l_orderkey AS DOUBLE) AS UID, 'S' || (l_orderkey % 40) AS SITE_ID, 'L' || (l_orderkey % 3) AS LAB,
+  CASE l_linenumber WHEN 1 THEN 'NITRITE_N' WHEN 2 THEN 'NITRATE_N' WHEN 3 THEN 'CHLA' WHEN 4 THEN 'PTL' WHEN 5 THEN 'NITRATE_NITRITE_N' ELSE 'COND' END AS ANALYTE,
+  (1 + l_orderkey % 12) || '/' || (1 + l_orderkey % 28) || '/2020' AS DATE_COL, CASE WHEN l_suppkey % 2 = 0 THEN l_tax END AS RL,
+  CASE WHEN l_suppkey % 3 > 0 THEN l_discount END AS MDL, CASE WHEN l_partkey % 6 > 0 THEN l_quantity END AS RESULT,
+  CASE WHEN l_linenumber = 3 THEN l_returnflag END AS NARS_FLAG, CASE WHEN l_linenumber = 3 THEN l_linestatus END AS NARS_COMMENT
+FROM {lineitem}"""
+_SUM_2020 = ", ".join(
+    f"coalesce(avg({c}) FILTER (ANALYTE = 'NITRATE_NITRITE_N'), avg({c}) FILTER (ANALYTE = 'NITRITE_N') + avg({c}) FILTER (ANALYTE = 'NITRATE_N')) * 1000 AS {c}"
+    for c in ("RESULT", "MDL", "RL")
+)
+
+
+@query(
+    f"""WITH {_SITES_SQL}, raw AS (SELECT * FROM ({_duck(_CHEMISTRY_2020).format(lineitem='lineitem')})),
+sums AS (
+  SELECT UID, SITE_ID, LAB, DATE_COL, 'Diss_NOx' AS CodeName, {_SUM_2020}, 'NA' AS QAcode, 'NA' AS QAcomment
+  FROM raw WHERE ANALYTE IN ('NITRITE_N', 'NITRATE_N', 'NITRATE_NITRITE_N') GROUP BY UID, SITE_ID, LAB, DATE_COL
+  UNION ALL SELECT UID, SITE_ID, LAB, DATE_COL, 'Chla', RESULT, MDL, RL, NARS_FLAG, NARS_COMMENT FROM raw WHERE ANALYTE = 'CHLA')
+SELECT c.UID, c.SITE_ID, CAST(strptime(DATE_COL, '%m/%d/%Y') AS DATE) AS sampleDate, CodeName, {steady_sql('RESULT')} AS RESULT,
+  {steady_sql('MDL')} AS MDL, {steady_sql('RL')} AS RL, QAcode, QAcomment, s.LAT_DD83 AS Latitude
+FROM sums c JOIN sites s ON c.UID = s.UID AND c.SITE_ID = s.SITE_ID"""
+)
+def source_coastal_chemistry_2020(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reported nitrite-plus-nitrate wins over the sum of the two; samples off the site table go."""
+    raw = spark.sql(_CHEMISTRY_2020, lineitem=table(spark, sf_dir, "lineitem"))
+    out = coastal.chemistry_2020(raw, _sites(spark, sf_dir), _lookups(spark, coastal=NAMES))
+    return out.select(
+        "UID", "SITE_ID", "sampleDate", "CodeName", *[steady(c).alias(c) for c in ("RESULT", "MDL", "RL")], "QAcode", "QAcomment", "Latitude"
+    )
