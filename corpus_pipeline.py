@@ -6,7 +6,7 @@ and read again as the next stage's docs. All but the last keep the columns of do
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsharmony.llm import line_dedup, ngram_join, packing, quality_rules, substring_dedup
@@ -19,8 +19,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier line repeats up to one word edit."""
-    return _recounted(line_dedup.dedup(docs), docs)
+    """Documents without the lines that an earlier line repeats up to a word edit (two in long lines).
+
+    A document that loses its last word is a copy and goes; missing and empty texts have lost nothing and stay."""
+    left = line_dedup.dedup(docs)
+    return _recounted(left.where((F.col("n_removed") == 0) | _has_word()), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,10 +34,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has; the words left are joined by a space.
 
-    A text that loses nothing stays as it is."""
+    A text that loses nothing stays as it is; a document that loses its last word goes."""
     left = substring_dedup.dedup(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept_words")).otherwise(F.col("text"))
-    return _recounted(left.withColumn("text", text), docs)
+    left = left.withColumn("text", text)
+    return _recounted(left.where((F.col("n_removed") == 0) | _has_word()), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,6 +46,10 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
+def _has_word() -> Column:
+    return F.col("text").rlike(r"[^\x20\x09-\x0D]")
+
+
 def _recounted(changed: DataFrame, docs: DataFrame) -> DataFrame:
     """The columns of docs; n_chars, where there is one, follows the text."""
     if "n_chars" in docs.columns:
@@ -58,7 +66,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: Tokens and sequences are beyond SQL; tests compare the stages with brute force.
+#: Tokens and sequences are beyond SQL; a test compares run() with a plain chain of the five stages.
 ORACLE_SQL = None
 
 
