@@ -445,9 +445,9 @@ def surface_light_percent(
 def secchi_mean(df: DataFrame, by: Sequence[str], readings: Sequence[str]) -> DataFrame:
     """Mean of the readings of one visit; visits without any reading are dropped."""
     long = unpivot_long(df, list(by), list(readings), "reading", "RESULT")
-    return long.groupBy(*by).agg(F.avg("RESULT").alias("RESULT")).withColumn(
-        "ANALYTE", F.lit("Secchi")
-    )
+    means = long.groupBy(*by).agg(F.avg("RESULT").alias("RESULT"))
+    # Named only where there is a reading, so that the name stays a key of later joins and no constant.
+    return means.withColumn("ANALYTE", F.when(F.col("RESULT").isNotNull(), F.lit("Secchi")))
 
 
 def clear_to_bottom(df: DataFrame, clear: Column) -> DataFrame:
