@@ -15,7 +15,7 @@ half of a line as it was, so a line none of whose halves occurs in another line
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +24,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept, mixed, word_hashes
+from .common import forget, kept, mixed, stored, word_hashes
+
+#: Writes a table and reads it back.
+Keep = Callable[[DataFrame, str], DataFrame]
+
 
 
 @dataclass(frozen=True)
@@ -64,18 +68,48 @@ def _halves(words: list[bytes]) -> list[int]:
     return [_hash(words[:k], 2 * k) for k in first] + [_hash(words[n - k :], 2 * k + 1) for k in last]
 
 
+def _part(m: int) -> int:
+    """Length of a part of a line of m words: a third, rounded down to two leading bits, so that
+    lines that differ by a word or two mostly have parts of one length."""
+    third = m // 3
+    return third >> max(0, third.bit_length() - 2) << max(0, third.bit_length() - 2)
+
+
 def _thirds(words: list[bytes]) -> list[int]:
-    """Keys of which a line and each line two edits away share one: of three parts, fixed by the
-    shorter line of m words, two edits leave one as it was. Edits before the middle part move it."""
+    """Keys of which a line and each line two edits away share one.
+
+    The shorter of the two, of m words, fixes three parts of _part(m) words: the first, the one behind
+    it and the last. If edits reach both the first and the last part, each has one, so the part between
+    is as it was, moved by one word at most; else the first or the last part is."""
     n, found = len(words), set()
-    for m, moves in ((n, (-1, 0, 1)), (n - 1, (0, 1)), (n - 2, (0, 1, 2))):
-        a = m // 3
-        found.add(_hash(words[:a], 4 * m))
-        found.add(_hash(words[n - a :], 4 * m + 1))
-        found.update(_hash(words[a + s : m - a + s], 4 * m + 2) for s in moves)
+    for a in {_part(m) for m in (n, n - 1, n - 2)}:
+        found.add(_hash(words[:a], 4 * a))
+        found.add(_hash(words[n - a :], 4 * a + 1))
+        found.update(_hash(words[a + s : 2 * a + s], 4 * a + 2) for s in (-1, 0, 1))
     return list(found)
 
 
+def _finer_thirds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As _thirds, with whole thirds and a key of its own for every length of the shorter line."""
+    for batch in batches:
+        keys, lines = [], []
+        for line, raw in zip(batch.column("hash").to_pylist(), batch.column("words").to_pylist()):
+            n, found = len(raw) // 8, set()
+            for m, moves in ((n, (-1, 0, 1)), (n - 1, (0, 1)), (n - 2, (0, 1, 2))):
+                a = m // 3
+                found.add(xxhash.xxh3_64_intdigest(raw[: 8 * a], 4 * m))
+                found.add(xxhash.xxh3_64_intdigest(raw[8 * (n - a) :], 4 * m + 1))
+                found.update(xxhash.xxh3_64_intdigest(raw[8 * (a + s) : 8 * (m - a + s)], 4 * m + 2) for s in moves)
+            keys += found
+            lines += [line] * len(found)
+        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(lines, pa.int64())], names=["third", "hash"])
+
+
+def _sharing(thirds: DataFrame) -> DataFrame:
+    """Keys that several lines share, with those lines and their number n."""
+    return thirds.join(thirds.groupBy("third").agg(F.count("*").alias("n")).where("n > 1"), "third")
+
+
 def occurrences(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
     """doc_id, line, hash, halves and thirds of every line that may be a duplicate; rows without id take no part."""
 
@@ -189,6 +223,11 @@ def within(x: np.ndarray, y: np.ndarray, edits: int) -> bool:
 LIKE, LEFT, RIGHT = 0, 1, 2
 
 
+#: Base of the polynomial hash of words (odd) and its inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_UNDO = pow(_BASE, -1, 1 << 64)
+
+
 def _marks(batches: Iterator[pa.RecordBatch], lefts: bytes | None = None) -> Iterator[pa.RecordBatch]:
     """Keys under which a line meets the lines at most two edits away, and no others.
 
@@ -203,11 +242,10 @@ def _marks(batches: Iterator[pa.RecordBatch], lefts: bytes | None = None) -> Ite
             own = np.frombuffer(raw, np.uint64)
             n, one = len(own), np.uint64(1)
             # A polynomial hash modulo 2^64 of mixed words: what is left after two gaps is three runs of it.
-            base = np.uint64(0x9E3779B97F4A7C15)
+            base = np.uint64(_BASE)
             power = np.concatenate([[one], np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)])
-            head = np.zeros(n + 1, np.uint64)
-            for i in range(n):
-                head[i + 1] = head[i] * base + mixed(own[i : i + 1])[0]
+            back = np.concatenate([[one], np.cumprod(np.full(n, _UNDO, np.uint64), dtype=np.uint64)])
+            head = np.concatenate([np.zeros(1, np.uint64), power[:n] * np.cumsum(mixed(own) * back[:n], dtype=np.uint64)])
             run = lambda a, b: head[b] - head[a] * power[b - a]
             left = lambda sums, kind, *at: mixed(mixed(sums + np.uint64(kind)) + sum((np.uint64(k + 3) * mixed(x.astype(np.uint64) + one) for k, x in enumerate(at)), np.uint64(0)))
             whole = np.array([run(0, n)])
@@ -242,13 +280,16 @@ def _marked(made: list, line: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sides), pa.array(np.full(len(keys), line, np.int64))], names=["key", "side", "hash"])
 
 
-def far_lines(shared: DataFrame, words: DataFrame, wanted: DataFrame, p: Lines) -> DataFrame:
+def far_lines(shared: DataFrame, words: DataFrame, wanted: DataFrame, p: Lines, keep: Keep = kept) -> DataFrame:
     """hash of each long line that has an earlier long line at most two edits away.
 
-    `shared` has the parts (third, hash, n) that n > 1 lines share. Pairs are formed of at most pair_lines
+    `shared` has the parts (third, hash, n) that n > 1 lines share; lines of a part with many are parted
+    again by finer keys, of which any two within two edits share one. Pairs are formed of at most pair_lines
     lines a part; the lines of a part with more meet under keys, the earliest of a key for all others."""
     at = F.struct("doc_id", "line", "hash")
-    few = shared.where(F.col("n") <= p.pair_lines).join(wanted.select("hash", at.alias("at")), "hash")
+    often = words.join(shared.where(F.col("n") > p.pair_lines).select("hash").distinct(), "hash", "left_semi")
+    finer = keep(_sharing(often.mapInArrow(_finer_thirds, "third long, hash long")), "lines-finer")
+    few = shared.where(F.col("n") <= p.pair_lines).unionByName(finer.where(F.col("n") <= p.pair_lines)).join(wanted.select("hash", at.alias("at")), "hash")
     pairs = few.join(few.select("third", F.col("at").alias("before")), "third").where("before < at")
     pairs = pairs.select("hash", F.col("before.hash").alias("other")).distinct()
     mine = words.withColumnRenamed("words", "mine")
@@ -261,19 +302,19 @@ def far_lines(shared: DataFrame, words: DataFrame, wanted: DataFrame, p: Lines)
             yield pa.RecordBatch.from_arrays([batch.column("hash")], names=["hash"]).filter(pa.array(good, pa.bool_()))
 
     near = pairs.join(mine, "hash").join(theirs, "other").select("hash", "mine", "theirs").mapInArrow(verify, "hash long")
-    many = shared.where(F.col("n") > p.pair_lines).select("hash").distinct()
-    crowd = kept(words.join(many, "hash", "left_semi"), "lines-crowd")
+    many = finer.where(F.col("n") > p.pair_lines).select("hash").distinct()
+    crowd = keep(words.join(many, "hash", "left_semi"), "lines-crowd")
     schema = "key long, side int, hash long"
     lefts = _maybe(crowd.mapInArrow(_marks, schema), p.filter_bits, "key")
     marks = crowd.mapInArrow(lambda batches: _marks(batches, lefts), schema)
     met = marks.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("key")
-    rows = kept(marks.join(met, "key", "left_semi").join(wanted.select("hash", at.alias("at")), "hash"), "lines-marked")
+    rows = keep(marks.join(met, "key", "left_semi").join(wanted.select("hash", at.alias("at")), "hash"), "lines-marked")
     first = rows.groupBy("key").agg(*[F.min(F.when(F.col("side") == i, F.col("at"))).alias(f"first{i}") for i in (LIKE, LEFT, RIGHT)])
     before = F.when(F.col("side") == LIKE, F.col(f"first{LIKE}")).when(F.col("side") == LEFT, F.col(f"first{RIGHT}")).otherwise(F.col(f"first{LEFT}"))
     return near.union(rows.join(first, "key").where(before < F.col("at")).select("hash")).distinct()
 
 
-def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE) -> DataFrame:
+def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE, keep: Keep = kept) -> DataFrame:
     """hash of each line that has an earlier line one edit away, or two if both are long.
 
     Lines that leave out the same place and then agree are one edit apart, and so are a line and
@@ -285,16 +326,15 @@ def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE) -> DataFram
     met_halves = halves.join(shared, "half", "left_semi").select("hash")
     if p.far_words:
         thirds = firsts.select("hash", F.explode("thirds").alias("third"))
-        common = thirds.groupBy("third").agg(F.count("*").alias("n")).where("n > 1")
-        met_thirds = kept(thirds.join(common, "third"), "lines-thirds")
+        met_thirds = keep(_sharing(thirds), "lines-thirds")
         met_halves = met_halves.union(met_thirds.select("hash"))
-    wanted = kept(met_halves.distinct().join(firsts.select("hash", "doc_id", "line"), "hash"), "lines-wanted")
-    words = kept(_candidate_words(docs, wanted, p), "lines-words")
+    wanted = keep(met_halves.distinct().join(firsts.select("hash", "doc_id", "line"), "hash"), "lines-wanted")
+    words = keep(_candidate_words(docs, wanted, p), "lines-words")
     short = words.where(F.octet_length("words") <= 8 * p.far_words) if p.far_words else words
     variants = short.mapInArrow(_variants, "key long, gone int, hash long")
     met = variants.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("key")
     at = F.struct(F.col("doc_id"), F.col("line"), F.col("hash")).alias("at")
-    rows = kept(variants.join(met, "key", "left_semi").join(wanted, "hash").select("key", "gone", "hash", at), "lines-met")
+    rows = keep(variants.join(met, "key", "left_semi").join(wanted, "hash").select("key", "gone", "hash", at), "lines-met")
     whole = F.col("gone") < 0
     same = rows.where(~whole).groupBy("key", "gone").agg(F.min("at").alias("same"))
     other = rows.groupBy("key").agg(F.min(F.when(whole, F.col("at"))).alias("whole"), F.min(F.when(~whole, F.col("at"))).alias("part"))
@@ -311,19 +351,19 @@ def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column("hash")], names=["hash"]).filter(pa.array(good, pa.bool_()))
 
     near = earliest.join(mine, "hash").join(theirs, "other").select("hash", "mine", "theirs").mapInArrow(verify, "hash long")
-    return near.union(far_lines(met_thirds, words, wanted, p)).distinct() if p.far_words else near
+    return near.union(far_lines(met_thirds, words, wanted, p, keep)).distinct() if p.far_words else near
 
 
-def duplicate_lines(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
+def duplicate_lines(docs: DataFrame, p: Lines = WHOLE, keep: Keep = kept) -> DataFrame:
     """doc_id, lines: the numbers (from 0) of each document's lines that an earlier line repeats.
 
     Missing and empty texts have no lines to lose; rows without doc_id take no part; rows with
     one doc_id count as one document, so none of them loses a line to another.
     """
-    seen = kept(occurrences(docs, p), "lines")
+    seen = keep(occurrences(docs, p), "lines")
     firsts = seen.groupBy("hash").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("halves").alias("halves"), F.min("thirds").alias("thirds"))
-    firsts = kept(firsts.select("hash", "at.doc_id", "at.line", "halves", "thirds"), "lines-first")
-    near = near_lines(docs, firsts, p)
+    firsts = keep(firsts.select("hash", "at.doc_id", "at.line", "halves", "thirds"), "lines-first")
+    near = near_lines(docs, firsts, p, keep)
     stays = firsts.join(near, "hash", "left_anti").select("hash", F.col("doc_id").alias("d"), F.col("line").alias("l"))
     # Occurrences that stay are few to a hash (one place); all others go.
     here = seen.select("doc_id", "line", "hash").distinct()
@@ -334,8 +374,19 @@ def duplicate_lines(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
 def dedup(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
     """Every row with its duplicate lines taken out of the text, and their number in n_removed.
 
-    Other columns stay; a column named n_removed is replaced."""
-    gone = kept(duplicate_lines(docs, p), "lines-gone").withColumnsRenamed({"doc_id": "__doc", "lines": "__gone"})
+    Other columns stay; a column named n_removed is replaced. Tables made on the way are deleted
+    once the numbers of the lines to take out are written."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        table, path = stored(df, name)
+        paths.append(path)
+        return table
+
+    gone = kept(duplicate_lines(docs, p, keep), "lines-gone")
+    for path in paths:
+        forget(docs.sparkSession, path)
+    gone = gone.withColumnsRenamed({"doc_id": "__doc", "lines": "__gone"})
     rows = docs.drop("n_removed")
     joined = rows.join(gone, rows.doc_id == gone["__doc"], "left").drop("__doc")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", n_removed long"
