@@ -4,9 +4,11 @@ Two lines are near duplicates if few edits of a word (put in, left out or change
 into the other: one edit, or two where both lines are long. Every line emits hashed keys of
 itself and of itself without each one of its words; lines that share a key are paired, the
 pair's edit distance is verified on the words, and the earliest line stays. Earlier means
-smaller doc_id, then smaller line number. Long lines within two edits share one of three
-parts: where few lines share a part they are compared in pairs, where many do, they emit keys
-of themselves without each one and each two of their words.
+smaller doc_id, then smaller line number. Long lines within two edits are met under keys of
+themselves without one and without two of their words. Not every two words are tried: the first
+edit between two lines stands where they part, read from the front, the last one where they part,
+read from the back. So the first word left out is one before which some lines with the same
+beginning part, and the last one such a word seen from the end; both are found by grouping.
 
 Before that, equal lines are reduced to their first occurrence by a partial aggregate, and
 lines that cannot have a partner are set aside: one edit leaves either the first or the last
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +42,8 @@ class Lines:
     min_words: int = 4
     near_words: int = 10
     far_words: int | None = None
-    #: Of a part that more long lines share, the pairs are not formed.
-    pair_lines: int = 200
+    #: Long lines whose keys a task makes at once.
+    chunk_lines: int = 2000
     #: Size of the bitmap that keeps texts without candidate lines out of a shuffle (a power of 2).
     filter_bits: int = 1 << 23
 
@@ -75,39 +78,26 @@ def _part(m: int) -> int:
     return third >> max(0, third.bit_length() - 2) << max(0, third.bit_length() - 2)
 
 
+#: Parts of a long line.
+FIRST, LAST, MIDDLE = 0, 1, 2
+
+
 def _thirds(words: list[bytes]) -> list[int]:
     """Keys of which a line and each line two edits away share one.
 
     The shorter of the two, of m words, fixes three parts of _part(m) words: the first, the one behind
     it and the last. If edits reach both the first and the last part, each has one, so the part between
-    is as it was, moved by one word at most; else the first or the last part is."""
-    n, found = len(words), set()
+    is as it was, moved by one word at most; else the first or the last part is. The two lowest bits
+    of a key say which part it is of."""
+    n, whole, found = len(words), b" ".join(words), set()
+    at = [0, *accumulate(len(w) + 1 for w in words)]
+    digest = xxhash.xxh3_64_intdigest
     for a in {_part(m) for m in (n, n - 1, n - 2)}:
-        found.add(_hash(words[:a], 4 * a))
-        found.add(_hash(words[n - a :], 4 * a + 1))
-        found.update(_hash(words[a + s : 2 * a + s], 4 * a + 2) for s in (-1, 0, 1))
-    return list(found)
-
-
-def _finer_thirds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """As _thirds, with whole thirds and a key of its own for every length of the shorter line."""
-    for batch in batches:
-        keys, lines = [], []
-        for line, raw in zip(batch.column("hash").to_pylist(), batch.column("words").to_pylist()):
-            n, found = len(raw) // 8, set()
-            for m, moves in ((n, (-1, 0, 1)), (n - 1, (0, 1)), (n - 2, (0, 1, 2))):
-                a = m // 3
-                found.add(xxhash.xxh3_64_intdigest(raw[: 8 * a], 4 * m))
-                found.add(xxhash.xxh3_64_intdigest(raw[8 * (n - a) :], 4 * m + 1))
-                found.update(xxhash.xxh3_64_intdigest(raw[8 * (a + s) : 8 * (m - a + s)], 4 * m + 2) for s in moves)
-            keys += found
-            lines += [line] * len(found)
-        yield pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(lines, pa.int64())], names=["third", "hash"])
-
-
-def _sharing(thirds: DataFrame) -> DataFrame:
-    """Keys that several lines share, with those lines and their number n."""
-    return thirds.join(thirds.groupBy("third").agg(F.count("*").alias("n")).where("n > 1"), "third")
+        found.add(digest(whole[: at[a] - 1], 4 * a + FIRST) & ~3 | FIRST)
+        found.add(digest(whole[at[n - a] :], 4 * a + LAST) & ~3 | LAST)
+        for k in (a - 1, a, a + 1):
+            found.add(digest(whole[at[k] : at[k + a] - 1], 4 * a + MIDDLE) & ~3 | MIDDLE)
+    return [x - (1 << 64) if x >> 63 else x for x in found]
 
 
 def occurrences(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
@@ -136,7 +126,7 @@ def occurrences(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, line int, hash long, halves array<long>, thirds array<long>")
 
 
-def _maybe(ids: DataFrame, bits: int, place: str = "xxhash64(doc_id)") -> bytes:
+def _maybe(ids: DataFrame, place: str, bits: int) -> bytes:
     """Bitmap of hashed ids, of fixed size: what is not in it is not among the ids."""
     at = F.expr(f"pmod({place}, {bits})")
     rows = ids.groupBy(F.expr(f"bitmap_bucket_number(pmod({place}, {bits}) + 1)").alias("b")).agg(
@@ -149,32 +139,31 @@ def _maybe(ids: DataFrame, bits: int, place: str = "xxhash64(doc_id)") -> bytes:
 
 
 def _candidate_words(docs: DataFrame, wanted: DataFrame, p: Lines) -> DataFrame:
-    """hash and words (hashed) of each wanted line, read from its first occurrence."""
-    per_doc = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("line", "hash")).alias("lines"))
-    bitmap = _maybe(wanted, p.filter_bits)
+    """hash, words (hashed) and parts of each wanted line.
 
-    def may_have(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(bitmap, np.uint8)
-        for batch in batches:
-            at = batch.column("__at").to_numpy()
-            yield batch.filter(pa.array(bits[at >> 3] >> (at & 7) & 1, pa.uint8()).cast(pa.bool_()))
+    The scan of the texts gives only lines that two bitmaps let pass, of documents with a first occurrence and
+    of hashes of lines, so that no texts are shuffled; a join by hash takes out what they let pass wrongly."""
+    of_docs = _maybe(wanted, "xxhash64(doc_id)", p.filter_bits)
+    of_lines = _maybe(wanted, "hash", p.filter_bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        in_docs, in_lines = np.frombuffer(of_docs, np.uint8), np.frombuffer(of_lines, np.uint8)
         for batch in batches:
+            at = batch.column("__at").to_numpy()
             hashes, words = [], []
-            for text, lines in zip(batch.column("text").to_pylist(), batch.column("lines").to_pylist()):
-                found = _split(text)
-                for x in lines:
-                    own = found[x["line"]] if x["line"] < len(found) else []
-                    if _hash(own) == x["hash"]:  # a repeated id may stand for another text
-                        hashes.append(x["hash"])
-                        words.append(word_hashes(own).tobytes())
+            for text in batch.column("text").filter(pa.array(in_docs[at >> 3] >> (at & 7) & 1, pa.uint8()).cast(pa.bool_())).to_pylist():
+                for own in _split(text):
+                    if len(own) >= p.near_words:
+                        found = _hash(own)
+                        at = found % p.filter_bits
+                        if in_lines[at >> 3] >> (at & 7) & 1:
+                            hashes.append(found)
+                            words.append(word_hashes(own).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(words, pa.binary())], names=["hash", "words"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(p.filter_bits)).alias("__at"))
-    texts = texts.where(F.col("doc_id").isNotNull()).mapInArrow(may_have, f"doc_id {kind}, text string, __at long")
-    return texts.join(per_doc, "doc_id").select("text", "lines").mapInArrow(run, "hash long, words binary").dropDuplicates(["hash"])
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    lines = texts.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(p.filter_bits)).alias("__at")).mapInArrow(run, "hash long, words binary")
+    return lines.join(wanted.select("hash", "parts"), "hash").dropDuplicates(["hash"])
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,99 +208,248 @@ def within(x: np.ndarray, y: np.ndarray, edits: int) -> bool:
     return edits > 0 and (within(x[1:], y[1:], edits - 1) or within(x[1:], y, edits - 1) or within(x, y[1:], edits - 1))
 
 
-#: Whom a row of _marks meets under its key: its like, or only the other of two sides.
-LIKE, LEFT, RIGHT = 0, 1, 2
-
-
 #: Base of the polynomial hash of words (odd) and its inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
 _UNDO = pow(_BASE, -1, 1 << 64)
 
+#: Words of a block: where lines part is looked for by blocks first, then by words in blocks that hold such a place.
+_BLOCK = 8
 
-def _marks(batches: Iterator[pa.RecordBatch], lefts: bytes | None = None) -> Iterator[pa.RecordBatch]:
-    """Keys under which a line meets the lines at most two edits away, and no others.
 
-    Of the two lines, one edit takes a word out of one of them or, changing it, out of both at one
-    place. Two changes leave out the same two places (LIKE); a change and a word put in, one place of
-    the shorter line, which is among the two places of the longer; a word put in and another left out,
-    one of each, at any places (LIKE); two put in, none of the shorter. Places are counted in what is left.
-    Without `lefts` only the few LEFT rows; with the bitmap of their keys all rows but RIGHT ones that it rules out."""
-    bits = np.frombuffer(lefts or b"", np.uint8)
+class _Rolled:
+    """Hashes of any runs of the words of some lines that stand one behind the other."""
+
+    def __init__(self, raws: list[bytes]):
+        own = np.frombuffer(b"".join(raws), np.uint64)
+        powers = lambda x: np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(own), x, np.uint64), dtype=np.uint64)])
+        self.n = np.array([len(raw) // 8 for raw in raws], np.int64)
+        self.start = np.cumsum(self.n) - self.n
+        self.power = powers(_BASE)
+        self.head = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(own) * powers(_UNDO)[:-1], dtype=np.uint64)])
+
+    def run(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.head[b] - self.head[a]) * self.power[b]
+
+    def without(self, line: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hash of lines without their words at first and last (one word, if these are equal)."""
+        a, end = self.start[line], self.start[line] + self.n[line]
+        between = np.maximum(last - first - 1, 0)
+        front = self.run(a, a + first) * self.power[between] + self.run(a + first + 1, np.maximum(a + last, a + first + 1))
+        return front * self.power[self.n[line] - 1 - last] + self.run(a + last + 1, end)
+
+
+def _key(sums: np.ndarray, kind: int, *at: np.ndarray) -> np.ndarray:
+    key = mixed(sums + np.uint64(kind))
+    for k, x in enumerate(at):
+        key = key + np.uint64(k + 3) * mixed(x.astype(np.uint64) + np.uint64(1))
+    return mixed(key)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for line, raw in zip(batch.column("hash").to_pylist(), batch.column("words").to_pylist()):
-            own = np.frombuffer(raw, np.uint64)
-            n, one = len(own), np.uint64(1)
-            # A polynomial hash modulo 2^64 of mixed words: what is left after two gaps is three runs of it.
-            base = np.uint64(_BASE)
-            power = np.concatenate([[one], np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)])
-            back = np.concatenate([[one], np.cumprod(np.full(n, _UNDO, np.uint64), dtype=np.uint64)])
-            head = np.concatenate([np.zeros(1, np.uint64), power[:n] * np.cumsum(mixed(own) * back[:n], dtype=np.uint64)])
-            run = lambda a, b: head[b] - head[a] * power[b - a]
-            left = lambda sums, kind, *at: mixed(mixed(sums + np.uint64(kind)) + sum((np.uint64(k + 3) * mixed(x.astype(np.uint64) + one) for k, x in enumerate(at)), np.uint64(0)))
-            whole = np.array([run(0, n)])
-            i = np.arange(n)
-            single = run(0, i) * power[n - 1 - i] + run(i + 1, np.full(n, n))
-            made = [(left(whole, 1), LEFT), (left(single, 3, i), LEFT)]
-            if lefts is None:
-                yield _marked(made, line)
-                continue
-            made += [(_ruled(left(single, 1), bits), RIGHT), (left(single, 2), LIKE)]
-            for a in range(n - 1):  # a block of keys a first place, so that a long line needs no square of memory
-                b = np.arange(a + 1, n)
-                pair = (run(0, a) * power[b - a - 1] + run(a + 1, b)) * power[n - 1 - b] + run(b + 1, np.full(len(b), n))
-                first, second = np.full(len(b), a), b - 1
-                met = _ruled(np.concatenate([left(pair, 1), left(pair, 3, first), left(pair, 3, second)]), bits)
-                made += [(left(pair, 4, first, second), LIKE), (met, RIGHT)]
-                if sum(len(k) for k, _ in made) > 50_000:
-                    yield _marked(made, line)
-                    made = []
-            if made:
-                yield _marked(made, line)
-
-
-def _ruled(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    at = keys & np.uint64(8 * len(bits) - 1)
-    return keys[(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)]
-
-
-def _marked(made: list, line: int) -> pa.RecordBatch:
-    keys = np.concatenate([k for k, _ in made]).view(np.int64)
-    sides = np.concatenate([np.full(len(k), side, np.int32) for k, side in made])
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sides), pa.array(np.full(len(keys), line, np.int64))], names=["key", "side", "hash"])
-
-
-def far_lines(shared: DataFrame, words: DataFrame, wanted: DataFrame, p: Lines, keep: Keep = kept) -> DataFrame:
-    """hash of each long line that has an earlier long line at most two edits away.
+        for i in range(0, batch.num_rows, size):
+            yield batch.slice(i, size)
+
+
+def _forks(batches: Iterator[pa.RecordBatch], size: int, step: int) -> Iterator[pa.RecordBatch]:
+    """key and what stands next of beginnings and ends of lines that are a multiple of step words long.
+
+    `at` is the length of a beginning, or -1 - the length of an end. Of single words (step 1) only those in the
+    blocks of `open`. The empty ones are left out: there all lines part."""
+    for batch in _chunks(batches, size):
+        rolled = _Rolled(batch.column("words").to_pylist())
+        n, made = rolled.n, []
+        if step > 1:
+            counts = n // step + 1
+            line = np.repeat(np.arange(len(n)), counts)
+            long = (np.arange(len(line)) - np.repeat(np.cumsum(counts) - counts, counts)) * step
+            sides = [(line, long, False), (line, long, True)]
+        else:
+            opened = batch.column("open").to_pylist()
+            line = np.repeat(np.arange(len(n)), [_BLOCK * len(x) for x in opened])
+            block = np.repeat(np.array([at for x in opened for at in x], np.int64), _BLOCK)
+            long = np.where(block < 0, -1 - block, block) + np.tile(np.arange(_BLOCK), len(block) // _BLOCK)
+            sides = [(line[block >= 0], long[block >= 0], False), (line[block < 0], long[block < 0], True)]
+        for line, long, back in sides:
+            line, long = line[(long > 0) & (long <= n[line])], long[(long > 0) & (long <= n[line])]
+            a, end = rolled.start[line], rolled.start[line] + n[line]
+            if back:
+                key, after = rolled.run(end - long, end), rolled.run(np.maximum(end - long - step, a), end - long)
+            else:
+                key, after = rolled.run(a, a + long), rolled.run(a + long, np.minimum(a + long + step, end))
+            made.append((_key(key, 1 + back), mixed(after), line, -1 - long if back else long))
+        key, after, line, at = (np.concatenate(x) for x in zip(*made))
+        hashes = np.asarray(batch.column("hash"))[line]
+        arrays = [pa.array(key.view(np.int64)), pa.array(after.view(np.int64)), pa.array(hashes), pa.array(n[line].astype(np.int32)), pa.array(at.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["key", "after", "hash", "n", "at"])
+
+
+def _parting(forks: DataFrame) -> DataFrame:
+    """The rows of _forks behind which lines part; `shorter`, whether one of these has fewer words than the row's."""
+    found = forks.groupBy("key").agg(F.min("after").alias("a"), F.max("after").alias("b"), F.min("n").alias("least")).where("a <> b")
+    return forks.join(found.select("key", "least"), "key").select("hash", "at", (F.col("least") < F.col("n")).alias("shorter"))
+
+
+#: Words behind (or before) a place of which a key is made, and how many times as many the next key takes.
+_REACH, _WIDER = 4, 4
+
+
+def _reaches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """key of each beginning (or end) before a place and of the `reach` words behind that place, for growing reaches.
+
+    `after` is the word at the place. A line that lacks such a word has the words from the place on instead, 0
+    and no `at`. Where a key comes with several of these, lines part at the place and then agree for so long."""
+    for batch in _chunks(batches, size):
+        rolled, made = _Rolled(batch.column("words").to_pylist()), []
+        places = batch.column("places").to_pylist()
+        counts = [len(x or ()) + 2 for x in places]
+        line = np.repeat(np.arange(len(places)), counts)
+        at = np.array([k for x in places for k in (0, -1, *(y["at"] for y in x or ()))], np.int64)
+        n = rolled.n[line]
+        reach = _REACH
+        while len(line):
+            for back in (False, True):
+                for lacks in (False, True):
+                    long = -1 - at if back else at
+                    use = ((at < 0) == back) & (long + reach + (not lacks) <= n)
+                    long, own, end = long[use], rolled.start[line[use]], rolled.start[line[use]] + n[use]
+                    skip = long + (not lacks)
+                    if back:
+                        outer, inner = rolled.run(end - long, end), rolled.run(end - skip - reach, end - skip)
+                        word = rolled.run(end - skip, end - long)
+                    else:
+                        outer, inner = rolled.run(own, own + long), rolled.run(own + skip, own + skip + reach)
+                        word = rolled.run(own + long, own + skip)
+                    key = _key(outer + np.uint64(5) * mixed(inner), 8 + back, long, np.full(len(long), reach))
+                    made.append((key, mixed(word), line[use], at[use], np.full(len(long), reach), np.full(len(long), lacks)))
+            reach *= _WIDER
+            use = np.where(at < 0, -1 - at, at) + reach <= n
+            line, at, n = line[use], at[use], n[use]
+        key, after, line, at, reach, lacks = (np.concatenate(x) for x in zip(*made))
+        hashes = np.asarray(batch.column("hash"))[line]
+        arrays = [pa.array(key.view(np.int64)), pa.array(after.view(np.int64)), pa.array(hashes), pa.array(at.astype(np.int32), mask=lacks), pa.array(reach.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["key", "after", "hash", "at", "reach"])
 
-    `shared` has the parts (third, hash, n) that n > 1 lines share; lines of a part with many are parted
-    again by finer keys, of which any two within two edits share one. Pairs are formed of at most pair_lines
-    lines a part; the lines of a part with more meet under keys, the earliest of a key for all others."""
-    at = F.struct("doc_id", "line", "hash")
-    often = words.join(shared.where(F.col("n") > p.pair_lines).select("hash").distinct(), "hash", "left_semi")
-    finer = keep(_sharing(often.mapInArrow(_finer_thirds, "third long, hash long")), "lines-finer")
-    few = shared.where(F.col("n") <= p.pair_lines).unionByName(finer.where(F.col("n") <= p.pair_lines)).join(wanted.select("hash", at.alias("at")), "hash")
-    pairs = few.join(few.select("third", F.col("at").alias("before")), "third").where("before < at")
-    pairs = pairs.select("hash", F.col("before.hash").alias("other")).distinct()
-    mine = words.withColumnRenamed("words", "mine")
-    theirs = words.select(F.col("hash").alias("other"), F.col("words").alias("theirs"))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = zip(batch.column("mine").to_pylist(), batch.column("theirs").to_pylist())
-            good = [within(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), 2) for a, b in both]
-            yield pa.RecordBatch.from_arrays([batch.column("hash")], names=["hash"]).filter(pa.array(good, pa.bool_()))
+#: Whom a row of _marks meets under its key: its like, or only the other of two sides.
+LIKE, LEFT, RIGHT = 0, 1, 2
 
-    near = pairs.join(mine, "hash").join(theirs, "other").select("hash", "mine", "theirs").mapInArrow(verify, "hash long")
-    many = finer.where(F.col("n") > p.pair_lines).select("hash").distinct()
-    crowd = keep(words.join(many, "hash", "left_semi"), "lines-crowd")
-    schema = "key long, side int, hash long"
-    lefts = _maybe(crowd.mapInArrow(_marks, schema), p.filter_bits, "key")
-    marks = crowd.mapInArrow(lambda batches: _marks(batches, lefts), schema)
+
+def _marks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Keys under which a line meets the lines at most two edits away, and no others.
+
+    Without what two lines have in common at their beginning and their end, each of two edits stands at
+    either end of what is left. Two changes leave out the same two places (LIKE); a change and a word put
+    in, one place of the shorter line, which is among the two places of the longer; a word put in and
+    another left out, one of each, at any places (LIKE); two put in, none of the shorter. Places are counted
+    in what is left. A first place is one where lines part (`places`, or the first word), a last one likewise
+    from the end; of two places, only those that leave one of the line's shared parts as it was, and of which
+    either agrees with another line on the words towards the other (`reaches`), half of these at least."""
+    for batch in _chunks(batches, size):
+        rolled, hashes = _Rolled(batch.column("words").to_pylist()), np.asarray(batch.column("hash"))
+        whole = rolled.run(rolled.start, rolled.start + rolled.n)
+        yield _marked([(_key(whole, 1), np.arange(len(hashes)), LEFT)], hashes)
+        ones, nears, pairs, held = [], [], [], 0
+        columns = (batch.column(c).to_pylist() for c in ("parts", "places", "reaches"))
+        for i, (n, parts, places, reaches) in enumerate(zip(rolled.n.tolist(), *columns)):
+            # With the place whether a shorter line parts there.
+            front, back = {0: True}, {n - 1: True}
+            for x in places or ():
+                if 0 <= x["at"] < n:
+                    front[x["at"]] = x["shorter"]
+                elif -n <= x["at"] < 0:
+                    back[n + x["at"]] = x["shorter"]
+            reached: dict[int, int] = {}
+            for x in reaches or ():
+                reached[x["at"]] = max(x["reach"], reached.get(x["at"], 0))
+            one = front.keys() | back.keys()
+            ones += [(i, at) for at in one]
+            nears += [(i, f) for f, shorter in front.items() if shorter and f + 1 < n]
+            first, last = np.array(list(front)), np.array(list(back))
+            first_meets, last_meets = np.array(list(front.values())), np.array(list(back.values()))
+            first_reach, last_reach = np.array([reached.get(f, 0) for f in front]), np.array([reached.get(e - n, 0) for e in back])
+            least, most = (f(_part(m) for m in (n, n - 1, n - 2)) for f in (min, max))
+            rows = max(1, _HELD // len(last))
+            for k in range(0, len(first), rows):  # so that a long line needs no square of memory
+                f, e = first[k : k + rows, None], last[None, :]
+                use = np.zeros((len(f), len(last)), bool)
+                if parts >> FIRST & 1:
+                    use |= f >= least
+                if parts >> LAST & 1:
+                    use |= e < n - least
+                if parts >> MIDDLE & 1:
+                    use |= (f < most) & (e >= n - most)
+                asked = _asked(e - f - 2)
+                use &= (e > f) & (asked <= first_reach[k : k + rows, None]) & (asked <= last_reach[None, :])
+                x, y = np.nonzero(use)
+                pairs.append((np.full(len(x), i), first[k + x], last[y], first_meets[k + x] & last_meets[y]))
+                held += len(x)
+                if held > _HELD:
+                    yield _marked(_left_out(rolled, ones, nears, pairs), hashes)
+                    ones, nears, pairs, held = [], [], [], 0
+        yield _marked(_left_out(rolled, ones, nears, pairs), hashes)
+
+
+#: Pairs of places whose keys are made at once.
+_HELD = 100_000
+
+
+def _left_out(rolled: _Rolled, ones: list, nears: list, pairs: list) -> list:
+    """Keys, lines and sides without one word, without two that a shorter line lacks, and without two places."""
+    line, at = np.array(ones, np.int64).reshape(-1, 2).T
+    single = rolled.without(line, at, at)
+    made = [(_key(single, 3, at), line, LEFT), (_key(single, 1), line, RIGHT), (_key(single, 2), line, LIKE)]
+    line, at = np.array(nears, np.int64).reshape(-1, 2).T
+    made.append((_key(rolled.without(line, at, at + 1), 1), line, RIGHT))
+    if pairs:
+        line, first, last, met = (np.concatenate(x) for x in zip(*pairs))
+        pair = rolled.without(line, first, last)
+        made.append((_key(pair, 4, first, last - 1), line, LIKE))
+        pair, line, first, last = pair[met], line[met], first[met], last[met]
+        made += [(_key(pair, 1), line, RIGHT), (_key(pair, 3, first), line, RIGHT), (_key(pair, 3, last - 1), line, RIGHT)]
+    return made
+
+
+def _asked(between: np.ndarray) -> np.ndarray:
+    """The widest reach within so many words; 0 if there is none."""
+    asked, reach = np.zeros(between.shape, np.int64), _REACH
+    while between.size and reach <= between.max():
+        asked[between >= reach] = reach
+        reach *= _WIDER
+    return asked
+
+
+def _marked(made: list, hashes: np.ndarray) -> pa.RecordBatch:
+    keys = np.concatenate([np.zeros(0, np.uint64), *(k for k, _, _ in made)]).view(np.int64)
+    lines = np.concatenate([np.zeros(0, np.int64), *(line for _, line, _ in made)])
+    sides = np.concatenate([np.zeros(0, np.int8), *(np.full(len(k), side, np.int8) for k, _, side in made)])
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(sides), pa.array(hashes[lines])], names=["key", "side", "hash"])
+
+
+def far_lines(words: DataFrame, wanted: DataFrame, p: Lines, keep: Keep = kept) -> DataFrame:
+    """hash of each long line that has an earlier long line at most two edits away.
+
+    Lines meet under keys only, the earliest of a key for all others, so no list of pairs is made."""
+    far, size = words.where("parts > 0"), p.chunk_lines
+    schema = "key long, after long, hash long, n int, at int"
+    blocks = far.mapInArrow(lambda batches: _forks(batches, size, _BLOCK), schema)
+    opened = _parting(blocks).groupBy("hash").agg(F.collect_list("at").alias("open"))
+    # The first block of each side is always looked into.
+    inside = F.concat(F.array(F.lit(0), F.lit(-1)), F.coalesce("open", F.array().cast("array<int>"))).alias("open")
+    forks = keep(far.join(opened, "hash", "left").select("hash", "words", inside), "lines-opened").mapInArrow(lambda batches: _forks(batches, size, 1), schema)
+    places = _parting(forks).groupBy("hash").agg(F.collect_list(F.struct("at", "shorter")).alias("places"))
+    placed = keep(far.join(places, "hash", "left").select("hash", "words", "parts", "places"), "lines-placed")
+    agreed = placed.mapInArrow(lambda batches: _reaches(batches, size), "key long, after long, hash long, at int, reach int")
+    shared = agreed.groupBy("key").agg(F.min("after").alias("a"), F.max("after").alias("b")).where("a <> b").select("key")
+    reaches = agreed.where("at IS NOT NULL").join(shared, "key", "left_semi").groupBy("hash").agg(F.collect_list(F.struct("at", "reach")).alias("reaches"))
+    marks = placed.join(reaches, "hash", "left").select("hash", "words", "parts", "places", "reaches")
+    marks = keep(marks.mapInArrow(lambda batches: _marks(batches, size), "key long, side byte, hash long"), "lines-marks")
     met = marks.groupBy("key").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("key")
+    at = F.struct("doc_id", "line", "hash")
     rows = keep(marks.join(met, "key", "left_semi").join(wanted.select("hash", at.alias("at")), "hash"), "lines-marked")
     first = rows.groupBy("key").agg(*[F.min(F.when(F.col("side") == i, F.col("at"))).alias(f"first{i}") for i in (LIKE, LEFT, RIGHT)])
     before = F.when(F.col("side") == LIKE, F.col(f"first{LIKE}")).when(F.col("side") == LEFT, F.col(f"first{RIGHT}")).otherwise(F.col(f"first{LEFT}"))
-    return near.union(rows.join(first, "key").where(before < F.col("at")).select("hash")).distinct()
+    return rows.join(first, "key").where(before < F.col("at")).select("hash").distinct()
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE, keep: Keep = kept) -> DataFrame:
@@ -323,12 +461,14 @@ def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE, keep: Keep
     """
     halves = firsts.select("hash", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("half")
-    met_halves = halves.join(shared, "half", "left_semi").select("hash")
+    candidates = halves.join(shared, "half", "left_semi").select("hash", F.lit(0).alias("parts"))
     if p.far_words:
         thirds = firsts.select("hash", F.explode("thirds").alias("third"))
-        met_thirds = keep(_sharing(thirds), "lines-thirds")
-        met_halves = met_halves.union(met_thirds.select("hash"))
-    wanted = keep(met_halves.distinct().join(firsts.select("hash", "doc_id", "line"), "hash"), "lines-wanted")
+        met_thirds = thirds.groupBy("third").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("third")
+        parts = F.expr("shiftleft(1, cast(third & 3 as int))").alias("parts")
+        candidates = candidates.union(thirds.join(met_thirds, "third", "left_semi").select("hash", parts))
+    candidates = candidates.groupBy("hash").agg(F.bit_or("parts").alias("parts"))
+    wanted = keep(candidates.join(firsts.select("hash", "doc_id", "line"), "hash"), "lines-wanted")
     words = keep(_candidate_words(docs, wanted, p), "lines-words")
     short = words.where(F.octet_length("words") <= 8 * p.far_words) if p.far_words else words
     variants = short.mapInArrow(_variants, "key long, gone int, hash long")
@@ -351,7 +491,7 @@ def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE, keep: Keep
             yield pa.RecordBatch.from_arrays([batch.column("hash")], names=["hash"]).filter(pa.array(good, pa.bool_()))
 
     near = earliest.join(mine, "hash").join(theirs, "other").select("hash", "mine", "theirs").mapInArrow(verify, "hash long")
-    return near.union(far_lines(met_thirds, words, wanted, p, keep)).distinct() if p.far_words else near
+    return near.union(far_lines(words, wanted, p, keep)).distinct() if p.far_words else near
 
 
 def duplicate_lines(docs: DataFrame, p: Lines = WHOLE, keep: Keep = kept) -> DataFrame:
