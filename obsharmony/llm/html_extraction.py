@@ -1,13 +1,16 @@
 """Main text of web pages by differencing against the page with the nearest URL.
 
 Pages of a host are put in the order of their URL paths; each is compared with its nearer
-neighbour in that order. Their text lines are aligned by longest common subsequence, and
-the lines both share are what the site prints on every page: they are deleted. The place
-of a line in the page settles the clear cases: lines inside <article> or <main> stay even
-if the neighbour has them too (articles quote and copy each other), lines in menus,
-footers, adverts, forms and the like go. Differencing decides on all others, in pages that
-mark no article; a neighbour that shares more than half of a page is a copy of it and says
-nothing about the site's frame.
+neighbour in that order. All text lines of both, marked ones too, are aligned by longest common
+subsequence, and the lines both share are what the site prints on every page: they are deleted.
+A neighbour that shares more than half of the page's own text is a copy of it and says nothing
+about the site's frame: behind a run of copies, the pages on either side of the run are tried. Where
+all share so much, the frame itself is that large, and the one that shares least is taken, if it
+leaves a rest.
+
+The place of a line is a check that follows: lines inside <article> or <main> come back even if the
+neighbour has them too (articles quote and copy each other), and what stands in menus, footers,
+adverts, forms and the like goes even if no neighbour has it, as does what stands beside a marked article.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import kept
-from .html_lines import ARTICLE, FRAME, lines
+from .html_lines import ARTICLE, OPEN, lines
 
 #: A neighbour that shares more than this part of the page's characters is a copy.
 COPY_SHARE = 0.5
@@ -103,52 +106,78 @@ def _keys() -> dict[str, Column]:
 
 
 def read_pages(pages: DataFrame) -> DataFrame:
-    """Every row without its html: the text of the article if the page marks one, else its lines
-    outside the frame (`open`); hash and length of each such line for the alignment."""
+    """Every row without its html: hashes of all its lines (`lines`), their lengths (`sizes`, 0 where the place
+    of the line rules it out), `marked` for a page with an article, and the lines not ruled out (`texts`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, opened, hashes, sizes = [], [], [], []
+            texts, hashes, sizes, marks = [], [], [], []
             for page in batch.column("html").to_pylist():
-                found = [x for x in lines(page) if x[1] != FRAME]
+                found = lines(page)
                 marked = any(kind == ARTICLE for _, kind in found)
-                texts.append("\n".join(t for t, kind in found if kind == ARTICLE) if marked else None)
-                opened.append(None if marked else [t for t, _ in found])
+                use = ARTICLE if marked else OPEN
+                texts.append([t for t, kind in found if kind == use])
                 hashes.append(np.array([xxhash.xxh3_64_intdigest(t.encode("utf-8", "replace")) for t, _ in found], np.uint64).tobytes())
-                sizes.append(np.array([len(t) for t, _ in found], np.int32).tobytes())
+                sizes.append(np.array([len(t) if kind == use else 0 for t, kind in found], np.int32).tobytes())
+                marks.append(marked)
             kept_columns = [batch.column(c) for c in names[:6]]
-            made = [pa.array(texts, pa.string()), pa.array(opened, pa.list_(pa.string())), pa.array(hashes, pa.binary()), pa.array(sizes, pa.binary())]
+            made = [pa.array(hashes, pa.binary()), pa.array(sizes, pa.binary()), pa.array(marks, pa.bool_()), pa.array(texts, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays([*kept_columns, *made], names=names)
 
-    names = ["page_id", "url", "__k1", "__k2", "host", "path", "text", "open", "lines", "sizes"]
+    names = ["page_id", "url", "__k1", "__k2", "host", "path", "lines", "sizes", "marked", "texts"]
     host, path = place(F.col("url"))
     rows = pages.withColumns(_keys() | {"host": host, "path": path}).select(*names[:6], "html")
     kind = pages.schema["page_id"].dataType.simpleString()
-    schema = f"page_id {kind}, url string, __k1 long, __k2 long, host string, path string, text string, open array<string>, lines binary, sizes binary"
+    schema = f"page_id {kind}, url string, __k1 long, __k2 long, host string, path string, lines binary, sizes binary, marked boolean, texts array<string>"
     return rows.mapInArrow(run, schema)
 
 
-def signatures(read: DataFrame) -> DataFrame:
-    """One row per different page that has a host: host, path, hashes of its lines outside the frame."""
-    marks = read.where(F.col("host").isNotNull()).select("__k1", "__k2", "host", "path", "lines", "sizes")
-    return marks.dropDuplicates(["__k1", "__k2"])
+#: What the alignment knows of a page.
+_MARKS = ["host", "path", "lines", "sizes"]
 
 
-def neighbours(marks: DataFrame) -> DataFrame:
-    """Each signature with those before and after it in the order of host and path.
+def _numbered(rows: DataFrame, order: list[str], number: str, name: str) -> DataFrame:
+    """Rows with their place in a global order, spread over many tasks whatever the order's values are.
 
-    The order is global, so a host with a third of all pages is spread over many tasks; the
-    place in it comes from row counts of the sorted partitions, one row each.
-    """
-    order = ["host", "path", "__k1", "__k2"]
-    ranked = kept(marks.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()), "pages")
+    The place comes from row counts of the sorted partitions, one row each."""
+    ranked = kept(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id()), name)
     part = F.shiftright("__id", 33)
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranked.groupBy(part.alias("__part")).count().select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
     at = ranked.withColumn("__part", part).join(F.broadcast(starts), "__part")
-    at = at.withColumn("g", F.col("__start") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))).drop("__part", "__start", "__id")
-    side = lambda name, step: at.select((F.col("g") + step).alias("g"), F.struct("host", "path", "lines").alias(name))
-    return at.join(side("previous", 1), "g", "left").join(side("next", -1), "g", "left").drop("g")
+    return at.withColumn(number, F.col("__start") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))).drop("__part", "__start", "__id")
+
+
+def signatures(read: DataFrame) -> DataFrame:
+    """One row per different page that has a host, with its place `g` in the order of host and path."""
+    marks = read.where(F.col("host").isNotNull()).select("__k1", "__k2", *_MARKS).dropDuplicates(["__k1", "__k2"])
+    return _numbered(marks, ["host", "path", "__k1", "__k2"], "g", "pages")
+
+
+def neighbours(marks: DataFrame) -> DataFrame:
+    """Each signature with the pages of its host just before and after it (`others`)."""
+    side = lambda name, step: marks.select((F.col("g") + step).alias("g"), F.struct(*_MARKS[:3]).alias(name))
+    near = marks.join(side("previous", 1), "g", "left").join(side("next", -1), "g", "left")
+    return near.withColumn("others", F.array("previous", "next")).drop("previous", "next")
+
+
+#: Places in the order that share one copy of the pages beside their run.
+_BLOCK = 1024
+
+
+def beside_runs(marks: DataFrame, open_pages: DataFrame) -> DataFrame:
+    """Open pages (those that both neighbours copy) with, as `others`, two pages on either side of their run.
+
+    The page beside a run is a copy itself, whose other neighbour is none; the second is that one. A run of
+    any length meets them in blocks, so that no task gets a run."""
+    rows = _numbered(open_pages.select("g", "host"), ["g"], "__rank", "pages-open")
+    key = ["host", "__run", "__block"]
+    rows = rows.withColumns({"__run": F.col("g") - F.col("__rank"), "__block": F.floor(F.col("g") / _BLOCK)}).drop("__rank")
+    blocks = rows.groupBy(*key).agg(F.min("g").alias("a"), F.max("g").alias("b"))
+    ends = blocks.groupBy(*key[:2]).agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    wanted = blocks.drop("a", "b").join(ends, key[:2]).select(*key, F.explode(F.expr("array(a - 1, a - 2, b + 1, b + 2)")).alias("g"))
+    found = wanted.join(marks.select("g", F.struct(*_MARKS[:3]).alias("other")), "g").groupBy(*key).agg(F.collect_list("other").alias("others"))
+    return marks.join(rows.drop("host"), "g").join(found, key, "left")
 
 
 def _nearness(path: str, other: str) -> int:
@@ -159,25 +188,45 @@ def _nearness(path: str, other: str) -> int:
 
 
 def shared_lines(near: DataFrame) -> DataFrame:
-    """__k1, __k2 and the places (among lines outside the frame) that the page shares with its
-    nearest neighbour that is no copy of it."""
+    """__k1, __k2, g, host, `shared`: places of the lines that a page shares with the nearest of its others
+    that is no copy of it (none without others of its host; missing if all are copies); `least`: those
+    shared with the copy that shares least, of those that leave a rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            shared = []
+            shared, least = [], []
             for row in batch.to_pylist():
                 own, sizes = np.frombuffer(row["lines"], np.uint64).tolist(), np.frombuffer(row["sizes"], np.int32)
-                found: list[int] = []
-                others = [o for o in (row["previous"], row["next"]) if o and o["host"] == row["host"]]
+                total, best = int(sizes.sum()), None
+                found: list[int] | None = []
+                others = [o for o in row["others"] or () if o and o["host"] == row["host"]]
                 for other in sorted(others, key=lambda o: -_nearness(row["path"], o["path"])):
                     found = common_lines(own, np.frombuffer(other["lines"], np.uint64).tolist())
-                    if sizes[found].sum() <= COPY_SHARE * sizes.sum():
+                    size = int(sizes[found].sum())
+                    if size <= COPY_SHARE * total:
                         break
-                    found = []
+                    if size < total and (best is None or size < best[0]):
+                        best = size, found
+                    found = None
                 shared.append(found)
-            yield pa.RecordBatch.from_arrays([batch.column("__k1"), batch.column("__k2"), pa.array(shared, pa.list_(pa.int32()))], names=["__k1", "__k2", "shared"])
+                least.append(best and best[1])
+            arrays = [batch.column(c) for c in names[:4]] + [pa.array(x, pa.list_(pa.int32())) for x in (shared, least)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    names = ["__k1", "__k2", "g", "host", "shared", "least"]
+    return near.mapInArrow(run, "__k1 long, __k2 long, g long, host string, shared array<int>, least array<int>")
+
 
-    return near.mapInArrow(run, "__k1 long, __k2 long, shared array<int>")
+def differences(marks: DataFrame) -> DataFrame:
+    """__k1, __k2, shared: places of the lines that differencing deletes from each page."""
+    first = kept(shared_lines(neighbours(marks)), "pages-first")
+    open_pages = first.where("shared IS NULL")
+    second = shared_lines(beside_runs(marks, open_pages)).select("g", F.col("shared").alias("beyond"), F.col("least").alias("least_beyond"))
+    # Without any page beside the run there is nothing beyond it.
+    beyond = F.when(F.size("beyond") > 0, F.col("beyond"))
+    smaller = F.when(F.size("least_beyond") < F.size("least"), F.col("least_beyond")).otherwise(F.coalesce("least", "least_beyond"))
+    found = F.coalesce("shared", beyond, smaller, F.array().cast("array<int>"))
+    return first.join(second, "g", "left").select("__k1", "__k2", found.alias("shared"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -188,11 +237,23 @@ def extract(pages: DataFrame) -> DataFrame:
     tag that never ends is text. Other columns of the input are not read; ties in the order of paths
     go by a hash of the whole row. An empty table gives no rows.
     """
-    read = kept(read_pages(pages.select("page_id", "url", "html")), "pages-read")
-    result = ["page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_shared"]
-    marked = read.where(F.col("text").isNotNull()).withColumn("n_shared", F.lit(0).cast("long"))
-    left = read.where(F.col("text").isNull()).join(shared_lines(neighbours(signatures(read))), ["__k1", "__k2"], "left")
-    gone = F.coalesce("shared", F.array().cast("array<int>"))
-    stay = F.filter("open", lambda line, i: ~F.array_contains(gone, i))
-    left = left.withColumns({"text": F.array_join(stay, "\n"), "n_shared": F.size(gone).cast("long")})
-    return marked.select(*result).unionByName(left.select(*result))
+    pages = pages.select("page_id", "url", "html")
+    gone = differences(signatures(read_pages(pages)))
+    # Texts are read again rather than written: they pass one shuffle and no table.
+    joined = read_pages(pages).select("page_id", "url", "__k1", "__k2", "sizes", "marked", "texts").join(gone, ["__k1", "__k2"], "left")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, counts = [], []
+            for sizes, marked, stay, shared in zip(*(batch.column(c).to_pylist() for c in ("sizes", "marked", "texts", "shared"))):
+                sizes, gone = np.frombuffer(sizes, np.int32), np.zeros(len(sizes) // 4, bool)
+                gone[shared or []] = True
+                if marked:  # the check by place: the article's own lines come back
+                    gone &= sizes == 0
+                texts.append("\n".join(t for t, out in zip(stay, gone[sizes > 0].tolist()) if not out))
+                counts.append(int(gone.sum()))
+            columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_chars", "n_shared"])
+
+    kind = pages.schema["page_id"].dataType.simpleString()
+    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long, n_shared long")

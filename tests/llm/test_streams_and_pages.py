@@ -129,3 +129,40 @@ def test_unmarked_sites_against_a_plain_differencing(spark):
             gone = set()
         r = got[f"http://site{site}.example{path}"]
         assert r.text == "\n".join(x for k, x in enumerate(own) if k not in gone) and r.n_shared == len(gone) == 3
+
+
+def _site(spark, host: str, pages: list[tuple[str, str]]) -> dict:
+    rows = [(i, f"http://{host}{path}", body) for i, (path, body) in enumerate(pages)]
+    return {r.page_id: r for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+
+
+def test_marked_pages_are_aligned_too(spark):
+    """Lines that marked pages share go by differencing; the place brings back those of the article."""
+    page = lambda i: f"<nav><ul><li>Home</li><li>Only {i}</li></ul></nav><p>Site line</p><article><p>Story {i} is this.</p><p>Quoted by all.</p></article><footer>Terms</footer>"
+    got = _site(spark, "m.example", [(f"/{i:02}", page(i)) for i in range(20)])
+    assert all(r.text == f"Story {i} is this.\nQuoted by all." and r.n_shared == 3 for i, r in got.items())
+
+
+def test_frames_go_inside_a_run_of_copies(spark):
+    body = lambda story: f"<p>Menu of the site</p><p>{story}</p><p>Imprint</p>"
+    stories = ["The first story is on its own here."] + ["A story that is printed many times over."] * 12 + ["The last story is on its own here."]
+    # Not only equal pages: every other copy has a line of its own.
+    pages = [(f"/{i:02}", body(s) + (f"<p>Seen {i}</p>" if i % 2 else "")) for i, s in enumerate(stories)]
+    for some in (pages, pages[:-1], pages[1:]):
+        got = _site(spark, "c.example", some)
+        for i, (path, _) in enumerate(some):
+            at = int(path[1:])
+            assert got[i].text == stories[at] + (f"\nSeen {at}" if at % 2 else ""), (len(some), i)
+
+
+def test_frames_of_more_than_half_a_page_go(spark):
+    long = "A menu that has more words than any story of the site " * 3
+    got = _site(spark, "s.example", [(f"/{i:02}", f"<p>{long}</p><p>Story {i}</p><p>Imprint</p>") for i in range(9)])
+    assert all(r.text == f"Story {i}" and r.n_shared == 2 for i, r in got.items())
+    alone = _site(spark, "t.example", [("/a", "<p>Same</p>"), ("/b", "<p>Same</p>")])  # copies only: no rest, nothing goes
+    assert [alone[i].text for i in range(2)] == ["Same", "Same"]
+
+
+def test_a_run_of_copies_beyond_one_block(spark, monkeypatch):
+    monkeypatch.setattr(html_extraction, "_BLOCK", 4)
+    test_frames_go_inside_a_run_of_copies(spark)
