@@ -19,21 +19,20 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import forget, kept, mixed, stored, word_hashes
+from .common import BLANKS, forget, kept, mixed, stored, word_hashes
 
 #: Writes a table and reads it back.
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
-
 @dataclass(frozen=True)
 class Lines:
     """Shorter lines than min_words always stay; one edit is allowed from near_words words on,
@@ -52,78 +51,204 @@ class Lines:
 WHOLE = Lines(min_words=1, near_words=4, far_words=20)
 
 
-def _split(text: str | None) -> list[list[bytes]]:
-    return [line.split() for line in (text or "").encode("utf-8", "replace").split(b"\n")]
+def _bytes(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.binary()).to_pylist()
+
+
+#: Base of the polynomial hash of words (odd) and its inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_UNDO = pow(_BASE, -1, 1 << 64)
+
+_BLANK = np.isin(np.arange(256), list(BLANKS.encode()))
+
+
+@lru_cache(4)
+def _first_powers(base: int) -> np.ndarray:
+    return np.concatenate([[np.uint64(1)], np.cumprod(np.full(1 << 17, base, np.uint64), dtype=np.uint64)])
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    if n <= 1 << 17:
+        return _first_powers(base)[: n + 1]
+    return np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, base, np.uint64), dtype=np.uint64)])
 
 
-def _hash(words: list[bytes], seed: int = 0) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(b" ".join(words), seed)).view(np.int64))
+class _Rolled:
+    """Hashes of any runs of the words of some lines that stand one behind the other."""
+
+    def __init__(self, words: np.ndarray, n: np.ndarray):
+        self.n = n
+        self.start = np.cumsum(n) - n
+        self.power = _powers(_BASE, len(words))
+        self.head = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(words) * _powers(_UNDO, len(words))[:-1], dtype=np.uint64)])
 
+    @classmethod
+    def of(cls, raws: list[bytes]) -> _Rolled:
+        """From lines as words of 8 bytes."""
+        return cls(np.frombuffer(b"".join(raws), np.uint64), np.array([len(raw) // 8 for raw in raws], np.int64))
+
+    def run(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (self.head[b] - self.head[a]) * self.power[b]
+
+    def without(self, line: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Hash of lines without their words at first and last (one word, if these are equal)."""
+        a, end = self.start[line], self.start[line] + self.n[line]
+        between = np.maximum(last - first - 1, 0)
+        front = self.run(a, a + first) * self.power[between] + self.run(a + first + 1, np.maximum(a + last, a + first + 1))
+        return front * self.power[self.n[line] - 1 - last] + self.run(a + last + 1, end)
 
-def _halves(words: list[bytes]) -> list[int]:
-    """Keys of which a line and each line one edit away share one.
 
-    The shorter of the two, of m words, fixes the halves: the first m // 2 words or the last
-    m - m // 2. A line of n words is met as the shorter one (m = n) and as the longer (m = n - 1)."""
-    n = len(words)
-    first = {m // 2 for m in (n, n - 1)}
-    last = {m - m // 2 for m in (n, n - 1)}
-    return [_hash(words[:k], 2 * k) for k in first] + [_hash(words[n - k :], 2 * k + 1) for k in last]
+def _key(sums: np.ndarray, kind: int, *at: np.ndarray) -> np.ndarray:
+    key = mixed(sums + np.uint64(kind))
+    for k, x in enumerate(at):
+        key = key + np.uint64(k + 3) * mixed(x.astype(np.uint64) + np.uint64(1))
+    return mixed(key)
 
 
-def _part(m: int) -> int:
+#: Eights of bytes of a word that are read in turn.
+_WIDE = 16
+
+
+class _Cut:
+    """Lines and words of some texts, found at once: per line the text it is of, its number there, its words."""
+
+    def __init__(self, texts: list[bytes]):
+        self.whole = whole = b"\n".join(texts) + b"\n"
+        self.bytes = np.frombuffer(whole, np.uint8)
+        blank = _BLANK[self.bytes]
+        edges = np.flatnonzero(np.diff(blank, prepend=True))
+        self.starts, self.ends = edges[::2], edges[1::2]
+        ends = np.flatnonzero(self.bytes == 10)
+        upto = np.searchsorted(self.starts, ends)
+        self.n = np.diff(upto, prepend=0)
+        self.first = upto - self.n
+        counts = np.array([text.count(b"\n") + 1 for text in texts], np.int64)
+        self.text = np.repeat(np.arange(len(texts)), counts)
+        self.number = np.arange(len(ends)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.other = np.flatnonzero(blank & (self.bytes != 32) & (self.bytes != 10))
+
+    def lines(self, at: np.ndarray) -> list[bytes]:
+        """Lines (with a word) with one space between words."""
+        a, b = self.starts[self.first[at]], self.ends[self.first[at] + self.n[at] - 1]
+        letters = np.concatenate([[0], np.cumsum(self.ends - self.starts)])
+        plain = b - a - (letters[self.first[at] + self.n[at]] - letters[self.first[at]]) == self.n[at] - 1
+        plain &= np.searchsorted(self.other, a) == np.searchsorted(self.other, b)
+        whole = self.whole
+        return [whole[i:j] if same else b" ".join(whole[i:j].split()) for i, j, same in zip(a.tolist(), b.tolist(), plain.tolist())]
+
+    def rolled(self) -> _Rolled:
+        """Hashes of the words by eight bytes at a time; those of very long words by themselves."""
+        wide = np.ndarray(len(self.whole), "<u8", self.whole + bytes(8), strides=(1,))
+        left, at = self.ends - self.starts, self.starts
+        sums, use = left.astype(np.uint64), np.arange(len(left))
+        for _ in range(_WIDE):
+            part = wide[at] << (8 * np.maximum(0, 8 - left)).astype(np.uint64)
+            sums[use] = mixed(sums[use] * np.uint64(_BASE) + part)
+            more = np.flatnonzero(left > 8)
+            left, at, use = left[more] - 8, at[more] + 8, use[more]
+            if not len(use):
+                break
+        if len(use):
+            sums[use] = word_hashes([self.whole[i:j] for i, j in zip(self.starts[use].tolist(), self.ends[use].tolist())])
+        return _Rolled(sums, self.n)
+
+
+def _line_hashes(lines: list[bytes]) -> np.ndarray:
+    return word_hashes(lines).view(np.int64)
+
+
+#: Texts that a task holds beside those that Spark hands it, and bytes of them that are cut at once (one text may be larger).
+_TEXTS = 500
+_CUT = 1 << 18
+
+
+def _cuts(texts: list[bytes | None]) -> Iterator[tuple[int, _Cut]]:
+    """Texts in stretches, each with the place of its first text."""
+    first, held, size = 0, [], 0
+    for i, text in enumerate(texts):
+        held.append(text or b"")
+        size += len(held[-1]) + 1
+        if size >= _CUT:
+            yield first, _Cut(held)
+            first, held, size = i + 1, [], 0
+    if held:
+        yield first, _Cut(held)
+
+
+def _part(m: np.ndarray) -> np.ndarray:
     """Length of a part of a line of m words: a third, rounded down to two leading bits, so that
     lines that differ by a word or two mostly have parts of one length."""
     third = m // 3
-    return third >> max(0, third.bit_length() - 2) << max(0, third.bit_length() - 2)
+    low = np.maximum(0, np.frexp(third.astype(np.float64))[1] - 2)
+    return third >> low << low
+
+
+#: What a key is of: parts of a long line, or a half of a line.
+FIRST, LAST, MIDDLE, HALF = 0, 1, 2, 3
+
+
+def _sort_of(key: str) -> str:
+    return f"cast({key} & 3 as int)"
 
 
-#: Parts of a long line.
-FIRST, LAST, MIDDLE = 0, 1, 2
+def _near_keys(rolled: _Rolled, line: np.ndarray, p: Lines) -> tuple[np.ndarray, np.ndarray]:
+    """Lines (places in `line`) and keys of which a line and each line that may be near share one.
 
+    The two lowest bits of a key say what it is of. One edit leaves a half: the shorter of two lines, of m words,
+    fixes the halves, the first m // 2 words or the last m - m // 2; a line of n words is met as the shorter one
+    (m = n) and as the longer (m = n - 1). Two edits leave a part: the shorter line fixes three parts of _part(m)
+    words, the first, the one behind it and the last. If edits reach both the first and the last part, each has
+    one, so the part between is as it was, moved by one word at most; else the first or the last part is."""
+    n, a = rolled.n[line], rolled.start[line]
+    made: list[tuple[np.ndarray, np.ndarray]] = []
 
-def _thirds(words: list[bytes]) -> list[int]:
-    """Keys of which a line and each line two edits away share one.
+    def add(use: np.ndarray, at: np.ndarray, long: np.ndarray, sort: int, kind: int) -> None:
+        use = np.flatnonzero(use)
+        begin = a[use] + at[use]
+        key = _key(rolled.run(begin, begin + long[use]), 16 + kind, long[use])
+        made.append((use, key & ~np.uint64(3) | np.uint64(sort)))
 
-    The shorter of the two, of m words, fixes three parts of _part(m) words: the first, the one behind
-    it and the last. If edits reach both the first and the last part, each has one, so the part between
-    is as it was, moved by one word at most; else the first or the last part is. The two lowest bits
-    of a key say which part it is of."""
-    n, whole, found = len(words), b" ".join(words), set()
-    at = [0, *accumulate(len(w) + 1 for w in words)]
-    digest = xxhash.xxh3_64_intdigest
-    for a in {_part(m) for m in (n, n - 1, n - 2)}:
-        found.add(digest(whole[: at[a] - 1], 4 * a + FIRST) & ~3 | FIRST)
-        found.add(digest(whole[at[n - a] :], 4 * a + LAST) & ~3 | LAST)
-        for k in (a - 1, a, a + 1):
-            found.add(digest(whole[at[k] : at[k + a] - 1], 4 * a + MIDDLE) & ~3 | MIDDLE)
-    return [x - (1 << 64) if x >> 63 else x for x in found]
+    short = (n >= p.near_words) & (n <= (p.far_words or n))
+    for m, use_first, use_last in ((n, short, short), (n - 1, short & (n % 2 == 0), short & (n % 2 == 1))):
+        add(use_first, np.zeros_like(n), m // 2, HALF, 0)
+        add(use_last, n - (m - m // 2), m - m // 2, HALF, 1)
+    if p.far_words:
+        seen: list[np.ndarray] = []
+        for m in (n, n - 1, n - 2):
+            size, use = _part(m), n >= p.far_words
+            for other in seen:
+                use = use & (size != other)
+            seen.append(size)
+            add(use, np.zeros_like(n), size, FIRST, 2)
+            add(use, n - size, size, LAST, 3)
+            for step in (-1, 0, 1):
+                add(use, size + step, size, MIDDLE, 4)
+    places, keys = (np.concatenate(x) for x in zip(*made))
+    order = np.lexsort((keys, places))
+    places, keys = places[order], keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (places[1:] != places[:-1]) | (keys[1:] != keys[:-1])
+    return places[new], keys[new]
 
 
 def occurrences(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
-    """doc_id, line, hash, halves and thirds of every line that may be a duplicate; rows without id take no part."""
+    """doc_id, line, hash and keys (8 bytes each) of every line that may be a duplicate; rows without id take no part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, numbers, hashes, halves, thirds = [], [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for i, words in enumerate(_split(text)):
-                    if len(words) >= p.min_words:
-                        ids.append(doc_id)
-                        numbers.append(i)
-                        hashes.append(_hash(words))
-                        halves.append(_halves(words) if p.near_words <= len(words) <= (p.far_words or len(words)) else [])
-                        thirds.append(_thirds(words) if p.far_words and len(words) >= p.far_words else [])
-            kind = batch.schema.field("doc_id").type
-            keys = [pa.array(x, pa.list_(pa.int64())) for x in (halves, thirds)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, kind), pa.array(numbers, pa.int32()), pa.array(hashes, pa.int64()), *keys],
-                names=["doc_id", "line", "hash", "halves", "thirds"],
-            )
+        for batch in _chunks(batches, _TEXTS):
+            for first, cut in _cuts(_bytes(batch.column("text"))):
+                line = np.flatnonzero(cut.n >= p.min_words)
+                places, keys = _near_keys(cut.rolled(), line, p)
+                ends = (8 * np.searchsorted(places, np.arange(len(line) + 1))).astype(np.int32)
+                arrays = [
+                    batch.column("doc_id").take(pa.array(first + cut.text[line])), pa.array(cut.number[line].astype(np.int32)),
+                    pa.array(_line_hashes(cut.lines(line))), pa.Array.from_buffers(pa.binary(), len(line), [None, pa.py_buffer(ends), pa.py_buffer(keys)]),
+                ]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "line", "hash", "keys"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    return rows.mapInArrow(run, f"doc_id {kind}, line int, hash long, halves array<long>, thirds array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, line int, hash long, keys binary")
 
 
 def _maybe(ids: DataFrame, place: str, bits: int) -> bytes:
@@ -138,6 +263,32 @@ def _maybe(ids: DataFrame, place: str, bits: int) -> bytes:
     return bytes(out)
 
 
+def _keys(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a column of these, and the row of each."""
+    sizes = np.asarray(pc.binary_length(column)) // 8
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64), np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(_keys(batch.column("keys"))[0])], names=["key"])
+
+
+def _maybe_shared(firsts: DataFrame, shared: DataFrame, p: Lines) -> DataFrame:
+    """hash and key of lines, without most of the keys that are not shared, so that few keys are shuffled for the join."""
+    bitmap = _maybe(shared, "shiftright(key, 2)", p.filter_bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(bitmap, np.uint8)
+        for batch in batches:
+            keys, line = _keys(batch.column("keys"))
+            at = (keys >> 2) % p.filter_bits
+            use = np.flatnonzero(known[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            yield pa.RecordBatch.from_arrays([batch.column("hash").take(pa.array(line[use])), pa.array(keys[use])], names=["hash", "key"])
+
+    return firsts.select("hash", "keys").mapInArrow(run, "hash long, key long")
+
+
 def _candidate_words(docs: DataFrame, wanted: DataFrame, p: Lines) -> DataFrame:
     """hash, words (hashed) and parts of each wanted line.
 
@@ -148,17 +299,17 @@ def _candidate_words(docs: DataFrame, wanted: DataFrame, p: Lines) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         in_docs, in_lines = np.frombuffer(of_docs, np.uint8), np.frombuffer(of_lines, np.uint8)
-        for batch in batches:
+        for batch in _chunks(batches, _TEXTS):
             at = batch.column("__at").to_numpy()
             hashes, words = [], []
-            for text in batch.column("text").filter(pa.array(in_docs[at >> 3] >> (at & 7) & 1, pa.uint8()).cast(pa.bool_())).to_pylist():
-                for own in _split(text):
-                    if len(own) >= p.near_words:
-                        found = _hash(own)
-                        at = found % p.filter_bits
-                        if in_lines[at >> 3] >> (at & 7) & 1:
-                            hashes.append(found)
-                            words.append(word_hashes(own).tobytes())
+            texts = batch.column("text").filter(pa.array(in_docs[at >> 3] >> (at & 7) & 1, pa.uint8()).cast(pa.bool_()))
+            for _, cut in _cuts(_bytes(texts)):
+                own = cut.lines(np.flatnonzero(cut.n >= p.near_words))
+                found = _line_hashes(own)
+                at = found % p.filter_bits
+                for i in np.flatnonzero(in_lines[at >> 3] >> (at & 7).astype(np.uint8) & 1).tolist():
+                    hashes.append(found[i])
+                    words.append(word_hashes(own[i].split(b" ")).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(words, pa.binary())], names=["hash", "words"])
 
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
@@ -168,19 +319,15 @@ def _candidate_words(docs: DataFrame, wanted: DataFrame, p: Lines) -> DataFrame:
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keys of each line and of it without each one of its words; `gone` is that word's place, -1 for none."""
-    for batch in batches:
-        for i in range(0, batch.num_rows, 2000):
-            keys, gone, hashes = [], [], []
-            part = batch.slice(i, 2000)
-            for line, raw in zip(part.column("hash").to_pylist(), part.column("words").to_pylist()):
-                n = len(raw) // 8
-                own = [raw] + [raw[: 8 * k] + raw[8 * k + 8 :] for k in range(n)]
-                keys += map(xxhash.xxh3_64_intdigest, own)
-                gone += range(-1, n)
-                hashes += [line] * (n + 1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(gone, pa.int32()), pa.array(hashes, pa.int64())], names=["key", "gone", "hash"]
-            )
+    for batch in _chunks(batches, 2000):
+        rolled = _Rolled.of(batch.column("words").to_pylist())
+        n = rolled.n
+        line = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(line)) - rolled.start[line]
+        sums = np.concatenate([rolled.run(rolled.start, rolled.start + n), rolled.without(line, at, at)])
+        gone = np.concatenate([np.full(len(n), -1), at]).astype(np.int32)
+        hashes = np.asarray(batch.column("hash"))[np.concatenate([np.arange(len(n)), line])]
+        yield pa.RecordBatch.from_arrays([pa.array(_key(sums, 7).view(np.int64)), pa.array(gone), pa.array(hashes)], names=["key", "gone", "hash"])
 
 
 def one_edit(a: bytes, b: bytes) -> bool:
@@ -208,43 +355,10 @@ def within(x: np.ndarray, y: np.ndarray, edits: int) -> bool:
     return edits > 0 and (within(x[1:], y[1:], edits - 1) or within(x[1:], y, edits - 1) or within(x, y[1:], edits - 1))
 
 
-#: Base of the polynomial hash of words (odd) and its inverse modulo 2^64.
-_BASE = 0x9E3779B97F4A7C15
-_UNDO = pow(_BASE, -1, 1 << 64)
-
 #: Words of a block: where lines part is looked for by blocks first, then by words in blocks that hold such a place.
 _BLOCK = 8
 
 
-class _Rolled:
-    """Hashes of any runs of the words of some lines that stand one behind the other."""
-
-    def __init__(self, raws: list[bytes]):
-        own = np.frombuffer(b"".join(raws), np.uint64)
-        powers = lambda x: np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(own), x, np.uint64), dtype=np.uint64)])
-        self.n = np.array([len(raw) // 8 for raw in raws], np.int64)
-        self.start = np.cumsum(self.n) - self.n
-        self.power = powers(_BASE)
-        self.head = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(own) * powers(_UNDO)[:-1], dtype=np.uint64)])
-
-    def run(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (self.head[b] - self.head[a]) * self.power[b]
-
-    def without(self, line: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Hash of lines without their words at first and last (one word, if these are equal)."""
-        a, end = self.start[line], self.start[line] + self.n[line]
-        between = np.maximum(last - first - 1, 0)
-        front = self.run(a, a + first) * self.power[between] + self.run(a + first + 1, np.maximum(a + last, a + first + 1))
-        return front * self.power[self.n[line] - 1 - last] + self.run(a + last + 1, end)
-
-
-def _key(sums: np.ndarray, kind: int, *at: np.ndarray) -> np.ndarray:
-    key = mixed(sums + np.uint64(kind))
-    for k, x in enumerate(at):
-        key = key + np.uint64(k + 3) * mixed(x.astype(np.uint64) + np.uint64(1))
-    return mixed(key)
-
-
 def _chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(0, batch.num_rows, size):
@@ -257,7 +371,7 @@ def _forks(batches: Iterator[pa.RecordBatch], size: int, step: int) -> Iterator[
     `at` is the length of a beginning, or -1 - the length of an end. Of single words (step 1) only those in the
     blocks of `open`. The empty ones are left out: there all lines part."""
     for batch in _chunks(batches, size):
-        rolled = _Rolled(batch.column("words").to_pylist())
+        rolled = _Rolled.of(batch.column("words").to_pylist())
         n, made = rolled.n, []
         if step > 1:
             counts = n // step + 1
@@ -300,7 +414,7 @@ def _reaches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
     `after` is the word at the place. A line that lacks such a word has the words from the place on instead, 0
     and no `at`. Where a key comes with several of these, lines part at the place and then agree for so long."""
     for batch in _chunks(batches, size):
-        rolled, made = _Rolled(batch.column("words").to_pylist()), []
+        rolled, made = _Rolled.of(batch.column("words").to_pylist()), []
         places = batch.column("places").to_pylist()
         counts = [len(x or ()) + 2 for x in places]
         line = np.repeat(np.arange(len(places)), counts)
@@ -346,10 +460,10 @@ def _marks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
     from the end; of two places, only those that leave one of the line's shared parts as it was, and of which
     either agrees with another line on the words towards the other (`reaches`), half of these at least."""
     for batch in _chunks(batches, size):
-        rolled, hashes = _Rolled(batch.column("words").to_pylist()), np.asarray(batch.column("hash"))
+        rolled, hashes = _Rolled.of(batch.column("words").to_pylist()), np.asarray(batch.column("hash"))
         whole = rolled.run(rolled.start, rolled.start + rolled.n)
         yield _marked([(_key(whole, 1), np.arange(len(hashes)), LEFT)], hashes)
-        ones, nears, pairs, held = [], [], [], 0
+        ones, nears, few, pairs, held = [], [], [], [], 0
         columns = (batch.column(c).to_pylist() for c in ("parts", "places", "reaches"))
         for i, (n, parts, places, reaches) in enumerate(zip(rolled.n.tolist(), *columns)):
             # With the place whether a shorter line parts there.
@@ -365,10 +479,19 @@ def _marks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
             one = front.keys() | back.keys()
             ones += [(i, at) for at in one]
             nears += [(i, f) for f, shorter in front.items() if shorter and f + 1 < n]
+            sizes = _parts_near(n)
+            least, most = min(sizes), max(sizes)
+            if len(front) * len(back) <= _FEW:
+                for f, first_meets in front.items():
+                    here = reached.get(f, 0)
+                    for e, last_meets in back.items():
+                        if e > f and (asked := _asked_of(e - f - 2)) <= here and asked <= reached.get(e - n, 0):
+                            if (parts >> FIRST & 1 and f >= least) or (parts >> LAST & 1 and e < n - least) or (parts >> MIDDLE & 1 and f < most and e >= n - most):
+                                few.append((i, f, e, first_meets and last_meets))
+                continue
             first, last = np.array(list(front)), np.array(list(back))
             first_meets, last_meets = np.array(list(front.values())), np.array(list(back.values()))
             first_reach, last_reach = np.array([reached.get(f, 0) for f in front]), np.array([reached.get(e - n, 0) for e in back])
-            least, most = (f(_part(m) for m in (n, n - 1, n - 2)) for f in (min, max))
             rows = max(1, _HELD // len(last))
             for k in range(0, len(first), rows):  # so that a long line needs no square of memory
                 f, e = first[k : k + rows, None], last[None, :]
@@ -387,11 +510,18 @@ def _marks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBa
                 if held > _HELD:
                     yield _marked(_left_out(rolled, ones, nears, pairs), hashes)
                     ones, nears, pairs, held = [], [], [], 0
+        line, first, last, met = np.array(few, np.int64).reshape(-1, 4).T
+        pairs.append((line, first, last, met.astype(bool)))
         yield _marked(_left_out(rolled, ones, nears, pairs), hashes)
 
 
-#: Pairs of places whose keys are made at once.
-_HELD = 100_000
+#: Pairs of places whose keys are made at once, and pairs of a line that are gone through one by one.
+_HELD, _FEW = 100_000, 64
+
+
+@lru_cache(10_000)
+def _parts_near(n: int) -> tuple[int, ...]:
+    return tuple(_part(np.array([n, n - 1, n - 2])).tolist())
 
 
 def _left_out(rolled: _Rolled, ones: list, nears: list, pairs: list) -> list:
@@ -410,6 +540,11 @@ def _left_out(rolled: _Rolled, ones: list, nears: list, pairs: list) -> list:
     return made
 
 
+@lru_cache(10_000)
+def _asked_of(between: int) -> int:
+    return int(_asked(np.array([between]))[0])
+
+
 def _asked(between: np.ndarray) -> np.ndarray:
     """The widest reach within so many words; 0 if there is none."""
     asked, reach = np.zeros(between.shape, np.int64), _REACH
@@ -459,15 +594,10 @@ def near_lines(docs: DataFrame, firsts: DataFrame, p: Lines = WHOLE, keep: Keep
     another without one word: per key, the earliest of each sort is the partner of all others, so
     no list of pairs inside a key is made.
     """
-    halves = firsts.select("hash", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("half")
-    candidates = halves.join(shared, "half", "left_semi").select("hash", F.lit(0).alias("parts"))
-    if p.far_words:
-        thirds = firsts.select("hash", F.explode("thirds").alias("third"))
-        met_thirds = thirds.groupBy("third").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b").select("third")
-        parts = F.expr("shiftleft(1, cast(third & 3 as int))").alias("parts")
-        candidates = candidates.union(thirds.join(met_thirds, "third", "left_semi").select("hash", parts))
-    candidates = candidates.groupBy("hash").agg(F.bit_or("parts").alias("parts"))
+    # A line's keys and the lines are distinct, so a key that comes twice is of two lines.
+    shared = keep(firsts.select("keys").mapInArrow(_all_keys, "key long").groupBy("key").count().where("count > 1").select("key"), "lines-shared")
+    parts = F.expr(f"CASE WHEN {_sort_of('key')} = {HALF} THEN 0 ELSE shiftleft(1, {_sort_of('key')}) END")
+    candidates = _maybe_shared(firsts, shared, p).join(shared, "key", "left_semi").groupBy("hash").agg(F.bit_or(parts).alias("parts"))
     wanted = keep(candidates.join(firsts.select("hash", "doc_id", "line"), "hash"), "lines-wanted")
     words = keep(_candidate_words(docs, wanted, p), "lines-words")
     short = words.where(F.octet_length("words") <= 8 * p.far_words) if p.far_words else words
@@ -501,8 +631,8 @@ def duplicate_lines(docs: DataFrame, p: Lines = WHOLE, keep: Keep = kept) -> Dat
     one doc_id count as one document, so none of them loses a line to another.
     """
     seen = keep(occurrences(docs, p), "lines")
-    firsts = seen.groupBy("hash").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.min("halves").alias("halves"), F.min("thirds").alias("thirds"))
-    firsts = keep(firsts.select("hash", "at.doc_id", "at.line", "halves", "thirds"), "lines-first")
+    firsts = seen.groupBy("hash").agg(F.min(F.struct("doc_id", "line", "keys")).alias("at"))
+    firsts = keep(firsts.select("hash", "at.doc_id", "at.line", "at.keys"), "lines-first")
     near = near_lines(docs, firsts, p, keep)
     stays = firsts.join(near, "hash", "left_anti").select("hash", F.col("doc_id").alias("d"), F.col("line").alias("l"))
     # Occurrences that stay are few to a hash (one place); all others go.
@@ -526,19 +656,54 @@ def dedup(docs: DataFrame, p: Lines = WHOLE) -> DataFrame:
     gone = kept(duplicate_lines(docs, p, keep), "lines-gone")
     for path in paths:
         forget(docs.sparkSession, path)
+    return _taken_out(docs.drop("n_removed"), gone, p)
+
+
+#: Texts cross the shuffle in this form.
+_PACK = ("zstd", 1)
+
+
+def _taken_out(rows: DataFrame, gone: DataFrame, p: Lines) -> DataFrame:
+    """Rows without their gone lines. Those that a bitmap shows to lose none pass by; the others are joined, texts compressed."""
+    bitmap = _maybe(gone, "xxhash64(doc_id)", p.filter_bits)
     gone = gone.withColumnsRenamed({"doc_id": "__doc", "lines": "__gone"})
-    rows = docs.drop("n_removed")
-    joined = rows.join(gone, rows.doc_id == gone["__doc"], "left").drop("__doc")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields) + ", n_removed long"
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    ddl = lambda types: ", ".join(f"`{name}` {kind}" for name, kind in types.items())
+
+    def chosen(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
+        known = np.frombuffer(bitmap, np.uint8)
+        for batch in _chunks(batches, _TEXTS):
+            at = batch.column("__at").to_numpy()
+            yield batch.filter(pa.array((known[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) == wanted))
+
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chosen(batches, False):
+            arrays = [batch.column(n) for n in fields]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(np.zeros(batch.num_rows, np.int64))], names=[*fields, "n_removed"])
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec(_PACK[0], compression_level=_PACK[1])
+        for batch in chosen(batches, True):
+            raws = _bytes(batch.column("text"))
+            texts = pa.array([raw and codec.compress(raw, asbytes=True) for raw in raws], pa.binary())
+            sizes = pa.array([raw and len(raw) for raw in raws], pa.int64())
+            arrays = [texts if n == "text" else batch.column(n) for n in fields]
+            yield pa.RecordBatch.from_arrays([*arrays, sizes], names=[*fields, "__size"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        codec = pa.Codec(_PACK[0])
+        for batch in _chunks(batches, _TEXTS):
             texts, counts = [], []
-            for text, lines in zip(batch.column("text").to_pylist(), batch.column("__gone").to_pylist()):
+            for raw, size, lines in zip(*(batch.column(c).to_pylist() for c in ("text", "__size", "__gone"))):
+                text = codec.decompress(raw, size, asbytes=True) if raw else raw
                 out = set(lines or ()) if text is not None else set()
-                texts.append("\n".join(x for i, x in enumerate(text.split("\n")) if i not in out) if out else text)
+                texts.append(b"\n".join(x for i, x in enumerate(text.split(b"\n")) if i not in out) if out else text)
                 counts.append(len(out))
-            arrays = [pa.array(texts, pa.string()) if n == "text" else batch.column(n) for n in batch.schema.names if n != "__gone"]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64())], names=[*(n for n in batch.schema.names if n != "__gone"), "n_removed"])
-
-    return joined.mapInArrow(run, schema)
+            arrays = [pa.array(texts, pa.binary()).cast(pa.string()) if n == "text" else batch.column(n) for n in fields]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64())], names=[*fields, "n_removed"])
+
+    marked = rows.withColumn("__at", F.expr(f"pmod(xxhash64(doc_id), {p.filter_bits})"))
+    result = ddl(fields | {"n_removed": "long"})
+    may = marked.mapInArrow(packed, ddl(fields | {"text": "binary", "__size": "long"}))
+    joined = may.join(gone, may.doc_id == gone["__doc"], "left").drop("__doc")
+    return marked.mapInArrow(untouched, result).union(joined.mapInArrow(run, result))
