@@ -1,36 +1,42 @@
 """Nearest neighbours by vantage-point trees, one tree per shard of the vectors.
 
-Every vector is in one shard's tree. Queries go through in blocks: each block meets each
-tree once, and each tree's nearest are merged per query. The triangle inequality prunes a
-subtree that lies further away than `factor` times the radius found so far; factor one is
-exact search, smaller ones prune more.
+Every vector is in one shard's tree. A shard is one task: its vectors come first and become
+its tree, then all queries stream past it in blocks; each tree's nearest are merged per query.
+The triangle inequality prunes a subtree that lies further away than `factor` times the radius
+found so far; factor one is exact search, smaller ones prune more.
 """
 
 from __future__ import annotations
 
 import math
-import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
-from typing import Any
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept
-
 
 @dataclass(frozen=True)
 class Trees:
-    """Vectors per shard and per leaf, queries per block, and the factor of the pruning radius."""
+    """Vectors per shard and per leaf, queries per block, and the factor of the pruning radius.
+
+    Every query goes to every shard. So that its copies stay few, shards beyond `spread` are not
+    added: they grow, up to `numbers` vector components each, and only then become more.
+    """
 
     shard_rows: int = 8192
     leaf: int = 64
-    block: int = 512
+    block: int = 2048
     factor: float = 0.9
     seed: int = 5
+    spread: int = 64
+    numbers: int = 1 << 22
+
+    def shards(self, rows: int, length: int) -> int:
+        largest = max(self.shard_rows, self.numbers // max(1, length))
+        return max(math.ceil(rows / largest), min(math.ceil(rows / self.shard_rows), self.spread))
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -38,7 +44,7 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -
     v = F.col(vector)
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     good = F.coalesce(F.forall(v, finite) & F.exists(v, lambda x: x != 0), F.lit(False))
-    return vectors.where(F.col(key).isNotNull() & good).select(F.col(key).alias("id"), v.cast("array<double>").alias("v"))
+    return vectors.where(F.col(key).isNotNull() & good).select(F.col(key).cast("long").alias("id"), v.alias("v"))
 
 
 def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -51,6 +57,16 @@ def distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def pair_distances(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Euclidean distances of rows i of q to rows j of x, pair by pair, from the differences."""
+    out = np.empty(len(i))
+    step = max(1, (1 << 20) // max(1, x.shape[1]))
+    for at in range(0, len(i), step):
+        d = q[i[at : at + step]] - x[j[at : at + step]]
+        out[at : at + step] = np.sqrt(np.einsum("ij,ij->i", d, d))
+    return out
+
+
 class Tree:
     """Vantage-point tree over rows `x` with ids; nodes split at the median distance."""
 
@@ -76,47 +92,55 @@ class Tree:
 
 
 def search_tree(tree_ids: np.ndarray, x: np.ndarray, root, q: np.ndarray, own: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (-1: none) and distances of the k nearest found for each query, without its own row."""
+    """Ids (-1: none) and distances of the k nearest found for each query, without its own row.
+
+    Every query first goes down to the leaf of its place, which gives it a radius; then all queries
+    pass the tree together, so that a node is met once by those that it may hold something for.
+    """
     n = len(q)
     found_d, found_id = np.full((n, k), np.inf), np.full((n, k), np.iinfo(np.int64).max)
-
-    def visit(node, who: np.ndarray) -> None:
+    home = np.empty(n, np.int64)
+    qq, xx = np.einsum("ij,ij->i", q, q), np.einsum("ij,ij->i", x, x)
+    rounding = 8 * (x.shape[1] + 8) * np.finfo(float).eps
+
+    def measure(rows: np.ndarray, who: np.ndarray) -> None:
+        # Products tell, but for rounding, who can have a nearer row here; those pairs are measured from the differences.
+        size = qq[who, None] + xx[rows]
+        with np.errstate(over="ignore", invalid="ignore"):  # beyond the range of squares every pair is measured
+            low = size * (1 - rounding) - 2 * (q[who] @ x[rows].T)
+            far = (low > found_d[who, k - 1, None] ** 2) & (low < np.inf)
+        i, j = np.nonzero(~far & (tree_ids[rows] != own[who, None]))
+        if not len(i):
+            return
+        d = np.full(far.shape, np.inf)
+        d[i, j] = pair_distances(q, x, who[i], rows[j])
+        some = np.unique(i)
+        who, d = who[some], d[some]
+        ids = np.broadcast_to(tree_ids[rows], d.shape)
+        d, ids = np.concatenate([found_d[who], d], 1), np.concatenate([found_id[who], ids], 1)
+        best = np.lexsort((ids, d), axis=1)[:, :k]
+        found_d[who], found_id[who] = np.take_along_axis(d, best, 1), np.take_along_axis(ids, best, 1)
+
+    def visit(node, who: np.ndarray, first: bool) -> None:
         if not len(who):
             return
         if isinstance(node, np.ndarray):
-            d = distances(q[who], x[node])
-            ids = np.broadcast_to(tree_ids[node], d.shape)
-            d = np.where(ids == own[who, None], np.inf, d)
-            d, ids = np.concatenate([found_d[who], d], 1), np.concatenate([found_id[who], ids], 1)
-            best = np.lexsort((ids, d), axis=1)[:, :k]
-            found_d[who], found_id[who] = np.take_along_axis(d, best, 1), np.take_along_axis(ids, best, 1)
+            if first:
+                home[who] = node[0]
+            else:
+                who = who[home[who] != node[0]]
+            if len(who):
+                measure(node, who)
             return
         point, most, least, inner, outer = node
         d = distances(q[who], x[[point]])[:, 0]
         near = d <= (most + least) / 2
-        for first in (True, False):  # the nearer side first, then the other where it may hold more
-            for node, side, gap in ((inner, near, d - most), (outer, ~near, least - d)):
-                if first:
-                    visit(node, who[side])
-                else:
-                    visit(node, who[~side & (gap <= factor * found_d[who, k - 1])])
-
-    visit(root, np.arange(n))
-    return np.where(np.isinf(found_d), -1, found_id), found_d
+        for side, here, gap in ((inner, near, d - most), (outer, ~near, least - d)):
+            visit(side, who[here | (gap <= factor * found_d[who, k - 1])] if not first else who[here], first)
 
-
-def build_trees(rows: DataFrame, p: Trees = Trees()) -> DataFrame:
-    """One row per shard: its number and its pickled tree, written to the shared folder."""
-    n = rows.count()
-    shards = max(1, math.ceil(n / p.shard_rows))
-    placed = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(p.seed), "id", "v"), F.lit(shards)).cast("int"))
-
-    def build(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf["v"].tolist(), float).reshape(len(pdf), -1)
-        tree = Tree(pdf["id"].to_numpy(np.int64), x, p.leaf, p.seed)
-        return pd.DataFrame({"shard": [key[0]], "tree": [pickle.dumps((tree.ids, tree.x, tree.root))]})
-
-    return kept(placed.groupBy("shard").applyInPandas(build, "shard int, tree binary"), "trees")
+    for first in (True, False):
+        visit(root, np.arange(n), first)
+    return np.where(np.isinf(found_d), -1, found_id), found_d
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, p: Trees = Trees(), key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -127,27 +151,40 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, p: Trees = Tree
     a repeated query is answered once. Empty tables give no rows.
     """
     rows, asked = usable(vectors, key, vector), usable(queries, key, vector).dropDuplicates(["id"])
-    trees = build_trees(rows, p)
-    shards = trees.agg(F.max("shard")).first()[0]
-    if shards is None:
+    seen = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("length")).first()
+    if not seen.n:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size = max(1, math.ceil(asked.count() / p.block))
-    # A block of queries is one row: their ids and vectors. It meets every shard's tree by an equi-join.
-    blocks = (
-        asked.groupBy(F.pmod(F.xxhash64("id"), F.lit(size)).alias("block"))
-        .agg(F.collect_list(F.struct("id", "v")).alias("asked"))
-        .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards))))
-    )
-
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for tree, asked in zip(frame["tree"], frame["asked"]):
-                ids = np.array([a["id"] for a in asked], np.int64)
-                q = np.array([a["v"] for a in asked], float)
-                found, d = search_tree(*pickle.loads(tree), q, ids, k, p.factor)
-                yield pd.DataFrame({"query_id": np.repeat(ids, k), "vec_id": found.ravel(), "score": d.ravel()})
-
-    met = blocks.join(trees, "shard").repartition("shard", "block").select("tree", "asked")
-    pairs = met.mapInPandas(search, "query_id long, vec_id long, score double").where(F.col("score") < float("inf"))
+    shards = p.shards(seen.n, seen.length)
+    placed = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(p.seed), "id", "v"), F.lit(shards)).cast("int"))
+    # The queries of a shard come behind its vectors, one row each: a join could hand all of them, times the shards, to the driver.
+    copies = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    met = placed.withColumn("asks", F.lit(False)).unionByName(copies.withColumn("asks", F.lit(True)))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, held, tree = None, [], None
+        for batch in batches:
+            numbers, asks = batch["shard"].to_numpy(), batch["asks"].to_numpy(zero_copy_only=False)
+            ids, x = batch["id"].to_numpy(), batch["v"].flatten().to_numpy().astype(float).reshape(batch.num_rows, -1)
+            # Rows come by shard, vectors before queries: cut where either changes, and in blocks.
+            ends = np.flatnonzero((numbers[1:] != numbers[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for a, z in zip([0, *ends], [*ends, batch.num_rows]):
+                if numbers[a] != shard:
+                    shard, held, tree = numbers[a], [], None
+                if not asks[a]:
+                    held.append((ids[a:z], x[a:z]))
+                    continue
+                if tree is None and held:
+                    tree = Tree(*(np.concatenate(part) for part in zip(*held)), p.leaf, p.seed)
+                    held = []
+                for b in range(a, z if tree else a, p.block):
+                    own = ids[b : min(b + p.block, z)]
+                    found, d = search_tree(tree.ids, tree.x, tree.root, x[b : b + len(own)], own, k, p.factor)
+                    there = (d < np.inf).ravel()
+                    columns = (np.repeat(own, k)[there], found.ravel()[there], d.ravel()[there])
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+
+    # A shard is a partition of its own.
+    met = met.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "asks", "id")
+    pairs = met.mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -271,6 +271,22 @@ def test_nearest_exact_and_relaxed(frame_module):
     assert len(nearest.nearest(table.where("vec_id = 0"), table.where("vec_id < 4")).collect()) == 3
 
 
+def test_nearest_sends_no_queries_through_the_driver(frame_module):
+    rng = np.random.default_rng(2)
+    table = frame_module("vec_id long, embedding array<float>", [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(900, 4)))])
+    p = nearest.Trees(shard_rows=30, leaf=8, block=7, spread=16, numbers=1 << 8, factor=1.0)  # 16 shards instead of 30
+    assert (p.shards(900, 4), p.shards(300, 4), p.shards(9000, 4)) == (16, 10, 141)
+    found = nearest.nearest(table.where("vec_id % 3 = 0"), table, 4, p)
+    got = {(r.query_id, r.rank): r.vec_id for r in found.collect()}
+    # The copies of the queries, one for each shard, were broadcast where the queries alone were small.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "MapInArrow" in plan
+    x = np.array([r.embedding for r in table.orderBy("vec_id").collect()])
+    for q in range(0, 900, 3):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        assert [got[q, r] for r in range(1, 5)] == [i for i in np.lexsort((np.arange(900), d)) if i != q][:4]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><header>Top</header>
 <nav><a href=/>Home</a></nav><div class="cookie-notice">We use cookies</div><div class=ad>Buy</div><!-- x <p>no</p> -->
 <article><h1>Title &amp; more</h1><p>First <b>bold</b>&nbsp; text<p>Second line<br>third<script>var t="</p>";</script>
