@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from ..functions.nulls import any_of, matches
 from ..functions.numeric import seeded_uniform
 from ..functions.times import epoch_micros
 from ..session import durable
+from . import cells
 from .groups import collapse_texts, with_group_stats, with_group_stats_shuffled
 from .joins import null_safe_join
 from .reshape import pivot_wide
@@ -154,13 +157,15 @@ def forest_fill(
 ) -> DataFrame:
     """Random-forest imputation: every column is predicted from the others, round by round.
 
-    Starts from column means. Trains on all rows that have the column, with
-    Spark ML, and never changes an observed value. Stops with the first round that changes
-    the values more than the round before did (squared change over squared values, as missForest)
-    and returns the round before; `rounds` is the most there are, ten as in missForest. Rows
-    without a gap are written once; a round writes only the rows with gaps.
+    Starts from column means. Trains on all rows that have the column, and never changes an
+    observed value. Stops with the first round that changes the values more than the round
+    before did (squared change over squared values, as missForest) and returns the round before;
+    `rounds` is the most there are, ten as in missForest. Rows with the same gaps and the same
+    bins elsewhere get the same values in every round, so rounds work on cells of such rows; filled
+    columns are doubles. Where the columns' bins make too many cells (`cells.MOST_CELLS`), forests see rows.
     """
     columns = list(columns)
+    df = durable(df, "forest-rows")
     seen = df.agg(
         *[F.avg(c).alias(f"mean_{c}") for c in columns],
         *[F.avg(F.col(c).isNull().cast("int")).alias(f"share_{c}") for c in columns],
@@ -172,12 +177,104 @@ def forest_fill(
         return df
     # A column without any value can neither be predicted nor help to predict.
     usable = [c for c in columns if shares[c] < 1]
+    space = cells.Space(cells.cuts_of(df, usable), gaps)
+    observed = sum(seen[f"square_{c}"] for c in usable)
+    means = {c: float(seen[f"mean_{c}"]) for c in gaps}
+    if space.most([usable.index(c) for c in gaps]) <= cells.MOST_CELLS:
+        return _filled_by_cells(df, space, means, observed, rounds, trees, depth, seed)
+    return _filled_by_rows(df, gaps, usable, means, observed, rounds, trees, depth, seed)
+
+
+def _filled_by_cells(
+    df: DataFrame, space: cells.Space, means: dict[str, float], observed: float, rounds: int, trees: int, depth: int, seed: int
+) -> DataFrame:
+    gaps = [space.columns.index(c) for c in means]  # from the fullest column on
+    start = np.array(list(means.values()))
+
+    def tally(values):
+        codes = space.codes([values[c] for c in space.columns])
+        some = np.logical_or.reduce([codes[g] == space.bins[g] for g in gaps])
+        yield -1, space.keys([c[some] for c in codes]), [np.ones(int(some.sum())), *[np.zeros(int(some.sum()))] * (2 * trees)]
+        for g, mean in zip(gaps, start):
+            seen = codes[g] < space.bins[g]
+            # A whole row's own bin plays no part; the other gaps of a row follow from all that is seen of it.
+            own = np.where(some, codes[g], 0)
+            keys = space.keys([(own if j == g else c)[seen] for j, c in enumerate(codes)])
+            drawn = cells.draws(values[cells.PLACE][seen], trees, g).astype(float)
+            sums = drawn * (values[space.columns[g]][seen] - mean)[:, None]
+            yield g, keys, [np.ones(len(keys)), *drawn.T, *sums.T]
+
+    read = cells.placed(df.select(*[F.col(c).cast("double").alias(c) for c in space.columns]), seed)
+    table = cells.tallied(read, [*space.columns, cells.PLACE], tally, 1 + 2 * trees)
+    keys, n = cells.cells_of(table, -1)
+    n, codes = n[:, 0], space.decoded(keys)
+    missing = codes[:, gaps] == np.array(space.bins)[gaps]
+    values = np.where(missing, start, 0.0)
+
+    def filled(rows: np.ndarray, own: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Codes with the bins of the values now in their gaps; `at` has the gap cell of each row in `rows`."""
+        out = own.copy()
+        for i, g in enumerate(gaps):
+            hole = rows[own[rows, g] == space.bins[g]]
+            out[hole, g] = np.searchsorted(space.cuts[g], values[at[own[rows, g] == space.bins[g]], i])
+        return out
+
+    training = {}
+    for i, g in enumerate(gaps):
+        own_keys, sums = cells.cells_of(table, g)
+        own = space.decoded(own_keys)
+        holes = np.flatnonzero((own[:, gaps] == np.array(space.bins)[gaps]).any(1))
+        training[i] = own, holes, np.searchsorted(keys, own_keys[holes]), sums[:, 1 : 1 + trees], sums[:, 1 + trees :]
+    every = np.arange(len(keys))
+    least = float("inf")
+    for _ in range(rounds):
+        before = values.copy()
+        for i, g in enumerate(gaps):
+            inputs = [j for j in range(len(space.columns)) if j != g]
+            bins = [space.bins[j] for j in inputs]
+            own, holes, at, drawn, sums = training[i]
+            grower = cells.CellForest(numTrees=trees, maxDepth=depth, seed=seed)
+            model = grower.fit((filled(holes, own, at)[:, inputs], bins, drawn, sums))
+            hole = missing[:, i]
+            values[hole, i] = start[i] + model.predict(filled(every, codes, every)[:, inputs][hole])
+        moved = (n @ (values - before) ** 2).sum()
+        change = moved / total if (total := (n @ values**2).sum() + observed) else 0.0
+        if change >= least:
+            values = before
+            break
+        least = change
+
+    names = [space.columns[g] for g in gaps]
+
+    @F.pandas_udf(", ".join(f"g{i} double" for i in range(len(gaps))))
+    def of_cell(*parts: pd.Series) -> pd.DataFrame:
+        at = np.searchsorted(keys, space.keys(space.codes([x.to_numpy(float) for x in parts])))
+        return pd.DataFrame({f"g{i}": values[at, i] for i in range(len(gaps))})
+
+    some = any_of(F.col(c).isNull() for c in names)
+    kept = df.withColumns({c: F.col(c).cast("double") for c in names})
+    new = kept.filter(some).withColumn("__new", of_cell(*[F.col(c).cast("double") for c in space.columns]))
+    new = new.withColumns({c: F.coalesce(F.col(c), F.col(f"__new.g{i}")) for i, c in enumerate(names)})
+    return kept.filter(~some).unionByName(new.drop("__new"))
+
+
+def _filled_by_rows(
+    df: DataFrame,
+    gaps: list[str],
+    usable: list[str],
+    means: dict[str, float],
+    observed: float,
+    rounds: int,
+    trees: int,
+    depth: int,
+    seed: int,
+) -> DataFrame:
+    """Spark ML over rows. Rows without a gap are written once; a round writes only the rows with gaps."""
     flags = {f"__gap_{c}": F.col(c).isNull() for c in gaps}
-    flagged = durable(df.withColumns(flags), "forest-rows")
+    flagged = df.withColumns(flags)
     some = any_of(F.col(f) for f in flags)
     whole = flagged.filter(~some)
-    work = durable(flagged.filter(some).fillna({c: seen[f"mean_{c}"] for c in gaps}), "forest-gaps")
-    observed = sum(seen[f"square_{c}"] for c in usable)
+    work = durable(flagged.filter(some).fillna(means), "forest-gaps")
     least = float("inf")
     for _ in range(rounds):
         before = work

@@ -17,7 +17,7 @@ from lookup_sheets import FLAGS
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from obsharmony.operators import checks, flags, groups, impute, match, ordered, reshape
+from obsharmony.operators import cells, checks, flags, groups, impute, match, ordered, reshape
 from obsharmony.operators import harmonize as hz
 
 # --- flags ---------------------------------------------------------------------------
@@ -370,6 +370,68 @@ def test_forest_query_runs_to_its_stop_rule(spark, monkeypatch):
         assert rows[c].between(raw.loc[seen, c].min(), raw.loc[seen, c].max()).all()
 
 
+def jobs_of(spark, run):
+    """What run() returns, and how many Spark jobs it took."""
+    group = f"forest-{random.random()}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def holed_table(spark, n=3000):
+    rng = np.random.default_rng(8)
+    a, b = rng.random(n), rng.integers(0, 4, n)
+    pdf = pd.DataFrame({"id": range(n), "a": a, "b": b.astype(float), "c": 5 * a + b})
+    df = spark.createDataFrame(pdf)
+    holed = df.withColumn("a", F.when(F.col("id") % 5 > 0, F.col("a"))).withColumn("c", F.when(F.col("id") % 3 > 0, F.col("c")))
+    return pdf, df, holed.withColumn("whole", F.lit("x"))
+
+
+def test_forest_rounds_read_no_rows(spark, monkeypatch):
+    pdf, _, holed = holed_table(spark)
+    fits, fit = [], cells.CellForest._fit
+    monkeypatch.setattr(cells.CellForest, "_fit", lambda self, x: fits.append(len(x[0])) or fit(self, x))
+    (out, jobs) = jobs_of(spark, lambda: impute.forest_fill(holed, ["a", "b", "c"], depth=6).toPandas())
+    # Over rows, each fit alone took a job for every level of the trees.
+    assert len(fits) >= 4 and jobs <= 20
+    out = out.sort_values("id").reset_index(drop=True)
+    assert list(out.columns) == ["id", "a", "b", "c", "whole"] and len(out) == 3000 and not out.isna().any().any()
+    for c, gap in (("a", pdf.id % 5 == 0), ("c", pdf.id % 3 == 0)):
+        assert (out[c][~gap] == pdf[c][~gap]).all() and (out[c][gap] - pdf[c][gap]).abs().mean() < 0.6 * (pdf[c] - pdf[c].mean()).abs().mean()
+    # Too many cells: the forests see rows, with much the same outcome.
+    monkeypatch.setattr(cells, "MOST_CELLS", 0)
+    rows = impute.forest_fill(holed, ["a", "b", "c"], rounds=2, depth=6).toPandas().sort_values("id").reset_index(drop=True)
+    assert list(rows.columns) == list(out.columns) and not rows.isna().any().any()
+    assert (rows.c - out.c).abs().mean() < 0.3
+
+
+def test_cells_hold_what_rows_hold(spark):
+    _, _, holed = holed_table(spark)
+    cuts = cells.cuts_of(holed, ["a", "b", "c"])
+    assert len(cuts["a"]) == 31 and cuts["b"].tolist() == [0.5, 1.5, 2.5]
+    space = cells.Space(cuts, ["a", "c"])
+    pdf = holed.select("a", "b", "c").toPandas()
+    codes = space.codes([pdf[c].to_numpy() for c in space.columns])
+    assert (codes[0][pdf.a.isna()] == 32).all() and np.bincount(codes[0][pdf.a.notna()]).min() > 50
+    assert (space.decoded(space.keys(codes)) == np.stack(codes, 1)).all()
+
+    def tally(v):
+        c = space.codes([v[x] for x in space.columns])
+        yield 7, space.keys(c), [np.ones(len(c[0])), v["b"]]
+
+    keys, sums = cells.cells_of(cells.tallied(holed, space.columns, tally, 2), 7)
+    want = pdf.assign(k=space.keys(codes), n=1.0).groupby("k")[["n", "b"]].sum()
+    assert keys.tolist() == want.index.tolist() and np.allclose(sums, want.to_numpy())
+    drawn = cells.draws(np.random.default_rng(1).integers(0, 2**63, 40000), 10, 1).astype(float)
+    assert np.allclose(drawn.mean(0), 1, atol=0.03) and np.allclose(drawn.var(0), 1, atol=0.05)
+    assert np.abs(np.corrcoef(drawn.T) - np.eye(10)).max() < 0.03
+    with pytest.raises(ValueError):
+        cells.cuts_of(spark.createDataFrame([(float("nan"),), (1.0,)], "a double"), ["a"])
+
+
 # --- harmonisation and reshaping ----------------------------------------------------------
 
 
