@@ -318,21 +318,79 @@ def forest_error(
     columns = list(columns)
     known = before.select(*key, *[F.col(c).isNotNull().alias(f"__known_{c}") for c in columns])
     fold = F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(folds))
-    rows = durable(null_safe_join(filled, known, key, "inner").withColumn("__fold", fold), "forest-bags")
-    counts = rows.agg(*[F.count_if(F.col(f"__known_{c}")).alias(c) for c in columns], F.count("*").alias("__n")).first()
+    rows = null_safe_join(filled.select(*key, *columns), known, key, "inner").withColumn("__fold", fold)
+    rows = durable(rows.select(*columns, *[f"__known_{c}" for c in columns], "__fold"), "forest-bags")
+    counts = rows.agg(
+        *[F.count_if(F.col(f"__known_{c}")).alias(c) for c in columns],
+        *[F.avg(F.when(F.col(f"__known_{c}"), F.col(c))).alias(f"mean_{c}") for c in columns],
+        F.count("*").alias("__n"),
+    ).first()
+    wanted = [c for c in columns if 0 < counts[c] < counts["__n"]]
+    usable = [c for c in columns if counts[c]]
+    part = -(-trees // folds)
+    if wanted:
+        space = cells.Space(cells.cuts_of(rows, usable), [])
+        if space.most([usable.index(c) for c in wanted]) <= cells.MOST_CELLS:
+            return _errors_by_cells(rows, space, {c: float(counts[f"mean_{c}"]) for c in wanted}, part, depth, seed, folds)
     errors = None
-    for c in (c for c in columns if 0 < counts[c] < counts["__n"]):
-        inputs = [x for x in columns if x != c and counts[x]]
+    for c in wanted:
+        inputs = [x for x in usable if x != c]
         seen = rows.filter(F.col(f"__known_{c}"))
         predicted = None
         for k in range(folds):
-            part = _forest(c, inputs, -(-trees // folds), depth, seed + k)
-            out = part.fit(seen.filter(F.col("__fold") != k)).transform(seen.filter(F.col("__fold") == k)).select(c, "__out")
+            grower = _forest(c, inputs, part, depth, seed + k)
+            out = grower.fit(seen.filter(F.col("__fold") != k)).transform(seen.filter(F.col("__fold") == k)).select(c, "__out")
             predicted = out if predicted is None else predicted.unionAll(out)
         mse = F.avg((F.col(c) - F.col("__out")) ** 2)
         one = predicted.agg(F.count("*").alias("n"), mse.alias("mse"), F.sqrt(F.try_divide(mse, F.var_pop(c))).alias("nrmse"))
         one = one.select(F.lit(c).alias("variable"), "n", "mse", "nrmse")
         errors = one if errors is None else errors.unionAll(one)
     if errors is None:
-        return before.sparkSession.createDataFrame([], "variable string, n bigint, mse double, nrmse double")
+        return before.sparkSession.createDataFrame([], _ERRORS)
     return errors
+
+
+_ERRORS = "variable string, n bigint, mse double, nrmse double"
+
+
+def _errors_by_cells(
+    rows: DataFrame, space: cells.Space, means: dict[str, float], part: int, depth: int, seed: int, folds: int
+) -> DataFrame:
+    """As over rows: an observed value's error follows from its cell's rows of its fold, their sum and sum of squares."""
+    trees = part * folds
+    labels = {space.columns.index(c): c for c in means}
+
+    def tally(values):
+        codes = space.codes([values[c] for c in space.columns])
+        if any((x == b).any() for x, b in zip(codes, space.bins)):
+            raise ValueError("the filled table has missing values")
+        for g, c in labels.items():
+            seen = values[f"__known_{c}"].astype(bool)
+            keys = space.keys([(0 * x if j == g else x)[seen] for j, x in enumerate(codes)])
+            off = values[c][seen] - means[c]
+            inside = values["__fold"][seen][:, None] == np.arange(folds)
+            drawn = cells.draws(values[cells.PLACE][seen], trees, g) * ~np.repeat(inside, part, 1)
+            per_fold = [inside.T * x for x in (np.ones(len(off)), off, off**2)]
+            yield g, keys, [*drawn.T.astype(float), *(drawn * off[:, None]).T, *np.concatenate(per_fold)]
+
+    known = [f"__known_{c}" for c in means]
+    read = cells.placed(rows.select(*[F.col(c).cast("double").alias(c) for c in space.columns], *known, "__fold"), seed)
+    table = cells.tallied(read, [*space.columns, *known, "__fold", cells.PLACE], tally, 2 * trees + 3 * folds)
+    errors = []
+    for g, c in labels.items():
+        keys, sums = cells.cells_of(table, g)
+        inputs = [j for j in range(len(space.columns)) if j != g]
+        codes, bins = space.decoded(keys)[:, inputs], [space.bins[j] for j in inputs]
+        n, total, squares = np.split(sums[:, 2 * trees :], 3, 1)
+        wrong = 0.0
+        for k in range(folds):
+            own = slice(k * part, (k + 1) * part)
+            grower = cells.CellForest(numTrees=part, maxDepth=depth, seed=seed + k)
+            out = grower.fit((codes, bins, sums[:, :trees][:, own], sums[:, trees : 2 * trees][:, own])).predict(codes)
+            mean = np.divide(total[:, k], n[:, k], out=np.zeros(len(out)), where=n[:, k] > 0)
+            within = np.maximum(squares[:, k] - mean * total[:, k], 0.0)
+            wrong += float((within + n[:, k] * (out - mean) ** 2).sum())
+        count = float(n.sum())
+        mse, spread = wrong / count, float(squares.sum()) / count - (float(total.sum()) / count) ** 2
+        errors.append((c, round(count), mse, (mse / spread) ** 0.5 if spread > 0 else None))
+    return rows.sparkSession.createDataFrame(errors, _ERRORS)

@@ -408,6 +408,20 @@ def test_forest_rounds_read_no_rows(spark, monkeypatch):
     assert (rows.c - out.c).abs().mean() < 0.3
 
 
+def test_forest_error_reads_rows_once(spark):
+    rng = np.random.default_rng(3)
+    pdf = pd.DataFrame({"id": range(2000), "a": rng.integers(0, 2, 2000).astype(float)})
+    pdf["b"] = 5 * pdf.a + 1000
+    df = spark.createDataFrame(pdf)
+    holed = df.withColumn("b", F.when(F.col("id") % 4 > 0, F.col("b")))
+    got, jobs = jobs_of(spark, lambda: impute.forest_error(holed, df, ["a", "b"], ["id"]).collect())
+    # Five fits of several jobs each, before. The one input tells the value, so nothing is left of the error.
+    assert jobs <= 15 and [(r.variable, r.n) for r in got] == [("b", 1500)] and 0 <= got[0].mse + 1e-9 < 2e-9
+    # Without a split the error is that of the mean of the other parts.
+    flat = impute.forest_error(holed, df, ["a", "b"], ["id"], depth=0).collect()[0]
+    assert flat.mse == pytest.approx(pdf.b[pdf.id % 4 > 0].var(ddof=0), rel=0.02) and flat.nrmse == pytest.approx(1, rel=0.02)
+
+
 def test_cells_hold_what_rows_hold(spark):
     _, _, holed = holed_table(spark)
     cuts = cells.cuts_of(holed, ["a", "b", "c"])
