@@ -4,7 +4,9 @@ Candidates are summarised in grid cells. A query first meets cell summaries,
 not candidates: a cell whose lowest possible distance exceeds the distance to
 some known candidate cannot hold the answer and is dropped. Cells that are
 still crowded are cut finer, for the remaining queries only, until every cell
-holds few distinct positions. Only then are distances to candidates computed.
+holds few distinct positions. The distance to the best known candidate goes
+along; it is learnt from pairs that are reduced where they are made, so pairs
+beyond it are never shuffled. Only then are distances to candidates computed.
 The result is the exact minimum, ties going to the smallest id, however many
 candidates share one place.
 """
@@ -14,7 +16,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.nulls import all_of
@@ -109,7 +110,7 @@ def _in_box(lim: Limits, point) -> Column:
 
 
 def _bounded(pairs: DataFrame, lim: Limits) -> DataFrame:
-    """Drop cells outside the box; add the lowest and one reachable distance per cell."""
+    """Drop cells outside the box or beyond the best known candidate; add the lowest and one reachable distance per cell."""
 
     def nearest(a: str) -> Column:
         return F.least(F.greatest(_q(a), F.col(f"min_{a}")), F.col(f"max_{a}"))
@@ -130,8 +131,9 @@ def _bounded(pairs: DataFrame, lim: Limits) -> DataFrame:
     return (
         pairs.filter(_in_box(lim, nearest))
         .withColumn("low", distance(nearest))
+        .filter(_may_hold("low"))
         .withColumn("reach", F.when(_in_box(lim, member), distance(member)))
-        .select(*_QUERY, *_CELL, "n", "low", "reach", "level")
+        .select(*_QUERY, *_CELL, "n", "low", "reach", "best", "level")
     )
 
 
@@ -139,18 +141,20 @@ _QUERY = [f"q_{a}" for a in [*_AXES, "g"]] + ["window"]
 _QUERY_KEY = [f"q_{a}" for a in _POSITION]
 
 
-def _prune(frontier: DataFrame) -> DataFrame:
-    """Keep cells that may beat the best known candidate of the query.
+def _may_hold(distance: str) -> Column:
+    """Not beyond the best known candidate of the query."""
+    return F.col("best").isNull() | (F.col(distance) <= F.col("best"))
 
-    One query's cells are limited by the grid, not by the data, so this window
-    stays small.
-    """
-    best = F.min("reach").over(W.partitionBy(*_QUERY_KEY))
-    return (
-        frontier.withColumn("best", best)
-        .filter(F.col("best").isNull() | (F.col("low") <= F.col("best")))
-        .drop("best")
-    )
+
+def _reached(pairs: DataFrame) -> DataFrame:
+    """The best known candidate of each query. Only one row a query and task is shuffled, not the pairs."""
+    return pairs.groupBy(*_QUERY_KEY).agg(F.min("reach").alias("reached"))
+
+
+def _children(points: DataFrame, lim: Limits, level: int) -> DataFrame:
+    """Occupied cells of `level` with their parents."""
+    up = {f"p_{a}": F.floor(F.col(f"c_{a}") / F.lit(_FINER)) for a in _AXES}
+    return _summary(points, lim, level).withColumns(up)
 
 
 def _neighbours(cells: DataFrame) -> DataFrame:
@@ -164,26 +168,39 @@ def _neighbours(cells: DataFrame) -> DataFrame:
 
 
 def _start(queries: DataFrame, points: DataFrame, lim: Limits) -> DataFrame:
-    own = {f"n_{a}": c for a, c in zip(_AXES, _cells(lim, 0).values()) if a != "lon"}
-    asked = queries.withColumns(own)
+    """Cells around each query that may hold its answer.
+
+    Two sets of pairs, both made and reduced in place, bound the query first: its own cell's
+    children, whose members are close, and the cells around it. Only then are pairs kept.
+    """
+    own = _cells(lim, 0).items()
+    asked = queries.withColumns({k.replace("c_", "n_"): c for k, c in own} | {"level": F.lit(0), "best": F.lit(None).cast("double")})
     asked = asked.withColumnsRenamed({a: f"q_{a}" for a in [*_AXES, "g"]})
-    pairs = asked.join(_neighbours(_summary(points, lim, 0)), ["n_lat", "n_t", "n_depth"])
-    return _prune(_bounded(pairs.withColumn("level", F.lit(0)), lim))
+    cells = durable(_neighbours(_summary(points, lim, 0)), "match-cells")
+    near = ["n_lat", "n_t", "n_depth"]
+    around = _bounded(asked.join(cells, near), lim)
+    inside = _children(points, lim, 1).withColumnsRenamed({f"p_{a}": f"n_{a}" for a in _AXES})
+    inside = _bounded(asked.join(inside, [f"n_{a}" for a in _AXES]), lim)
+    known = _reached(around.unionByName(inside)).withColumnRenamed("reached", "best")
+    return _bounded(asked.drop("best").join(known, _QUERY_KEY).join(cells, near), lim).drop("reach")
 
 
 def _refine(frontier: DataFrame, points: DataFrame, lim: Limits, level: int) -> DataFrame:
-    """Replace crowded cells of `level` by their occupied children, then prune again."""
+    """Replace crowded cells of `level` by their occupied children that may hold the answer."""
     crowded = (F.col("level") == level) & (F.col("n") > lim.cell_rows)
-    parents = frontier.filter(crowded).select(*_QUERY, *_CELL)
-    hot = parents.select(*_CELL).distinct()
+    hot = frontier.filter(crowded).select(*_CELL).distinct()
     inside = points.withColumns(_cells(lim, level)).join(hot, _CELL, "left_semi")
-    children = _summary(inside.drop(*_CELL), lim, level + 1)
-    up = {f"p_{a}": F.floor(F.col(f"c_{a}") / F.lit(_FINER)) for a in _AXES}
-    children = children.withColumns(up)
-    parents = parents.withColumnsRenamed({f"c_{a}": f"p_{a}" for a in _AXES})
-    pairs = parents.join(children, [f"p_{a}" for a in _AXES])
-    finer = _bounded(pairs.withColumn("level", F.lit(level + 1)), lim)
-    return _prune(frontier.filter(~crowded).unionByName(finer))
+    children = durable(_children(inside.drop(*_CELL), lim, level + 1), "match-cells")
+
+    def finer(cells: DataFrame) -> DataFrame:
+        parents = cells.filter(crowded).select(*_QUERY, *_CELL, "best")
+        parents = parents.withColumnsRenamed({f"c_{a}": f"p_{a}" for a in _AXES})
+        pairs = parents.join(children, [f"p_{a}" for a in _AXES])
+        return _bounded(pairs.withColumn("level", F.lit(level + 1)), lim)
+
+    known = frontier.join(_reached(finer(frontier)), _QUERY_KEY, "left")
+    known = known.withColumn("best", F.least("best", "reached")).drop("reached").filter(_may_hold("low"))
+    return known.filter(~crowded).unionByName(finer(known).drop("reach"))
 
 
 def _crowded_rows(df: DataFrame, lim: Limits) -> bool:
@@ -240,6 +257,7 @@ def nearest_values(queries: DataFrame, candidates: DataFrame, lim: Limits) -> Da
     return (
         found.filter(_in_box(lim, F.col))
         .withColumn("distance", distance)
+        .filter(_may_hold("distance"))
         .groupBy(*_QUERY_KEY)
         .agg(best.alias("m"))
         .select(

@@ -273,6 +273,28 @@ def test_nearest_match_equals_brute_force(spark, lon):
     assert got == {k: v[1] for k, v in want.items() if v} and 0 < len(got) < len(want)
 
 
+def test_nearest_match_shuffles_bounds_not_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [  # one crowded place: cells are cut finer more than once
+        {"id": i, "lat": 43 + rng.random() * 5e-3, "lon": -86 + rng.random() * 5e-3, "t": rng.randrange(86400) * 10**6, "depth": rng.random() * 20, "value": float(i)}
+        for i in range(1500)
+    ]
+    asked, known = rows[:60], rows[60:]
+    kept, durable = [], match.durable
+    monkeypatch.setattr(match, "durable", lambda df, *a: kept.append((df._jdf.queryExecution().optimizedPlan().toString(), durable(df, *a))) or kept[-1][1])
+    lim = match.Limits(days=2, degrees=0.02, cell_rows=8)
+    cols = ["lat", "lon", "t", "depth"]
+    q, c = spark.createDataFrame(pd.DataFrame(asked)[cols]), spark.createDataFrame(pd.DataFrame(known))
+    got = {(r.q_lat, r.q_lon, r.q_t, r.q_depth): r.match_id for r in match.nearest_values(q, c, lim).collect()}
+    assert got == {tuple(x[k] for k in cols): nearest_by_hand(x, known, lim)[1] for x in asked}
+    fronts = [(plan, df) for plan, df in kept if "level" in df.columns]
+    # A window over a query's pairs had every pair of a query and a cell shuffled before any was dropped.
+    assert len(fronts) >= 2 and not any("Window" in plan for plan, _ in fronts)
+    # Bounds are known from the first level on, and go down.
+    worst = [df.agg(F.max("best"), F.count_if(F.col("best").isNull()), F.count_if(F.col("low") > F.col("best"))).first() for _, df in fronts]
+    assert all(w[1] == w[2] == 0 for w in worst) and worst[-1][0] <= worst[0][0]
+
+
 def test_fill_nearest_edges(frame):
     t = dt.datetime(2020, 1, 1)
     schema = "id int, Latitude double, Longitude double, sampleDateTimeUTC timestamp_ntz, sampleDepth double, Temp double, Chla double"
