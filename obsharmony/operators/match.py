@@ -176,7 +176,8 @@ def _start(queries: DataFrame, points: DataFrame, lim: Limits) -> DataFrame:
     own = _cells(lim, 0).items()
     asked = queries.withColumns({k.replace("c_", "n_"): c for k, c in own} | {"level": F.lit(0), "best": F.lit(None).cast("double")})
     asked = asked.withColumnsRenamed({a: f"q_{a}" for a in [*_AXES, "g"]})
-    cells = durable(_neighbours(_summary(points, lim, 0)), "match-cells")
+    # Listed 27 times, cells take little room in a file but much in the driver: they are not to be broadcast.
+    cells = durable(_neighbours(_summary(points, lim, 0)), "match-cells").hint("merge")
     near = ["n_lat", "n_t", "n_depth"]
     around = _bounded(asked.join(cells, near), lim)
     inside = _children(points, lim, 1).withColumnsRenamed({f"p_{a}": f"n_{a}" for a in _AXES})
